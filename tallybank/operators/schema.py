@@ -23,7 +23,7 @@ MOCK_COLUMNS = ("Numero_Questao", "Resultado", "Enunciado", "Resposta_Marcada",
 
 def clean_name(name: str) -> str:
     """Repair a header cell: byte-order mark, quotes, doubly encoded text, accents, separators."""
-    name = name.strip().lstrip("﻿")
+    name = name.strip().lstrip("﻿").replace("ï»¿", "")
     try:
         # Text written as UTF-8 and read as a single-byte charset turns back this way.
         name = name.encode("cp1252").decode("utf-8")
