@@ -109,9 +109,9 @@ def pick_items(listing: DataFrame, number: str, choice: str) -> DataFrame:
 def value_shares(frame: DataFrame, column: str) -> DataFrame:
     """(value, n, pct of all rows). Rows are counted per value first; the total is the sum of those counts."""
     counts = frame.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    return (counts.join(F.broadcast(total)).filter(F.col("value").isNotNull())
-            .select("value", "n", F.round(F.col("n") * 100.0 / F.col("total"), 1).alias("pct")))
+    total = counts.agg(F.sum("n")).scalar()
+    return (counts.filter(F.col("value").isNotNull())
+            .select("value", "n", F.round(F.col("n") * 100.0 / total, 1).alias("pct")))
 
 
 def top_values(frame: DataFrame, column: str, k: int) -> DataFrame:
@@ -122,8 +122,7 @@ def top_values(frame: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def bank_profile(questions: DataFrame) -> DataFrame:
-    """Exact distinct counts, year range and first board, in one row."""
-    # Each distinct combination once, then exact counts over what is left.
+    """Exact distinct counts and the first board, in one row."""
     return questions.agg(
         F.count("*").alias("total"),
         F.count_distinct("Banca").alias("bancas"),
