@@ -9,8 +9,9 @@ from tallybank.functions.money import parse_number_auto
 
 
 def _without_float_tail(text: Column) -> Column:
-    # A number read as float ends in ".0"; it has to go before the dots do, or 12345.0 becomes 123450.
-    return F.regexp_replace(F.trim(text), r"\.0+$", "")
+    # A number read as float is digits and exactly ".0"; that tail has to go before the dots do, or
+    # 12345.0 becomes 123450. A structured account such as 1.00000 is left alone.
+    return F.regexp_replace(F.trim(text), r"^(\d+)\.0$", "$1")
 
 
 def clean_account(text: Column) -> Column:

@@ -29,9 +29,10 @@ def widen_options(questions: DataFrame, letters=LETTERS) -> DataFrame:
     return wide.drop("options")
 
 
-def pivot_options(options: DataFrame, key: str, letters=LETTERS) -> DataFrame:
-    """(key, letter, text) rows to one row per question. Letters are given, so one job is enough."""
-    wide = options.groupBy(key).pivot("letter", list(letters)).agg(F.first("text"))
+def pivot_options(options: DataFrame, key: str, order: str, letters=LETTERS) -> DataFrame:
+    """(key, letter, text) rows to one row per question; the last of equal letters stays.
+    Letters are given, so one job is enough, and rows shrink to one per letter before the shuffle."""
+    wide = options.groupBy(key).pivot("letter", list(letters)).agg(F.max_by("text", order))
     return wide.select(key, *[F.coalesce(F.col(x), F.lit("")).alias(f"Alternativa_{x}") for x in letters])
 
 
