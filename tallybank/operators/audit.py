@@ -15,7 +15,7 @@ from tallybank.operators.joins import sized_broadcast
 from tallybank.operators.ranking import RepeatMark, mark_repeats, repeats_per_key
 from tallybank.operators.rules import (
     REPEATED, REVERSED, RULES, SAMPLED, TEXT_COLUMNS, TRIPLICATE, rule_mark)
-from tallybank.operators.sampling import mark_sample
+from tallybank.operators.sampling import mark_sample, sample_cut
 from tallybank.operators.silver import AMOUNTS, as_date, as_money
 
 KEEP, DROP = "MANTER", "RETIRAR"
@@ -82,14 +82,15 @@ def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Aud
     marked = source
     if REVERSED in helpers:
         marked = mark_reversals(marked, cfg)
-    if SAMPLED in helpers:
-        marked = mark_sample(marked, SAMPLED, cfg.sample_size, cfg.sample_seed, source.columns)
     repeats = []
     if REPEATED in helpers:
         repeats.append(RepeatMark(REPEAT_KEYS, row_order(source, REPEAT_KEYS), 2, REPEATED))
     if TRIPLICATE in helpers:
         repeats.append(RepeatMark(TRIPLICATE_KEYS, row_order(source, TRIPLICATE_KEYS), 3, TRIPLICATE))
     marked = mark_repeats(marked, repeats)
+    if SAMPLED in helpers:
+        cut = sample_cut(source, cfg.sample_size, cfg.sample_seed, source.columns)
+        marked = mark_sample(marked, SAMPLED, cut, cfg.sample_seed, source.columns, [m.out for m in repeats])
     marked = marked.select(*source.columns, *[rule_mark(t, cfg) for t in tests])
     if tests:
         no_hit = F.coalesce(*[F.col(t) for t in tests]).isNull()

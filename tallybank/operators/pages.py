@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Class names that mark the places on a page.
 ITEM_CLASS = "js-question-item"
@@ -20,17 +22,21 @@ BLOCK_CLASS = "q-answer-sheet-question"
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_TAGS = ("script", "style")
 
-OPTION = "struct<letter:string,text:string,checked:boolean,correct:boolean>"
-PAGE_SCHEMA = (
-    "struct<"
-    "questions:array<struct<qid:string,idx:string,statement:string,"
-    "info:array<struct<label:string,link:string>>,crumbs:array<string>,"
-    f"options:array<{OPTION}>,right_answer:string>>,"
-    "answers:array<struct<idx:string,answer:string>>,"
-    "blocks:array<struct<short:string,full:string,ok_text:string,bad_text:string,sentence:string,"
-    f"options:array<{OPTION}>,comment:string>>,"
-    "error:string>"
-)
+def _struct(*fields) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+_TEXT = T.StringType()
+_OPTIONS = T.ArrayType(_struct(("letter", _TEXT), ("text", _TEXT), ("checked", T.BooleanType()),
+                               ("correct", T.BooleanType())))
+_QUESTION = _struct(("qid", _TEXT), ("idx", _TEXT), ("statement", _TEXT),
+                    ("info", T.ArrayType(_struct(("label", _TEXT), ("link", _TEXT)))),
+                    ("crumbs", T.ArrayType(_TEXT)), ("options", _OPTIONS), ("right_answer", _TEXT))
+_BLOCK = _struct(("short", _TEXT), ("full", _TEXT), ("ok_text", _TEXT), ("bad_text", _TEXT), ("sentence", _TEXT),
+                 ("options", _OPTIONS), ("comment", _TEXT))
+PAGE_TYPE = _struct(("questions", T.ArrayType(_QUESTION)),
+                    ("answers", T.ArrayType(_struct(("idx", _TEXT), ("answer", _TEXT)))),
+                    ("blocks", T.ArrayType(_BLOCK)), ("error", _TEXT))
 
 
 class _Node:
@@ -155,10 +161,9 @@ def read_page(html: str) -> dict:
     return page
 
 
-@F.pandas_udf(PAGE_SCHEMA)
-def _read_pages(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_page(h) for h in html],
-                        columns=["questions", "answers", "blocks", "error"])
+@F.arrow_udf(PAGE_TYPE)
+def _read_pages(html: pa.Array) -> pa.Array:
+    return pa.array([read_page(h) for h in html.to_pylist()], type=to_arrow_type(PAGE_TYPE))
 
 
 def read_pages(pages: DataFrame) -> DataFrame:

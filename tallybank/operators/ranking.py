@@ -26,8 +26,11 @@ def mark_repeats(frame: DataFrame, marks: list[RepeatMark]) -> DataFrame:
     A group may hold a third of all rows, so it is never sorted whole. Each group is first ranked
     within slices, a slice being the part of the group that sits in one input partition. A row that
     is already n-th in its slice is n-th overall. What is left, at most n-1 rows per slice, is
-    ranked again per group, and only those rows meet in one task. Rows that tie on every order
-    column are equal in all that the order sees, so the outcome does not depend on the slicing.
+    ranked again per group, and only those rows meet in one task.
+
+    Rows that tie on every order column are copies. Which copy is marked makes no difference to one
+    mark, but with several marks it matters that they agree: a copy that an earlier mark leaves
+    alone is also the first that a later mark leaves alone. So the outcome never depends on slicing.
     """
     if not marks:
         return frame
@@ -36,18 +39,20 @@ def mark_repeats(frame: DataFrame, marks: list[RepeatMark]) -> DataFrame:
     if len(marks) > 1 and shared:
         # One exchange serves the slice ranking of every mark.
         frame = frame.repartition(*shared, SLICE)
+    ranks = []
     for mark in marks:
-        window = Window.partitionBy(*mark.keys, SLICE).orderBy(*mark.order)
-        frame = frame.withColumn(f"__in_slice_{mark.out}", F.row_number().over(window))
-    for mark in marks:
-        in_slice = F.col(f"__in_slice_{mark.out}")
-        settled = in_slice >= mark.nth
-        contest = F.when(settled, F.col(SLICE)).otherwise(F.lit(-1))
-        frame = frame.withColumn(f"__contest_{mark.out}", contest)
-        window = Window.partitionBy(*mark.keys, f"__contest_{mark.out}").orderBy(*mark.order)
+        window = Window.partitionBy(*mark.keys, SLICE).orderBy(*mark.order, *ranks)
+        ranks.append(f"__in_slice_{mark.out}")
+        frame = frame.withColumn(ranks[-1], F.row_number().over(window))
+    outs = []
+    for mark, rank in zip(marks, ranks):
+        settled = F.col(rank) >= mark.nth
+        contest = f"__contest_{mark.out}"
+        frame = frame.withColumn(contest, F.when(settled, F.col(SLICE)).otherwise(F.lit(-1)))
+        window = Window.partitionBy(*mark.keys, contest).orderBy(*mark.order, *outs)
         frame = frame.withColumn(mark.out, settled | (F.row_number().over(window) >= mark.nth))
-    helpers = [SLICE] + [f"__{part}_{m.out}" for m in marks for part in ("in_slice", "contest")]
-    return frame.drop(*helpers)
+        outs.append(mark.out)
+    return frame.drop(SLICE, *ranks, *[f"__contest_{out}" for out in outs])
 
 
 def repeats_per_key(frame: DataFrame, keys: list[str], nth: int, out: str = "n") -> DataFrame:

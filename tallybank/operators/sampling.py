@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,23 +24,37 @@ def audit_sample(frame: DataFrame, size: int = 25, seed: int = 42, columns=None)
             .orderBy(HASH).limit(size).drop(HASH))
 
 
-def mark_sample(frame: DataFrame, out: str, size: int = 25, seed: int = 42, columns=None) -> DataFrame:
-    """Mark the sampled rows in boolean column ``out``.
+@dataclass(frozen=True)
+class SampleCut:
+    """Largest hash inside the sample; ``quota`` is set when only that many of its copies belong to it."""
 
-    The cut-off hash comes from one small job; marking is then a comparison with a constant. Only if
-    equal rows straddle the cut-off must some of them be told apart, and these are ranked.
-    """
-    columns = columns or frame.columns
-    hashes = (frame.select(sample_hash(columns, seed).alias("h")).orderBy("h").limit(size + 1).collect())
-    picked = [row["h"] for row in hashes[:size]]
+    hash: str | None
+    quota: int | None
+
+
+def sample_cut(frame: DataFrame, size: int, seed: int, columns) -> SampleCut:
+    """The cut-off of a sample, from one small job that returns ``size`` + 1 hashes."""
+    rows = frame.select(sample_hash(columns, seed).alias("h")).orderBy("h").limit(size + 1).collect()
+    hashes = [row["h"] for row in rows]
     if len(hashes) <= size:
-        return frame.withColumn(out, F.lit(bool(picked)))
-    cut = F.lit(picked[-1])
+        return SampleCut(hashes[-1] if hashes else None, None)
+    last = hashes[size - 1]
+    return SampleCut(last, hashes[:size].count(last) if hashes[size] == last else None)
+
+
+def mark_sample(frame: DataFrame, out: str, cut: SampleCut, seed: int, columns, ties=()) -> DataFrame:
+    """Mark the sampled rows in boolean column ``out`` by comparing with the cut-off.
+
+    Only when copies of one row straddle the cut-off must they be told apart; they are then ranked,
+    in the order of the ``ties`` columns.
+    """
+    if cut.hash is None:
+        return frame.withColumn(out, F.lit(False))
+    last = F.lit(cut.hash)
     frame = frame.withColumn(HASH, sample_hash(columns, seed))
-    if hashes[size]["h"] != picked[-1]:
-        return frame.withColumn(out, F.col(HASH) <= cut).drop(HASH)
-    frame = frame.withColumn("__tied", F.when(F.col(HASH) == cut, F.col(HASH)))
-    quota = picked.count(picked[-1])
-    frame = mark_repeats(frame, [RepeatMark(("__tied",), (HASH,), quota + 1, "__beyond")])
-    marked = (F.col(HASH) < cut) | ((F.col(HASH) == cut) & ~F.col("__beyond"))
+    if cut.quota is None:
+        return frame.withColumn(out, F.col(HASH) <= last).drop(HASH)
+    frame = frame.withColumn("__tied", F.when(F.col(HASH) == last, F.col(HASH)))
+    frame = mark_repeats(frame, [RepeatMark(("__tied",), (HASH, *ties), cut.quota + 1, "__beyond")])
+    marked = (F.col(HASH) < last) | ((F.col(HASH) == last) & ~F.col("__beyond"))
     return frame.withColumn(out, marked).drop(HASH, "__tied", "__beyond")

@@ -105,12 +105,15 @@ def _sql_order(keys):
 
 RANKED = f"""{CLASSIFIED}, posted AS (
   SELECT DISTINCT CONTA AS bc, MOVIMENTO AS bm, TRUE AS posted FROM classified WHERE DATA = DATE '1996-12-31'),
-ranked AS (
+joined AS (
   SELECT t.*, coalesce(b.posted, FALSE) AS posted,
-    row_number() OVER (PARTITION BY CONTA, MOVIMENTO ORDER BY {_sql_order(A.REPEAT_KEYS)}) AS seq2,
-    row_number() OVER (PARTITION BY HISTORICO, MOVIMENTO, DATA ORDER BY {_sql_order(A.TRIPLICATE_KEYS)}) AS seq4,
-    row_number() OVER (ORDER BY {_sql_hash(BASE + CLASSES)}) AS seq5
-  FROM classified t LEFT JOIN posted b ON t.CONTA = b.bc AND t.MOVIMENTO = b.bm)"""
+    row_number() OVER (PARTITION BY CONTA, MOVIMENTO ORDER BY {_sql_order(A.REPEAT_KEYS)}) AS seq2
+  FROM classified t LEFT JOIN posted b ON t.CONTA = b.bc AND t.MOVIMENTO = b.bm),
+counted AS (
+  SELECT *, row_number() OVER (PARTITION BY HISTORICO, MOVIMENTO, DATA
+    ORDER BY {_sql_order(A.TRIPLICATE_KEYS)}, seq2 > 1) AS seq4 FROM joined),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY {_sql_hash(BASE + CLASSES)}, seq2 > 1, seq4 >= 3) AS seq5 FROM counted)"""
 MARKED = RANKED + ", marked AS (SELECT *, " + ", ".join(
     f"CASE WHEN {SQL_RULES[t]} THEN 'SIM' END AS {t}" for t in TEST_NAMES) + " FROM ranked)"
 SQL_SHIPPED = MARKED + f""", flagged AS (SELECT *, CASE WHEN coalesce({', '.join(SHIPPED.active)}) IS NULL

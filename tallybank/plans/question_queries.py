@@ -189,10 +189,10 @@ def prompt_text(spark, sf):
 
 
 @query("output_name", f"""{QUESTIONS}, records AS ({SQL_RECORD})
-SELECT id_questao, regexp_replace(concat_ws('_', concat('Q', lpad(substr(id_questao, 2), greatest(3,
-    length(id_questao) - 1), '0')), ano, orgao, substr(replace(replace(assunto, ' ', '_'), '/', '-'), 1, 40),
+SELECT id_questao, regexp_replace(concat_ws('_', concat('Q', lpad(substr(id_questao, 2), CAST(greatest(3,
+    length(id_questao) - 1) AS INTEGER), '0')), ano, orgao, substr(replace(replace(assunto, ' ', '_'), '/', '-'), 1, 40),
     concat('GAB', gabarito)), '[^\\p{{L}}\\p{{N}}_.\\-]', '', 'g') AS name,
-  regexp_replace(concat_ws('_', concat('Q', lpad(substr(id_questao, 2), greatest(3, length(id_questao) - 1), '0')),
+  regexp_replace(concat_ws('_', concat('Q', lpad(substr(id_questao, 2), CAST(greatest(3, length(id_questao) - 1) AS INTEGER), '0')),
     substr(replace(banca, ' ', '_'), 1, 15), ano, substr(replace(replace(assunto, ' ', '_'), '/', '-'), 1, 40),
     concat('GAB', gabarito)), '[^\\p{{L}}\\p{{N}}_.\\-]', '', 'g') AS board_name FROM records""")
 def output_name(spark, sf):
