@@ -16,7 +16,7 @@ def _without_float_tail(text: Column) -> Column:
 
 def clean_account(text: Column) -> Column:
     """Ledger or trial-balance account without dots and dashes."""
-    return F.trim(F.translate(_without_float_tail(text), ".-", ""))
+    return F.trim(F.regexp_replace(_without_float_tail(text), "[.-]", ""))
 
 
 def clean_counterparty(text: Column) -> Column:

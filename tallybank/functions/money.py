@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
+def _brazilian(text: Column) -> Column:
+    """Thousands dots out, decimal comma to point."""
+    return F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
+
+
 def parse_money_br(text: Column) -> Column:
     """``1.234,56`` style text. Thousands dots go, the comma becomes the decimal point, other marks are dropped."""
-    plain = F.translate(text, ",.", ".")
-    return F.regexp_replace(plain, r"[^0-9.\-]", "").try_cast(MONEY)
+    return F.regexp_replace(_brazilian(text), r"[^0-9.\-]", "").try_cast(MONEY)
 
 
 def parse_number_auto(text: Column, to: str = MONEY) -> Column:
@@ -19,11 +23,10 @@ def parse_number_auto(text: Column, to: str = MONEY) -> Column:
     text = F.trim(text)
     last_comma = F.locate(",", F.reverse(text))
     last_dot = F.locate(".", F.reverse(text))
-    brazilian = F.translate(text, ",.", ".")
     plain = (
         F.when(F.lower(text).isin("", "nan", "none", "nat"), F.lit(None))
-        .when((last_comma > 0) & ((last_dot == 0) | (last_comma < last_dot)), brazilian)
-        .when(last_comma > 0, F.translate(text, ",", ""))
+        .when((last_comma > 0) & ((last_dot == 0) | (last_comma < last_dot)), _brazilian(text))
+        .when(last_comma > 0, F.replace(text, F.lit(","), F.lit("")))
         .otherwise(text)
     )
     return plain.try_cast(to)
@@ -31,4 +34,4 @@ def parse_number_auto(text: Column, to: str = MONEY) -> Column:
 
 def money_text(amount: Column) -> Column:
     """Two decimals with a comma, no thousands mark."""
-    return F.translate(amount.cast(MONEY).cast("string"), ".", ",")
+    return F.replace(amount.cast(MONEY).cast("string"), F.lit("."), F.lit(","))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -12,38 +13,50 @@ ANY_NULL_WORDS = ("", "nan", "none", "null", "n/a")
 NON_ASCII = r"[^\x00-\x7F]"
 
 
-def _fold_table() -> tuple[str, str, dict[str, str]]:
-    """Characters whose compatibility decomposition is ASCII: one-to-one pairs and longer expansions."""
-    source, target, longer = [], [], {}
-    for start, stop in ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2200), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)):
-        for point in range(start, stop):
-            char = chr(point)
-            ascii_part = "".join(c for c in unicodedata.normalize("NFKD", char) if ord(c) < 128)
-            if len(ascii_part) == 1:
-                source.append(char)
-                target.append(ascii_part)
-            elif ascii_part:
-                longer[char] = ascii_part
-    return "".join(source), "".join(target), longer
+# Letters of western languages with accents, the ones met in nearly all texts.
+COMMON_ACCENTS = "áàâãäåéèêëíìîïóòôõöúùûüçñÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑºª"
 
 
-_FOLD_FROM, _FOLD_TO, _FOLD_LONGER = _fold_table()
-_LONGER_PATTERN = "[" + "".join(_FOLD_LONGER) + "]"
+def fold_plain(text: str) -> str:
+    """Drop accents and characters without an ASCII form from a Python string, when the plan is built."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if ord(c) < 128)
 
 
-def fold_ascii(text: Column) -> Column:
-    """Drop accents and any character without an ASCII form. Plain ASCII text passes straight through."""
-    expanded = text
-    for char, ascii_part in _FOLD_LONGER.items():
-        expanded = F.replace(expanded, F.lit(char), F.lit(ascii_part))
-    expanded = F.when(text.rlike(_LONGER_PATTERN), expanded).otherwise(text)
-    folded = F.regexp_replace(F.translate(expanded, _FOLD_FROM, _FOLD_TO), NON_ASCII, "")
-    return F.when(text.rlike(NON_ASCII), folded).otherwise(text)
+def _other_characters() -> str:
+    """Every further character of the Latin, punctuation, letter-like and width blocks that has an ASCII form."""
+    blocks = ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2200), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
+    chars = (chr(point) for start, stop in blocks for point in range(start, stop))
+    return "".join(c for c in chars if c not in COMMON_ACCENTS and fold_plain(c))
 
 
-def fold_plain(text: str) -> str:
-    """The same fold for a Python string, used on search terms when the plan is built."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if ord(c) < 128)
+def _replace_each(text: Column, characters: str) -> Column:
+    # A loop over constant pairs: one compact expression, where nested calls would make the generated
+    # code too long to be compiled.
+    pairs = F.array(*[F.struct(F.lit(c).alias("old"), F.lit(fold_plain(c)).alias("new")) for c in characters])
+    return F.aggregate(pairs, text, lambda done, pair: F.replace(done, pair["old"], pair["new"]))
+
+
+def fold_ascii(text: Column) -> Column:
+    """Drop accents and any character without an ASCII form. Plain ASCII text passes straight through."""
+    common = _replace_each(text, COMMON_ACCENTS)
+    rest = F.regexp_replace(_replace_each(common, _other_characters()), NON_ASCII, "")
+    return (F.when(~text.rlike(NON_ASCII), text)
+            .when(~common.rlike(NON_ASCII), common)
+            .otherwise(rest))
+
+
+def accent_pattern(text: str) -> str:
+    """Pattern that finds lower-case ``text`` whatever the accents of the text searched."""
+    forms: dict[str, str] = {}
+    for char in COMMON_ACCENTS + _other_characters():
+        plain = fold_plain(char)
+        if len(plain) == 1 and char == char.lower():
+            forms[plain] = forms.get(plain, "") + char
+    pieces = []
+    for char in fold_plain(text).lower():
+        accents = forms.get(char, "") if char.isalpha() else ""
+        pieces.append(f"[{char}{accents}]\\p{{M}}*" if accents else re.escape(char))
+    return "".join(pieces)
 
 
 def fold_ascii_upper(text: Column) -> Column:
@@ -78,7 +91,7 @@ def profile_answer(text: Column) -> Column:
 
 def slug(text: Column, limit: int | None = None) -> Column:
     """Spaces and dashes to underscores; everything but letters, digits, underscore and dot goes."""
-    name = F.regexp_replace(F.translate(text, " -", "__"), r"[^\p{L}\p{N}_.]", "")
+    name = F.regexp_replace(F.regexp_replace(text, "[ -]", "_"), r"[^\p{L}\p{N}_.]", "")
     return name if limit is None else F.substring(name, 1, limit)
 
 

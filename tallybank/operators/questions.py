@@ -76,11 +76,11 @@ def content_key(*columns: str) -> Column:
 
 def output_name(number: Column, record_prefix: str = "orgao", prefix_length: int | None = None) -> Column:
     """``Q001_<year>_<body>_<topic>_GAB<answer>`` from a normalised record, unsafe characters removed."""
-    topic = F.substring(F.translate("assunto", " /", "_-"), 1, 40)
+    topic = F.substring(F.replace(F.replace("assunto", F.lit(" "), F.lit("_")), F.lit("/"), F.lit("-")), 1, 40)
     label = F.col(record_prefix)
     if prefix_length is not None:
         # Board variant: shortened board before the year.
-        label = F.substring(F.translate(label, " ", "_"), 1, prefix_length)
+        label = F.substring(F.replace(label, F.lit(" "), F.lit("_")), 1, prefix_length)
         parts = (label, F.col("ano"))
     else:
         parts = (F.col("ano"), label)

@@ -17,8 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame, columns) -> DataFrame:
+    """Only these columns, over all cores when the input is a few files with fewer parts than cores.
+
+    A large table has far more parts than cores and is left as it is, without a shuffle.
+    """
+    frame = frame.select(*columns)
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def _amount_text(amount: Column) -> Column:
-    return F.translate(amount.cast("decimal(18,2)").cast("string"), ".", ",")
+    return F.replace(amount.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
 
 # --- ledger ----------------------------------------------------------------------------------
@@ -26,7 +36,9 @@ def _amount_text(amount: Column) -> Column:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Journal lines as text: mixed date layouts, garbage dates, blanks, repeated postings."""
-    lines, orders, parts = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "part"))
+    lines = spread(table(spark, sf_dir, "lineitem"), (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag"))
+    orders, parts = table(spark, sf_dir, "orders"), table(spark, sf_dir, "part")
     rows = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey")))
     order, part = F.col("l_orderkey"), F.col("l_partkey")
@@ -170,8 +182,8 @@ def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc % 5 == 3, "RESUMO PARA MEMORIZAÇÃO: MOTIVO DA RESPOSTA CORRETA: ")
         .otherwise("⚠️ erro "),
     )
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", "source", F.concat(marks, F.col("text")).alias("text"))
+    docs = spread(table(spark, sf_dir, "documents"), ("doc_id", "lang", "source", "text"))
+    return docs.select("doc_id", "lang", "source", F.concat(marks, F.col("text")).alias("text"))
 
 
 ANALYSES_SQL = """
@@ -191,7 +203,7 @@ FROM documents
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two attempts per document: the bare text, then the text with rubric marks. Some bare ones failed."""
-    bare = table(spark, sf_dir, "documents").select(
+    bare = spread(table(spark, sf_dir, "documents"), ("doc_id", "text")).select(
         "doc_id", F.lit(1).alias("attempt"),
         F.when(F.col("doc_id") % 19 == 0, F.concat(F.lit("❌ Erro: "), F.col("text")))
         .otherwise(F.col("text")).alias("text"))
@@ -236,7 +248,8 @@ def question_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<!DOCTYPE html><html><head><style>p{margin:0}</style></head><body>"),
         item(1, html_escape(F.col("text")), own), item(2, F.col("lang"), F.lit("")), key,
         F.lit("</body></html>"))
-    return table(spark, sf_dir, "documents").select(doc.alias("page_id"), html.alias("html"))
+    return (spread(table(spark, sf_dir, "documents"), ("doc_id", "text", "lang", "source"))
+            .select(doc.alias("page_id"), html.alias("html")))
 
 
 def mock_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
