@@ -64,8 +64,10 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
     follows = F.coalesce((F.col("DATA") >= month_start) & (F.col("DATA") < F.add_months(month_start, 1)),
                          F.lit(False))
     posted = (frame.filter((F.col("DATA") == base) & F.col("CONTA").isNotNull() & F.col("MOVIMENTO").isNotNull())
-              .select("CONTA", "MOVIMENTO").distinct()
-              .withColumns({"__turn": F.lit(0), "__posted": F.lit(True)}))
+              .groupBy("CONTA", "MOVIMENTO")
+              # Always 0, but computed, so that the optimizer keeps it as a join key.
+              .agg(F.max(F.date_diff("DATA", base)).alias("__turn"))
+              .withColumn("__posted", F.lit(True)))
     # Rows outside the month can never match. Should the join shuffle, their third key part spreads them.
     turned = frame.withColumn("__turn", F.when(follows, 0).otherwise(1 + F.spark_partition_id()))
     joined = turned.join(sized_broadcast(posted, cfg.broadcast_rows), ["CONTA", "MOVIMENTO", "__turn"], "left")
