@@ -11,12 +11,13 @@ from tallybank.functions.money import parse_number_auto
 def _without_float_tail(text: Column) -> Column:
     # A number read as float is digits and exactly ".0"; that tail has to go before the dots do, or
     # 12345.0 becomes 123450. A structured account such as 1.00000 is left alone.
-    return F.regexp_replace(F.trim(text), r"^(\d+)\.0$", "$1")
+    text = F.trim(text)
+    return F.when(text.endswith(".0"), F.regexp_replace(text, r"^(\d+)\.0$", "$1")).otherwise(text)
 
 
 def clean_account(text: Column) -> Column:
     """Ledger or trial-balance account without dots and dashes."""
-    return F.trim(F.regexp_replace(_without_float_tail(text), "[.-]", ""))
+    return F.trim(F.replace(F.replace(_without_float_tail(text), F.lit("."), F.lit("")), F.lit("-"), F.lit("")))
 
 
 def clean_counterparty(text: Column) -> Column:

@@ -15,7 +15,9 @@ def _brazilian(text: Column) -> Column:
 
 def parse_money_br(text: Column) -> Column:
     """``1.234,56`` style text. Thousands dots go, the comma becomes the decimal point, other marks are dropped."""
-    return F.regexp_replace(_brazilian(text), r"[^0-9.\-]", "").try_cast(MONEY)
+    plain = _brazilian(text)
+    # Nearly all amounts cast at once; only the others are searched for stray marks.
+    return F.coalesce(plain.try_cast(MONEY), F.regexp_replace(plain, r"[^0-9.\-]", "").try_cast(MONEY))
 
 
 def parse_number_auto(text: Column, to: str = MONEY) -> Column:

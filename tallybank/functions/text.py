@@ -5,50 +5,39 @@ from __future__ import annotations
 import re
 import unicodedata
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NULL_WORDS = ("", "nan", "none")
 ANY_NULL_WORDS = ("", "nan", "none", "null", "n/a")
 NON_ASCII = r"[^\x00-\x7F]"
 
 
-# Letters of western languages with accents, the ones met in nearly all texts.
-COMMON_ACCENTS = "áàâãäåéèêëíìîïóòôõöúùûüçñÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑºª"
-
-
 def fold_plain(text: str) -> str:
     """Drop accents and characters without an ASCII form from a Python string, when the plan is built."""
     return "".join(c for c in unicodedata.normalize("NFKD", text) if ord(c) < 128)
 
 
-def _other_characters() -> str:
-    """Every further character of the Latin, punctuation, letter-like and width blocks that has an ASCII form."""
-    blocks = ((0xA0, 0x250), (0x1E00, 0x1F00), (0x2000, 0x2200), (0xFB00, 0xFB07), (0xFF01, 0xFF5F))
-    chars = (chr(point) for start, stop in blocks for point in range(start, stop))
-    return "".join(c for c in chars if c not in COMMON_ACCENTS and fold_plain(c))
-
-
-def _replace_each(text: Column, characters: str) -> Column:
-    # A loop over constant pairs: one compact expression, where nested calls would make the generated
-    # code too long to be compiled.
-    pairs = F.array(*[F.struct(F.lit(c).alias("old"), F.lit(fold_plain(c)).alias("new")) for c in characters])
-    return F.aggregate(pairs, text, lambda done, pair: F.replace(done, pair["old"], pair["new"]))
+# Spark has no Unicode decomposition. Arrow has, as one vectorised call per batch, which measured about
+# ten times faster than replacing accented letters one after the other in the JVM.
+@F.arrow_udf(T.StringType())
+def _decompose(text: pa.Array) -> pa.Array:
+    return pc.utf8_normalize(text, form="NFKD")
 
 
 def fold_ascii(text: Column) -> Column:
-    """Drop accents and any character without an ASCII form. Plain ASCII text passes straight through."""
-    common = _replace_each(text, COMMON_ACCENTS)
-    rest = F.regexp_replace(_replace_each(common, _other_characters()), NON_ASCII, "")
-    return (F.when(~text.rlike(NON_ASCII), text)
-            .when(~common.rlike(NON_ASCII), common)
-            .otherwise(rest))
+    """Drop accents and any character without an ASCII form. Plain ASCII text never leaves the JVM."""
+    special = F.when(text.rlike(NON_ASCII), text)
+    return F.coalesce(F.regexp_replace(_decompose(special), NON_ASCII, ""), text)
 
 
 def accent_pattern(text: str) -> str:
     """Pattern that finds lower-case ``text`` whatever the accents of the text searched."""
     forms: dict[str, str] = {}
-    for char in COMMON_ACCENTS + _other_characters():
+    for char in map(chr, (*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2070, 0x2200), *range(0xFF41, 0xFF5B))):
         plain = fold_plain(char)
         if len(plain) == 1 and char == char.lower():
             forms[plain] = forms.get(plain, "") + char
@@ -61,8 +50,7 @@ def accent_pattern(text: str) -> str:
 
 def fold_ascii_upper(text: Column) -> Column:
     """Upper-case ASCII words with single spaces; slashes, dashes and symbols separate words."""
-    spaced = F.regexp_replace(text, r"[/\-]+", " ")
-    words = F.regexp_replace(fold_ascii(spaced), r"[^A-Za-z0-9]+", " ")
+    words = F.regexp_replace(fold_ascii(text), r"[^A-Za-z0-9]+", " ")
     return F.upper(F.trim(words))
 
 

@@ -17,6 +17,7 @@ from tallybank.operators.rules import (
     REPEATED, REVERSED, RULES, SAMPLED, TEXT_COLUMNS, TRIPLICATE, rule_mark)
 from tallybank.operators.sampling import mark_sample, sample_cut
 from tallybank.operators.silver import AMOUNTS, as_date, as_money
+from tallybank.sources.staging import staged
 
 KEEP, DROP = "MANTER", "RETIRAR"
 REPEAT_KEYS = ("CONTA", "MOVIMENTO")
@@ -68,6 +69,8 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
               # Always 0, but computed, so that the optimizer keeps it as a join key.
               .agg(F.max(F.date_diff("DATA", base)).alias("__turn"))
               .withColumn("__posted", F.lit(True)))
+    # Written once: it is counted to choose the join, and then joined.
+    posted = staged(posted, "base-day")
     # Rows outside the month can never match. Should the join shuffle, their third key part spreads them.
     turned = frame.withColumn("__turn", F.when(follows, 0).otherwise(1 + F.spark_partition_id()))
     joined = turned.join(sized_broadcast(posted, cfg.broadcast_rows), ["CONTA", "MOVIMENTO", "__turn"], "left")

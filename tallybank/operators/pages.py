@@ -166,6 +166,10 @@ def _read_pages(html: pa.Array) -> pa.Array:
     return pa.array([read_page(h) for h in html.to_pylist()], type=to_arrow_type(PAGE_TYPE))
 
 
+# Said to be non-deterministic so that the planner calls it once per page, not once per field used.
+_read_pages = _read_pages.asNondeterministic()
+
+
 def read_pages(pages: DataFrame) -> DataFrame:
     """Pages with a ``page`` struct of raw texts. Pages without any question are dropped before Python."""
     holds = F.contains("html", F.lit(ITEM_CLASS)) | F.contains("html", F.lit(BLOCK_CLASS))

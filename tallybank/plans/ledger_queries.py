@@ -15,7 +15,7 @@ from tallybank.operators import silver as S
 from tallybank.operators.joins import first_seen
 from tallybank.operators.sampling import audit_sample
 from tallybank.operators.schema import clean_names
-from tallybank.plans.adapters import BALANCE_SQL, LEDGER_SQL, balance, ledger, table
+from tallybank.plans.adapters import BALANCE_SQL, LEDGER_SQL, balance, ledger, spread, table
 from tallybank.plans.registry import query
 from tallybank.sources.ledger import revalidate
 from tallybank.sources.sinks import fits_rows
@@ -306,7 +306,8 @@ def normalize(spark, sf):
     regexp_replace(text, '[/\-]+', ' ', 'g')), '[^\x00-\x7F]', '', 'g'), '[^A-Za-z0-9]+', ' ', 'g'))) AS t
   FROM documents""")
 def fold(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", fold_ascii_upper(F.col("text")).alias("t"))
+    docs = spread(table(spark, sf, "documents"), ("doc_id", "text"))
+    return docs.select("doc_id", fold_ascii_upper(F.col("text")).alias("t"))
 
 
 @query("clean_account", f"""{LEDGER} SELECT replace(CONTA, '.', '') AS conta,
