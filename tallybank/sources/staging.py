@@ -11,12 +11,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallybank-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    """The shared folder the session names; a temporary one only where none is named."""
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
+    if named:
+        return named
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallybank-"))
+    return context.getCheckpointDir()
 
 
 def staged(frame: DataFrame, name: str = "stage") -> DataFrame:
