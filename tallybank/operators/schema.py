@@ -24,11 +24,13 @@ MOCK_COLUMNS = ("Numero_Questao", "Resultado", "Enunciado", "Resposta_Marcada",
 def clean_name(name: str) -> str:
     """Repair a header cell: byte-order mark, quotes, doubly encoded text, accents, separators."""
     name = name.strip().lstrip("﻿").replace("ï»¿", "")
-    try:
-        # Text written as UTF-8 and read as a single-byte charset turns back this way.
-        name = name.encode("cp1252").decode("utf-8")
-    except UnicodeError:
-        pass
+    for charset in ("latin-1", "cp1252"):
+        try:
+            # Text written as UTF-8 and read as a single-byte charset turns back this way.
+            name = name.encode(charset).decode("utf-8")
+            break
+        except UnicodeError:
+            continue
     name = name.lstrip("﻿").replace('"', "").replace("'", "").strip()
     name = re.sub(r"[ .\-]", "_", name)
     return "".join(c for c in unicodedata.normalize("NFD", name) if unicodedata.category(c) != "Mn")

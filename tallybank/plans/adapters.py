@@ -42,7 +42,10 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey")))
     order, part = F.col("l_orderkey"), F.col("l_partkey")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    # Cut from the text form, so that no time zone takes part.
+    stamp = F.col("o_orderdate").cast("string")
+    day = F.substring(stamp, 1, 10)
+    day_first = F.concat_ws("/", F.substring(stamp, 9, 2), F.substring(stamp, 6, 2), F.substring(stamp, 1, 4))
     copies = F.filter(F.array(*[F.lit(i) for i in (1, 2, 3, 4)]),
                       lambda k: (k == 1) | ((k < 4) & (order % 50 == 0)) | ((k == 4) & (day == "1996-12-31")))
     price = F.col("l_extendedprice")
@@ -57,7 +60,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(order % 97 == 0, None)
         .when(order % 89 == 0, "Conta:")
         .when(order % 10 == 0, day)
-        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("DATA"),
+        .otherwise(day_first).alias("DATA"),
         F.concat(F.lit("1."), F.lpad((F.col("o_custkey") % 50).cast("string"), 5, "0")).alias("CONTA"),
         F.when(F.col("l_linenumber") != 7,
                F.concat(F.lit("1-"), F.lpad((F.col("l_suppkey") % 60).cast("string"), 5, "0"))
@@ -241,9 +244,10 @@ def question_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     own = F.when(doc % 3 == 1, F.concat(F.lit('<span class="js-question-right-answer"> '), answer,
                                         F.lit(" </span>"))).otherwise("")
-    key = F.when(doc % 3 == 0, F.concat(
+    key = F.concat(
         F.lit('<fieldset class="q-questions-feedback"><div class="q-feedback"><span class="q-index">1:</span>'
-              '<span class="q-answer">'), answer, F.lit("</span></div></fieldset>"))).otherwise("")
+              '<span class="q-answer">'), F.when(doc % 3 == 0, answer).otherwise("N/A"),
+        F.lit("</span></div></fieldset>"))
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><style>p{margin:0}</style></head><body>"),
         item(1, html_escape(F.col("text")), own), item(2, F.col("lang"), F.lit("")), key,

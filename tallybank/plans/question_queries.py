@@ -36,12 +36,15 @@ def pages_scan(spark, sf):
 LINK_PATTERNS = ("/the", "http", "tion", "/")
 
 
-@query("page_links", r"""WITH anchors AS (
+ANCHORS_SQL = r"""WITH anchors AS (
   SELECT page_id, unnest(list_zip(
     regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1),
     regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2),
     range(100000)[:len(regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1))])) AS a
-  FROM pages),
+  FROM pages),"""
+
+
+@query("page_links", ANCHORS_SQL + r"""
 links AS (
   SELECT page_id, replace(a[1], '&amp;', '&') AS href, a[3] AS pos,
     coalesce(nullif(trim(regexp_replace(a[2], '<[^>]*>', '', 'g')), ''), replace(a[1], '&amp;', '&')) AS name,
@@ -80,8 +83,8 @@ def question_extract(spark, sf):
     return Q.widen_options(P.extract_questions(P.read_pages(question_pages(spark, sf))))
 
 
-@query("answer_key_extract", f"""SELECT doc_id AS page_id, '1' AS idx, {_sql_letter('doc_id')} AS answer
-  FROM documents WHERE doc_id % 3 = 0""")
+@query("answer_key_extract", f"""SELECT doc_id AS page_id, '1' AS idx,
+  CASE WHEN doc_id % 3 = 0 THEN {_sql_letter('doc_id')} ELSE 'N/A' END AS answer FROM documents""")
 def answer_key_extract(spark, sf):
     return P.extract_answer_key(P.read_pages(question_pages(spark, sf)))
 
@@ -254,18 +257,14 @@ def answered_rate(spark, sf):
     return Q.answered_rate(questions(spark, sf))
 
 
-@query("pick_items", """SELECT source, count(*) AS n FROM documents
-  WHERE source IN (SELECT source FROM (SELECT source, row_number() OVER (ORDER BY source) AS i
-    FROM (SELECT DISTINCT source FROM documents)) WHERE i IN (1, 4, 999)) GROUP BY source""")
+@query("pick_items", ANCHORS_SQL.rstrip(",") + """
+SELECT page_id, a[3] + 1 AS number, replace(a[1], '&amp;', '&') AS href FROM anchors
+WHERE a[1] IS NOT NULL AND a[3] + 1 IN (1, 4, 999)""")
 def pick_items(spark, sf):
-    """A numbered listing of notebooks (here sources), and the questions of the chosen ones."""
-    docs = table(spark, sf, "documents")
-    # The listing is what a person picks from, one line per notebook.
-    names = docs.select("source").distinct()
-    rank = names.alias("a").join(names.alias("b"), F.col("b.source") <= F.col("a.source"))
-    listing = rank.groupBy(F.col("a.source").alias("source")).agg(F.count("*").alias("number"))
-    chosen = Q.pick_items(listing, "number", "1, 4, 999")
-    return docs.join(chosen.select("source"), "source", "left_semi").groupBy("source").agg(F.count("*").alias("n"))
+    """The links a person picks by number from the listing of each page."""
+    listing = P.page_anchors(table(spark, sf, "pages")).select(
+        "page_id", (F.col("pos") + 1).alias("number"), "href")
+    return Q.pick_items(listing, "number", "1, 4, 999")
 
 
 def work_and_cache(spark, sf):

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybank.functions.dates import date_text, parse_date
 from tallybank.functions.money import parse_money_br
+from tallybank.functions.text import NON_ASCII
 from tallybank.operators.schema import clean_names, require_columns
 
 SEPARATOR = ";"
-REPLACEMENT = "�"
 BOMS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16LE"), (b"\xfe\xff", "UTF-16BE"))
 CALENDAR_SCHEMA = T.StructType([T.StructField("DATA", T.StringType())])
 AMOUNTS = ("MOVIMENTO", "DEBITO", "CREDITO")
@@ -23,9 +23,8 @@ class LedgerReadError(ValueError):
 
 def detect_encoding(spark: SparkSession, path: str, default: str = "UTF-8") -> str:
     """Encoding named by the byte-order mark of the first file found, else ``default``."""
-    # One file, and only its first bytes, reach the driver.
-    first = (spark.read.format("binaryFile").load(path)
-             .select(F.substring("content", 1, 3).alias("head")).head())
+    # Only the start of the first line reaches the driver, whatever the size of the files.
+    first = spark.read.text(path).select(F.substring(F.col("value").cast("binary"), 1, 3).alias("head")).head()
     head = bytes(first["head"]) if first else b""
     return next((name for mark, name in BOMS if head.startswith(mark)), default)
 
@@ -37,21 +36,25 @@ def _csv(spark: SparkSession, path: str, sep: str, encoding: str, multiline: boo
             .option("multiLine", multiline).csv(path))
 
 
+def utf8_where_valid(text: Column) -> Column:
+    """Text read byte by byte as ISO-8859-1: bytes that form valid UTF-8 become that, others stay."""
+    bytes_again = F.encode(text, "ISO-8859-1").cast("string")
+    return F.when(text.rlike(NON_ASCII), F.coalesce(F.try_validate_utf8(bytes_again), text)).otherwise(text)
+
+
 def read_text_table(spark: SparkSession, path: str, sep: str = SEPARATOR, encoding: str | None = None,
-                    multiline: bool = False, check_rows: int = 10_000) -> DataFrame:
+                    multiline: bool = False) -> DataFrame:
     """Delimited text with a header, all columns as strings and names cleaned.
 
-    Without an explicit encoding UTF-8 is read; if replacement characters turn up in the header or
-    in the first ``check_rows`` rows, the file is read as ISO-8859-1 instead.
+    Without an explicit encoding a byte-order mark decides between UTF-16 and one-byte text; the
+    latter is read losslessly as ISO-8859-1 and each value that is valid UTF-8 is read as such. So
+    every row is decoded right in a single pass, also where files of both kinds are mixed.
     """
-    if encoding:
+    encoding = encoding or detect_encoding(spark, path)
+    if encoding != "UTF-8":
         return clean_names(_csv(spark, path, sep, encoding, multiline))
-    frame = _csv(spark, path, sep, "UTF-8", multiline)
-    broken = any(REPLACEMENT in name for name in frame.columns)
-    if not broken and frame.columns:
-        line = F.concat_ws(sep, *[F.col(f"`{c}`") for c in frame.columns])
-        broken = not frame.limit(check_rows).filter(line.contains(REPLACEMENT)).isEmpty()
-    return clean_names(_csv(spark, path, sep, "ISO-8859-1", multiline) if broken else frame)
+    frame = clean_names(_csv(spark, path, sep, "ISO-8859-1", multiline))
+    return frame.select(*[utf8_where_valid(F.col(f"`{c}`")).alias(c) for c in frame.columns])
 
 
 def read_ledger(spark: SparkSession, path: str, sep: str = SEPARATOR, **options) -> DataFrame:
