@@ -51,6 +51,9 @@ def read_text_table(spark: SparkSession, path: str, sep: str = SEPARATOR, encodi
     every row is decoded right in a single pass, also where files of both kinds are mixed.
     """
     encoding = encoding or detect_encoding(spark, path)
+    if encoding.startswith("UTF-16"):
+        # Lines of two-byte text cannot be found byte by byte, so such files are read whole.
+        multiline = True
     if encoding != "UTF-8":
         return clean_names(_csv(spark, path, sep, encoding, multiline))
     frame = clean_names(_csv(spark, path, sep, "ISO-8859-1", multiline))

@@ -21,6 +21,8 @@ def test_query_matches_sql(spark, small, database, name):
     result = database.execute(entry.oracle_sql()[name])
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(frame.columns)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert rows_of(frame.columns, frame.collect()) == rows_of(names, result.fetchall())
 
 

@@ -13,7 +13,7 @@ from tallybank.sources.staging import staged, staging_folder
 TEXT = "Conta.1;Descrição;DATA;MOVIMENTO\n1.01;Ação à vista;31/12/2025;1.234,56\n1.02;;Conta:;-5,00\n"
 
 
-@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "iso-8859-1"])
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "iso-8859-1", "utf-16"])
 def test_read_ledger_finds_the_encoding(spark, tmp_path, encoding):
     (tmp_path / "a.csv").write_bytes(TEXT.replace("Conta.1", "CONTA").encode(encoding))
     frame = ledger.read_ledger(spark, str(tmp_path))
@@ -22,6 +22,12 @@ def test_read_ledger_finds_the_encoding(spark, tmp_path, encoding):
     assert {t for _, t in frame.dtypes} == {"string"}
 
 
+def test_files_of_two_encodings_in_one_folder(spark, tmp_path):
+    for name in ("utf-8", "iso-8859-1"):
+        (tmp_path / f"{name}.csv").write_bytes(f"CONTA;TEXTO\n{name};ação\n".encode(name))
+    assert {r["TEXTO"] for r in ledger.read_ledger(spark, str(tmp_path)).collect()} == {"ação"}
+
+
 def test_read_ledger_needs_the_account_and_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text("X;Y\n1;2\n")
     with pytest.raises(ledger.LedgerReadError, match="CONTA"):
