@@ -33,26 +33,32 @@ def contains_any(text: Column, words, drop_blank: bool = True, wildcards: bool =
     return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
 
 
-def names_pattern(names, fold: bool = True) -> str | None:
+def names_pattern(names, spell=re.escape) -> str | None:
     """One pattern for a list of names: short single words need word boundaries, the rest match anywhere.
-
-    The names are always folded. With ``fold`` the pattern also accepts every accented form of their
-    letters, which saves folding the texts; without it only plain letters match.
-    """
+    Names are folded, then spelled out as patterns by ``spell``."""
     parts = []
     for name in names:
         plain = fold_plain(str(name)).strip().lower()
         if not plain:
             continue
-        body = accent_pattern(plain) if fold else re.escape(plain)
+        body = spell(plain)
         short = len(plain.split()) == 1 and len(plain) <= SHORT_NAME
         parts.append(rf"(?<![\p{{L}}\p{{N}}_]){body}(?![\p{{L}}\p{{N}}_])" if short else body)
     return "|".join(parts) or None
 
 
 def matches_names(text: Column, names, fold: bool = True) -> Column:
-    pattern = names_pattern(names, fold)
-    return F.lit(False) if pattern is None else F.lower(text).rlike(pattern)
+    """True where a name occurs. With ``fold`` accents of the text do not matter: the pattern accepts the
+    accented forms of each letter, which saves folding the texts."""
+    plain = names_pattern(names)
+    if plain is None:
+        return F.lit(False)
+    text = F.lower(text)
+    if not fold:
+        return text.rlike(plain)
+    latin1 = names_pattern(names, lambda name: accent_pattern(name, latin1=True))
+    return (F.when(text.rlike(r"[^\x00-\xFF]"), text.rlike(names_pattern(names, accent_pattern)))
+            .otherwise(text.rlike(latin1)))
 
 
 def nonworking_day(date: Column, holidays, weekend_years=None) -> Column:
