@@ -497,7 +497,7 @@ def flag_summary(spark, sf):
   ON {', '.join(TEST_NAMES)} INTO NAME t VALUE h)""")
 def rule_hits(spark, sf):
     """All 21 tests, hits of each."""
-    return A.rule_hits(full_audit(spark, sf))
+    return A.count_hits(staged(classified(spark, sf), "silver"), FULL, prepared=True)
 
 
 @query("audit_flag", f"""{SQL_FULL} SELECT CONTA, count(*) FILTER (WHERE FLAG = 'MANTER') AS kept,

@@ -164,6 +164,9 @@ def test_counts_without_ranking_agree_with_marks(spark):
     result = A.run_audit(frame, AuditConfig(active=("TESTE_4_1",)), prepared=True).frame
     marks = result.filter(F.col("TESTE_4_1") == "SIM").count()
     assert marks == A.triplicate_counts(frame).agg(F.sum("marks")).head()[0]
+    cfg = AuditConfig(active=("TESTE_1_3", "TESTE_2_1", "TESTE_4_1"))
+    expected = sorted(map(tuple, A.rule_hits(A.run_audit(frame, cfg, prepared=True)).collect()))
+    assert sorted(map(tuple, A.count_hits(frame, cfg, prepared=True).collect())) == expected
 
 
 @pytest.mark.parametrize("size", [1, 450, 1200])

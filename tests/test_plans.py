@@ -47,6 +47,11 @@ def test_full_audit_shuffles_the_ledger_three_times(silver):
     assert len(re.findall(r"\(\d+\) BroadcastExchange\n", plan)) == 1
 
 
+def test_counting_hits_ranks_nothing(silver):
+    plan = plan_of(A.count_hits(silver, L.FULL, prepared=True))
+    assert "Window" not in plan and len(re.findall(r"Exchange\nInput", plan)) <= 5
+
+
 def test_base_day_filter_reaches_the_scan(silver):
     keys = silver.filter(F.col("DATA") == F.lit("1996-12-31").cast("date")).select("CONTA", "MOVIMENTO")
     plan = plan_of(keys)
