@@ -82,3 +82,46 @@ def free_name(taken: Iterable[str], wish: str) -> str:
     while wish.lower() in names:
         wish += "_"
     return wish
+
+
+def filter_texts(docs: DataFrame, text: str, start: Callable[[], Callable[[list], list[bool]]]) -> DataFrame:
+    """The rows of `docs`, all columns as they are, whose text passes; one pass, no shuffle.
+
+    `start()` runs once in each task and returns a function from a list of texts to one boolean for each of them.
+    """
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = start()
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                yield batch.filter(pa.array(passes(batch.column(place).to_pylist()), type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def rewrite_texts(docs: DataFrame, text: str, length: str | None,
+                  start: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """The rows of `docs` with new texts, and with their lengths in code points in the column `length` if it is there.
+
+    `start()` runs once in each task and returns a function from a list of texts to the list of new ones.
+    """
+    place = docs.columns.index(text)
+    count = docs.columns.index(length) if length in docs.columns else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                old, columns = batch.column(place).to_pylist(), list(batch.columns)
+                new = make(old)
+                columns[place] = pa.array(new, type=batch.schema.field(place).type)
+                if count is not None:
+                    sizes = [s if a is b or a == b else len(b)
+                             for a, b, s in zip(old, new, columns[count].to_pylist(), strict=True)]
+                    columns[count] = pa.array(sizes, type=batch.schema.field(count).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
