@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 from tallybank.llm.common import BATCH_ROWS, arrow_schema, map_texts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-#: Distinct pieces that a task remembers; beyond it the memory starts anew.
-REMEMBERED = 200_000
+#: Distinct pieces that a task remembers, and the longest of them; beyond the number the memory starts anew.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 
 
 @functools.cache
@@ -56,7 +56,11 @@ class Codec:
         if new := list({p for p in pieces if p not in known}):
             for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
                 known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+        out = b"".join([known[p] for p in pieces])
+        for piece in new:
+            if len(piece) > REMEMBERED_CHARS:
+                del known[piece]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the tokens in a row; characters split over tokens come together again."""

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallybank.llm import simhash
+from tallybank.llm import bpe, repetition, secret_scan, simhash
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -13,3 +14,25 @@ from tallybank.llm.registry import query
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base spans, and all spans."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "n_random",
+                        F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to, as digests."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), offsets=False, decoded=True)
+    return encoded.select("doc_id", "n_tokens", bpe.digest("ids").alias("ids_sha256"),
+                          bpe.digest("decoded").alias("decoded_sha256"))
+
+
+@query("op8_repetition_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, shares and verdict of the repetition rules for every document."""
+    return repetition.repetition(table(spark, sf_dir, "documents"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 
@@ -205,6 +204,3 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", length_column: st
     """All rows of `docs` with secrets replaced in their texts, and the lengths of changed texts set anew."""
     return rewrite_texts(docs, text_column, length_column, lambda: lambda texts: [redact(t) for t in texts])
 
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
