@@ -19,16 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that executors and driver share: the one the session names, or one of its own in a session, as in
+    tests, that names none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
 def lasting(frame: DataFrame) -> DataFrame:
     """The frame, computed once into the folder that the session names in `spark.checkpoint.dir`.
 
-    Later passes and retries after a lost executor read those files. Only a session that names no folder, as in tests,
-    gets one of its own.
+    Later passes and retries after a lost executor read those files.
     """
-    spark = frame.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get(CHECKPOINT_DIR, None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    shared_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
@@ -47,12 +52,12 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def map_texts(frame: DataFrame, keep: list[str], text: str, made: T.StructType,
-              start: Callable[[], Callable[[list], Iterable[tuple]]]) -> DataFrame:
-    """The columns `keep` of every row beside values made from its text; one pass, no shuffle.
+def flat_map_texts(frame: DataFrame, keep: list[str], text: str, made: T.StructType,
+                   start: Callable[[], Callable[[list], Iterable[list[tuple]]]]) -> DataFrame:
+    """For each row, any number of rows made from its text, beside its columns `keep`; one pass, no shuffle.
 
-    `start()` runs once in each task and returns a function from a list of texts to one tuple for each of them. Only the
-    named columns are read, so other columns may have any name. A name in `made` must not be in `keep`.
+    `start()` runs once in each task and returns a function from a list of texts to a list of tuples for each of them.
+    Only the named columns are read, so other columns may have any name. A name in `made` must not be in `keep`.
     """
     clash = {f.name.lower() for f in made} & {k.lower() for k in keep}
     if clash:
@@ -66,8 +71,12 @@ def map_texts(frame: DataFrame, keep: list[str], text: str, made: T.StructType,
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(at, BATCH_ROWS)
-                rows = list(make(batch.column(n_kept).to_pylist()))
-                columns = [batch.column(i).cast(kinds.field(i).type) for i in range(n_kept)]
+                rows, source = [], []
+                for i, found in enumerate(make(batch.column(n_kept).to_pylist())):
+                    rows += found
+                    source += [i] * len(found)
+                columns = [batch.column(i).take(pa.array(source, type=pa.int64())).cast(kinds.field(i).type)
+                           for i in range(n_kept)]
                 columns += [pa.array([r[i] for r in rows], type=kinds.field(n_kept + i).type)
                             for i in range(len(made.fields))]
                 yield pa.RecordBatch.from_arrays(columns, schema=kinds)
@@ -76,6 +85,15 @@ def map_texts(frame: DataFrame, keep: list[str], text: str, made: T.StructType,
     return selected.mapInArrow(run, schema)
 
 
+def map_texts(frame: DataFrame, keep: list[str], text: str, made: T.StructType,
+              start: Callable[[], Callable[[list], Iterable[tuple]]]) -> DataFrame:
+    """The same with one tuple, and so one row, for each text."""
+    def each():
+        make = start()
+        return lambda texts: ([row] for row in make(texts))
+    return flat_map_texts(frame, keep, text, made, each)
+
+
 def free_name(taken: Iterable[str], wish: str) -> str:
     """The wished column name, lengthened until no column has it."""
     names = {t.lower() for t in taken}

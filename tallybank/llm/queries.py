@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, repetition, secret_scan, simhash
+from tallybank.llm import bpe, decontaminate, repetition, secret_scan, simhash
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -16,6 +16,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op4_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in every document."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, and all spans."""
