@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybank.llm import bpe, decontaminate, repetition, secret_scan, simhash
-from tallybank.llm.common import shared_folder, table
+from tallybank.llm.common import remove_folder, shared_folder, table
 from tallybank.llm.registry import query
 
 
@@ -53,13 +53,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`. What the stages return lies in the folder named in spark.checkpoint.dir."""
+    """All stages over `documents`. What a stage returns lies in the folder named in spark.checkpoint.dir until the next
+    one has been written."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
 
 

@@ -28,6 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store holds it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def lasting(frame: DataFrame) -> DataFrame:
     """The frame, computed once into the folder that the session names in `spark.checkpoint.dir`.
 

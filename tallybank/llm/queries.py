@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, decontaminate, repetition, secret_scan, simhash
+from tallybank.llm import bpe, chunks, decontaminate, repetition, secret_scan, simhash
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -30,6 +30,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that repeats across documents, at each of its places."""
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to, as digests."""
