@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, chunks, decontaminate, repetition, secret_scan, simhash
+from tallybank.llm import bpe, chunks, decontaminate, langid, repetition, secret_scan, simhash, urls
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -48,3 +48,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, shares and verdict of the repetition rules for every document."""
     return repetition.repetition(table(spark, sf_dir, "documents"))
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page and of every document. The trigram model counts all labelled documents."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    names, model = langid.text_model(langid.trigram_counts(docs))
+    rows = langid.page_rows(pages).withColumn("kind", F.lit("page")).unionByName(
+        langid.document_rows(docs).withColumn("kind", F.lit("document")))
+    found = langid.identify(rows, names, model)
+    return found.select(F.when(F.col("kind") == "page", F.col("id")).alias("page_id"),
+                        F.when(F.col("kind") == "document", F.col("id")).alias("doc_id"),
+                        "declared", "text_lang", "lang", "confidence")
