@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, chunks, decontaminate, langid, repetition, secret_scan, simhash, urls
+from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, quality, repetition, secret_scan, simhash, urls
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -16,6 +16,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_license_scan", licenses.scan_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every whole document, and license notices among its lines."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from a bounded sample of the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op4_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
