@@ -25,8 +25,7 @@ BLOCKS = RADIUS + 1
 #: Words of benchmark items that are sent to the tasks at a time; more items are searched in further rounds.
 ROUND_WORDS = 1_000_000
 
-_PLAIN = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(),
-                         string.ascii_lowercase.encode() + b" " * len(string.punctuation))
+_PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = [64 * b // BLOCKS for b in range(BLOCKS + 1)]
 _FILTER_BITS = 20
@@ -34,8 +33,8 @@ _WINDOWS = 512
 
 
 def plain_words(text: str | None) -> list[bytes]:
-    """Words in lower case (A-Z), parted at ASCII white space and punctuation; null texts have none."""
-    return text.encode().translate(_PLAIN).split() if text else []
+    """Words in lower case, parted at ASCII white space and punctuation; null texts have none."""
+    return text.lower().encode().translate(_PLAIN).split() if text else []
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

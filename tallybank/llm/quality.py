@@ -146,8 +146,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_
     known = (labels.where(labels[label_column].isNotNull() & labels[id_column].isNotNull())
              .groupBy(labels[id_column].alias("l_id")).agg(F.min(label_column).cast("int").alias("label")))
     chosen = known.where(~held_out(F.col("l_id"))).orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE_ROWS)
-    return docs.join(F.broadcast(chosen), docs[id_column] == F.col("l_id")).select(
-        F.col("l_id").alias("id"), "label", docs[text_column].cast("string").alias("text"))
+    rows = docs.select(docs[id_column].alias("id"), docs[text_column].cast("string").alias("text"))
+    return rows.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "label", "text")
 
 
 def _featured(rows: DataFrame) -> DataFrame:
@@ -167,7 +167,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_col
     rows = [np.array(r["at"], dtype=np.int64) for r in found]
     positive = np.array([r["label"] > 0 for r in found], dtype=bool)
     size = 1 << PLACE_BITS
-    test = np.arange(len(rows)) % 4 == 0
+    test = np.zeros(len(rows), dtype=bool)
+    for side in (True, False):                       # each fourth row of either class
+        test[np.flatnonzero(positive == side)[::4]] = True
     if min(positive[~test].sum(), (~positive[~test]).sum(), positive[test].sum(), (~positive[test]).sum()) < 1:
         share = (positive.sum() + 1) / (len(rows) + 2)
         return Model(np.zeros(size), np.ones(size), 0.0, 0.0, float(np.log(share / (1 - share))))

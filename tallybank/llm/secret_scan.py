@@ -129,7 +129,7 @@ def judge_token(token: bytes) -> tuple[float, float]:
     natural = (math.log(STAY) * stays + math.log((1 - STAY) / 3) * (len(codes) - 1 - stays) - math.log(4)
                + float(np.log(_NATURAL[codes]).sum()))
     ratio = -len(codes) * math.log(len(alphabet)) - natural
-    return _chi_tail(fisher, 6), min(1.0, math.exp(-min(ratio, 700.0)))
+    return _chi_tail(fisher, 6), math.exp(-min(max(ratio, 0.0), 700.0))
 
 
 def random_tokens(raw: bytes, tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:

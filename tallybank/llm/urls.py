@@ -20,10 +20,10 @@ SEED_WORDS = ("ads adult bet bets betting casino cheap gamble jackpot loan lotte
               "spam tracker viagra xxx").split()
 #: Words longer than this are not looked for in names.
 LONGEST_WORD = 20
-#: A seed word counts as often as this, in the unigrams and in the class to block.
+#: A seed word counts as often as this among the unigrams, so that names are split at it.
 SEED_COUNT = 100
-#: Added to every count of a word in a class.
-SMOOTHING = 1.0
+#: Each class is smoothed by this many words in the proportions of both, so words usual in both weigh nothing.
+SMOOTHING = 10.0
 
 
 def host_of(url: Column) -> Column:
@@ -129,15 +129,15 @@ def judged(pages: DataFrame, id_column: str = "page_id", url_column: str = "url"
     by_piece = tokens.join(classed, ["host", "path"]).groupBy("piece").agg(
         F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
     seen = by_piece.join(words, "piece").select(F.explode("words").alias("word"), "bad", "good")
-    seen = seen.unionByName(seeded.select("word", F.col("n").alias("bad"), F.lit(0).cast("long").alias("good")))
+    seen = seen.unionByName(seeded.select("word", F.lit(1).cast("long").alias("bad"), F.lit(0).cast("long").alias("good")))
     model = lasting(seen.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
-    sums = model.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
+    sums = model.agg(F.sum("bad"), F.sum("good")).first()
     urls_of = classed.agg(F.sum("bad"), F.sum(1 - F.col("bad"))).first()
-    bad_total, good_total, size = float(sums[0] or 0), float(sums[1] or 0), max(1, sums[2])
-    prior = math.log(((urls_of[0] or 0) + SMOOTHING) / ((urls_of[1] or 0) + SMOOTHING))
-    odds = model.select("word", (
-        F.log((F.col("bad") + SMOOTHING) / (bad_total + SMOOTHING * size))
-        - F.log((F.col("good") + SMOOTHING) / (good_total + SMOOTHING * size))).alias("odds"))
+    bad, good = float(sums[0] or 0), float(sums[1] or 0)
+    prior = math.log(((urls_of[0] or 0) + 1) / ((urls_of[1] or 0) + 1))
+    usual = SMOOTHING * (F.col("bad") + F.col("good")) / max(1.0, bad + good)
+    odds = model.select("word", (F.log((F.col("bad") + usual) / (bad + SMOOTHING))
+                                 - F.log((F.col("good") + usual) / (good + SMOOTHING))).alias("odds"))
     piece_odds = (words.select("piece", F.explode("words").alias("word")).join(odds, "word")
                   .groupBy("piece").agg(F.sum("odds").alias("odds")))
     scored = (tokens.join(piece_odds, "piece").groupBy(F.col("host").alias("s_host"), F.col("path").alias("s_path"))
