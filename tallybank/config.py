@@ -94,8 +94,6 @@ class AuditConfig:
     fold_names: bool = True
     # False lets a blank name match every text.
     drop_blank_names: bool = True
-    # Rows above which a lookup side is joined by shuffle instead of broadcast.
-    broadcast_rows: int = 200_000
 
     _lists: tuple[str, ...] = field(default=(
         "result_classes", "large_revenue_groups", "revenue_groups", "asset_groups",

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from tallybank.functions.text import accent_pattern, fold_plain
 
-# Above this many words one alternation replaces the chain of substring searches. The chain is a little
-# faster by itself, but many chains in one projection make generated code too long to be compiled.
-MANY_WORDS = 2
 SHORT_NAME = 5
 
 
@@ -28,9 +25,8 @@ def contains_any(text: Column, words, drop_blank: bool = True, wildcards: bool =
     text = F.lower(text)
     if wildcards:
         return reduce(or_, [text.like(f"%{w}%") for w in words])
-    if len(words) > MANY_WORDS and all(words):
-        return text.rlike("|".join(re.escape(w) for w in words))
-    return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
+    # One alternation: a chain of searches for each list makes generated code too long to be compiled.
+    return text.rlike("|".join(re.escape(w) for w in words))
 
 
 def names_pattern(names, spell=re.escape) -> str | None:

@@ -3,28 +3,26 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybank.config import AuditConfig, catalog_rows
 from tallybank.functions.dates import parse_date
 from tallybank.functions.money import parse_money_br
 from tallybank.functions.text import normalize_text
-from tallybank.operators.joins import sized_broadcast
 from tallybank.operators.ranking import RepeatMark, mark_repeats, repeats_per_key
 from tallybank.operators.rules import (
     REPEATED, REVERSED, RULES, SAMPLED, TEXT_COLUMNS, TRIPLICATE, rule_mark)
 from tallybank.operators.sampling import mark_sample, sample_cut
 from tallybank.operators.silver import AMOUNTS, as_date, as_money
-from tallybank.sources.staging import staged
 
 KEEP, DROP = "MANTER", "RETIRAR"
 REPEAT_KEYS = ("CONTA", "MOVIMENTO")
 TRIPLICATE_KEYS = ("HISTORICO", "MOVIMENTO", "DATA")
-# Within a group the earliest posting comes first; the rest of the row settles ties.
-ROW_ORDER = ("DATA", "HISTORICO", "CONTRAPARTIDA", "DEBITO", "CREDITO", "CONTA", "MOVIMENTO")
+# Within a group the earliest posting comes first; a hash of the row settles ties. Day, hash and whether the row is
+# against a result account are packed into one whole number, so groups are ordered and reduced by fixed-width values.
+ORDER, ROW_HASH = "__order", "__row_hash"
+ORDER_HASH_BITS = 36
 # Columns that are never exported.
 HELPER_COLUMNS = ("FLAG", "LINHA_SEQ", "LINHA_SEQ_TESTE4", "Semana_Resumida", "VALOR_REDONDO")
 
@@ -53,10 +51,20 @@ def runnable_tests(columns, cfg: AuditConfig) -> tuple[tuple[str, ...], dict[str
     return tuple(t for t in cfg.active if t not in skipped), skipped
 
 
-def row_order(frame: DataFrame, keys) -> tuple[str, ...]:
-    named = [c for c in ROW_ORDER if c in frame.columns]
-    rest = sorted(c for c in frame.columns if c not in named and not c.startswith("__"))
-    return tuple(c for c in named + rest if c not in keys)
+def with_row_order(frame: DataFrame, cfg: AuditConfig, columns) -> DataFrame:
+    """Add the packed order of a row and the hash of the named columns. Rows that tie on both are copies."""
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sorted(columns)]
+    row_hash = F.md5(F.concat_ws("|", *cells))
+    lead = F.conv(F.substring(F.col(ROW_HASH), 1, ORDER_HASH_BITS // 4), 16, 10).cast("long")
+    # Days from year 1 to 9999 take 22 bits; a row without a date comes first.
+    day = F.coalesce(F.datediff("DATA", F.lit("0001-01-01").cast("date")) + 1, F.lit(0)) if "DATA" in frame.columns else F.lit(0)
+    result = against_result(cfg).cast("long") if "CLASS_CTP" in frame.columns else F.lit(0)
+    packed = (day.cast("long") * (1 << ORDER_HASH_BITS) + lead) * 2 + result
+    return frame.withColumn(ROW_HASH, row_hash).withColumn(ORDER, packed)
+
+
+def against_result(cfg: AuditConfig) -> Column:
+    return F.coalesce(F.col("CLASS_CTP").isin(*cfg.result_classes), F.lit(False))
 
 
 def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
@@ -65,17 +73,11 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
     month_start = F.lit(cfg.follow_month + "-01").cast("date")
     follows = F.coalesce((F.col("DATA") >= month_start) & (F.col("DATA") < F.add_months(month_start, 1)),
                          F.lit(False))
+    # Distinct keys need no other column, so lookups that the ledger went through drop out of this side.
     posted = (frame.filter((F.col("DATA") == base) & F.col("CONTA").isNotNull() & F.col("MOVIMENTO").isNotNull())
-              .groupBy("CONTA", "MOVIMENTO")
-              # Always 0, but computed, so that the optimizer keeps it as a join key.
-              .agg(F.max(F.date_diff("DATA", base)).alias("__turn"))
-              .withColumn("__posted", F.lit(True)))
-    # Written once: it is counted to choose the join, and then joined.
-    posted = staged(posted, "base-day")
-    # Rows outside the month can never match. Should the join shuffle, their third key part spreads them.
-    turned = frame.withColumn("__turn", F.when(follows, 0).otherwise(1 + F.spark_partition_id()))
-    joined = turned.join(sized_broadcast(posted, cfg.broadcast_rows), ["CONTA", "MOVIMENTO", "__turn"], "left")
-    marked = joined.withColumn(REVERSED, F.col("__posted").isNotNull())
+              .select(F.col("CONTA").alias("__conta"), F.col("MOVIMENTO").alias("__movimento")).distinct())
+    joined = frame.join(posted, (F.col("CONTA") == F.col("__conta")) & (F.col("MOVIMENTO") == F.col("__movimento")), "left")
+    marked = joined.withColumn(REVERSED, follows & F.col("__conta").isNotNull())
     return marked.select(*frame.columns, REVERSED)
 
 
@@ -90,10 +92,11 @@ def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Aud
         marked = mark_reversals(marked, cfg)
     repeats = []
     if REPEATED in helpers:
-        repeats.append(RepeatMark(REPEAT_KEYS, row_order(source, REPEAT_KEYS), 2, REPEATED))
+        repeats.append(RepeatMark(REPEAT_KEYS, (ORDER, ROW_HASH), 2, REPEATED))
     if TRIPLICATE in helpers:
-        repeats.append(RepeatMark(TRIPLICATE_KEYS, row_order(source, TRIPLICATE_KEYS), 3, TRIPLICATE))
-    marked = mark_repeats(marked, repeats)
+        repeats.append(RepeatMark(TRIPLICATE_KEYS, (ORDER, ROW_HASH), 3, TRIPLICATE))
+    if repeats:
+        marked = mark_repeats(with_row_order(marked, cfg, source.columns), repeats)
     if SAMPLED in helpers:
         cut = sample_cut(source, cfg.sample_size, cfg.sample_seed, source.columns)
         marked = mark_sample(marked, SAMPLED, cut, cfg.sample_seed, source.columns, [m.out for m in repeats])
@@ -137,35 +140,48 @@ def rule_hits(audit: Audit) -> DataFrame:
 
 
 def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> DataFrame:
-    """The same figures when only they are wanted.
+    """The same figures when only they are wanted: one pass over the ledger, in which nothing is ranked.
 
-    The two ranked tests are counted from one aggregate per group each: rows shrink to one per group
-    before the shuffle, instead of all rows moving to be ranked. ``frame`` is read once per part, so
-    it should be a written table.
+    Each row is counted for itself, and once more for each group that the two tests of repeated rows look at. All are
+    reduced to one row per group before the shuffle, by whole numbers, so groups of any size stay cheap: of n repeated
+    rows n-1 or n-2 are hits, less the first row where it would have been one. The sample has its size.
     """
     source = frame if prepared else prepare_ledger(frame)
     tests, _ = runnable_tests(source.columns, cfg)
-    ranked = [t for t in tests if RULES[t].helper in (REPEATED, TRIPLICATE)]
-    others = run_audit(source, cfg.replace(active=tuple(t for t in tests if t not in ranked)), prepared=True)
-    parts = [rule_hits(others)] if others.tests else []
-    for test in ranked:
-        if RULES[test].helper == TRIPLICATE:
-            rows = source.groupBy(*TRIPLICATE_KEYS).agg(F.count("*").alias("rows"))
-            counted = rows.select("rows", F.greatest(F.col("rows") - 2, F.lit(0)).alias("hits"))
-        else:
-            counted = _repeat_hits(source, cfg)
-        totals = counted.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
-                             F.coalesce(F.sum("hits"), F.lit(0)).alias(test))
-        parts.append(_hit_lines(totals, [test]))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _repeat_hits(source: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Per account and amount: rows, and rows against a result account other than the first row."""
-    result = F.coalesce(F.col("CLASS_CTP").isin(*cfg.result_classes), F.lit(False)).alias("result")
-    first = F.min(F.struct(*row_order(source, REPEAT_KEYS), result)).alias("first")
-    groups = source.groupBy(*REPEAT_KEYS).agg(F.count("*").alias("rows"), F.count_if(result).alias("results"), first)
-    return groups.select("rows", (F.col("results") - F.col("first.result").cast("int")).alias("hits"))
+    grouped = [t for t in tests if RULES[t].helper in (REPEATED, TRIPLICATE, SAMPLED)]
+    plain = [t for t in tests if t not in grouped]
+    marked = run_audit(source, cfg.replace(active=tuple(plain)), prepared=True).frame
+    helpers = {RULES[t].helper: t for t in grouped}
+    nothing = [F.lit(None).cast("string"), F.lit(None).cast("decimal(18,2)"), F.lit(None).cast("date")]
+
+    def part(kind: int, text=None, amount=None, day=None) -> Column:
+        own = [c if c is not None else n for c, n in zip((text, amount, day), nothing)]
+        return F.struct(F.lit(kind).alias("kind"), *[c.alias(n) for c, n in zip(own, ("text", "amount", "day"))])
+
+    parts = [part(0)]
+    result, order = F.lit(False), F.lit(0).cast("long")
+    if REPEATED in helpers:
+        parts.append(part(1, F.col("CONTA"), F.col("MOVIMENTO")))
+        marked = with_row_order(marked, cfg, source.columns)
+        result, order = against_result(cfg), F.col(ORDER)
+    if TRIPLICATE in helpers:
+        parts.append(part(2, F.col("HISTORICO"), F.col("MOVIMENTO"), F.col("DATA")))
+    rows = marked.select(*[F.col(t).isNotNull().alias(t) for t in plain], result.alias("result"), order.alias("order"),
+                         F.inline(F.array(*parts)))
+    groups = rows.groupBy("kind", "text", "amount", "day").agg(
+        F.count("*").alias("rows"), F.count_if("result").alias("results"), F.min("order").alias("first"),
+        *[F.count_if(F.col(t) & (F.col("kind") == 0)).alias(t) for t in plain])
+    whole = F.col("kind") == 0
+    sums = {t: F.sum(F.when(whole, F.col(t))) for t in plain}
+    if REPEATED in helpers:
+        sums[helpers[REPEATED]] = F.sum(F.when(F.col("kind") == 1, F.col("results") - F.pmod("first", F.lit(2))))
+    if TRIPLICATE in helpers:
+        sums[helpers[TRIPLICATE]] = F.sum(F.when(F.col("kind") == 2, F.greatest(F.col("rows") - 2, F.lit(0))))
+    if SAMPLED in helpers:
+        sums[helpers[SAMPLED]] = F.sum(F.when(whole, F.least(F.col("rows"), F.lit(cfg.sample_size))))
+    totals = groups.agg(F.coalesce(F.sum(F.when(whole, F.col("rows"))), F.lit(0)).alias("total"),
+                        *[F.coalesce(sums[t], F.lit(0)).alias(t) for t in tests])
+    return _hit_lines(totals, tests)
 
 
 def rule_catalog(audit: Audit, cfg: AuditConfig) -> DataFrame:
@@ -201,6 +217,6 @@ def export_projection(audit: Audit, original_columns) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in names])
 
 
-def class_domain(frame: DataFrame, column: str, limit: int = 200) -> DataFrame:
-    """Sorted distinct values of a class column, at most ``limit`` of them."""
-    return frame.select(column).distinct().orderBy(column).limit(limit)
+def class_domain(frame: DataFrame, column: str) -> DataFrame:
+    """Sorted distinct values of a class column."""
+    return frame.select(column).distinct().orderBy(column)

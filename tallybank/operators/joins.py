@@ -5,14 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybank.sources.sinks import fits_rows
-
-
-def sized_broadcast(side: DataFrame, max_rows: int) -> DataFrame:
-    """Mark a join side for broadcast only after counting that it fits; beyond that Spark shuffles,
-    and adaptive execution splits keys that are too frequent on the other side."""
-    return F.broadcast(side) if fits_rows(side, max_rows) else side
-
 
 def first_seen(frame: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the one with the smallest order value. Rows are reduced before the shuffle."""

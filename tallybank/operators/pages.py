@@ -7,6 +7,7 @@ is a column expression on those texts.
 
 from __future__ import annotations
 
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 # Class names that mark the places on a page.
 ITEM_CLASS = "js-question-item"
 BLOCK_CLASS = "q-answer-sheet-question"
+CARD_CLASS = "q-content"
 
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_TAGS = ("script", "style")
@@ -33,17 +35,20 @@ _QUESTION = _struct(("qid", _TEXT), ("idx", _TEXT), ("statement", _TEXT),
                     ("info", T.ArrayType(_struct(("label", _TEXT), ("link", _TEXT)))),
                     ("crumbs", T.ArrayType(_TEXT)), ("options", _OPTIONS), ("right_answer", _TEXT))
 _BLOCK = _struct(("short", _TEXT), ("full", _TEXT), ("ok_text", _TEXT), ("bad_text", _TEXT), ("sentence", _TEXT),
-                 ("options", _OPTIONS), ("comment", _TEXT))
+                 ("options", _OPTIONS), ("checked", _TEXT), ("comment", _TEXT))
+_PROBLEM = _struct(("part", _TEXT), ("pos", T.IntegerType()), ("message", _TEXT))
 PAGE_TYPE = _struct(("questions", T.ArrayType(_QUESTION)),
-                    ("answers", T.ArrayType(_struct(("idx", _TEXT), ("answer", _TEXT)))),
-                    ("blocks", T.ArrayType(_BLOCK)), ("error", _TEXT))
+                    ("answers", T.ArrayType(_struct(("idx", _TEXT), ("answer", _TEXT), ("last", T.BooleanType())))),
+                    ("blocks", T.ArrayType(_BLOCK)), ("problems", T.ArrayType(_PROBLEM)))
+_LINK = _struct(("href", _TEXT), ("name", _TEXT), ("subtitle", _TEXT), ("first", T.BooleanType()))
+LINKS_TYPE = _struct(("links", T.ArrayType(_LINK)), ("problems", T.ArrayType(_PROBLEM)))
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "classes", "parts")
+    __slots__ = ("tag", "attrs", "classes", "parts", "above")
 
-    def __init__(self, tag, attrs):
-        self.tag, self.attrs, self.parts = tag, dict(attrs), []
+    def __init__(self, tag, attrs, above=None):
+        self.tag, self.attrs, self.parts, self.above = tag, dict(attrs), [], above
         self.classes = (self.attrs.get("class") or "").split()
 
     def find_all(self, tag, css=None):
@@ -59,6 +64,12 @@ class _Node:
     def find(self, tag, css=None):
         return next(self.find_all(tag, css), None)
 
+    def enclosing(self, tag, css):
+        node = self.above
+        while node is not None and not (node.tag == tag and css in node.classes):
+            node = node.above
+        return node
+
     def text(self, joiner=""):
         pieces, stack = [], list(reversed(self.parts))
         while stack:
@@ -73,18 +84,19 @@ class _Node:
 
 class _Tree(HTMLParser):
     def __init__(self):
-        super().__init__(convert_charrefs=True)
+        # Entities are decoded piece by piece, so that one which can't be decoded costs only itself.
+        super().__init__(convert_charrefs=False)
         self.root = _Node("", [])
         self.open = [self.root]
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, attrs)
+        node = _Node(tag, attrs, self.open[-1])
         self.open[-1].parts.append(node)
         if tag not in VOID_TAGS:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].parts.append(_Node(tag, attrs))
+        self.open[-1].parts.append(_Node(tag, attrs, self.open[-1]))
 
     def handle_endtag(self, tag):
         depth = next((i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag == tag), None)
@@ -92,7 +104,20 @@ class _Tree(HTMLParser):
             del self.open[depth:]
 
     def handle_data(self, data):
-        self.open[-1].parts.append(data)
+        parts = self.open[-1].parts
+        if parts and isinstance(parts[-1], str):
+            parts[-1] += data
+        else:
+            parts.append(data)
+
+    def handle_entityref(self, name):
+        self.handle_data(unescape(f"&{name};"))
+
+    def handle_charref(self, name):
+        try:
+            self.handle_data(unescape(f"&#{name};"))
+        except ValueError:                       # more digits than Python turns into a number
+            self.handle_data(f"&#{name};")
 
 
 def _text(node, joiner=""):
@@ -134,31 +159,73 @@ def _block(block):
         "bad_text": _text(block.find("span", "q-incorrect")),
         "sentence": _text(block.find("div", "q-answer"), " "),
         "options": _options(block.find("ul", "q-question-options"), " "),
+        "checked": next((n.attrs.get("value") for n in block.find_all("input")
+                         if n.attrs.get("type") == "radio" and "checked" in n.attrs), None),
         "comment": _text(block.find("div", "q-text"), "\n"),
     }
 
 
-def _key(root):
+def _entries(root):
     sheet = root.find("fieldset", "q-questions-feedback")
-    for entry in sheet.find_all("div", "q-feedback") if sheet else ():
-        idx, answer = entry.find("span", "q-index"), entry.find("span", "q-answer")
-        if idx and answer:
-            yield {"idx": idx.text().replace(":", ""), "answer": answer.text()}
+    return sheet.find_all("div", "q-feedback") if sheet else ()
 
 
-def read_page(html: str) -> dict:
-    """Raw texts of one page. A page that cannot be read is returned empty with its error."""
-    page = {"questions": [], "answers": [], "blocks": [], "error": None}
+def _entry(entry):
+    idx, answer = entry.find("span", "q-index"), entry.find("span", "q-answer")
+    return {"idx": idx.text().replace(":", ""), "answer": answer.text()} if idx and answer else None
+
+
+def _link(anchor):
+    card = anchor.enclosing("div", CARD_CLASS)
+    return {"href": anchor.attrs.get("href"), "name": anchor.text(),
+            "subtitle": _text(card.find("div", "q-subtitle")) if card else None}
+
+
+def _tree(html: str, problems: list) -> _Node:
+    tree = _Tree()
     try:
-        tree = _Tree()
         tree.feed(html or "")
         tree.close()
-        page["questions"] = [_question(i) for i in tree.root.find_all("div", ITEM_CLASS)]
-        page["answers"] = list(_key(tree.root))
-        page["blocks"] = [_block(b) for b in tree.root.find_all("div", BLOCK_CLASS)]
-    except Exception as error:  # noqa: BLE001 - kept as a column, so no page is lost silently
-        page["error"] = f"{type(error).__name__}: {error}"[:200]
-    return page
+    except Exception as error:  # noqa: BLE001 - kept as a row; what was read until then stays
+        problems.append({"part": "page", "pos": None, "message": f"{type(error).__name__}: {error}"})
+    return tree.root
+
+
+def _each(part: str, nodes, read, problems: list) -> list:
+    """What ``read`` makes of each node. A node that it can't read is skipped and reported."""
+    found = []
+    for pos, node in enumerate(nodes):
+        try:
+            if (value := read(node)) is not None:
+                found.append(value)
+        except Exception as error:  # noqa: BLE001 - kept as a row
+            problems.append({"part": part, "pos": pos, "message": f"{type(error).__name__}: {error}"})
+    return found
+
+
+def read_page(html: str) -> dict:
+    """Raw texts of one page, and what could not be read of it."""
+    problems: list = []
+    root = _tree(html, problems)
+    answers = _each("answer", _entries(root), _entry, problems)
+    last = {entry["idx"]: place for place, entry in enumerate(answers)}
+    for place, entry in enumerate(answers):
+        entry["last"] = last[entry["idx"]] == place
+    return {"questions": _each("question", root.find_all("div", ITEM_CLASS), _question, problems),
+            "answers": answers,
+            "blocks": _each("block", root.find_all("div", BLOCK_CLASS), _block, problems), "problems": problems}
+
+
+def read_links(html: str) -> dict:
+    """Links of one page in their order, with decoded addresses and the subtitle of the card around them."""
+    problems: list = []
+    root = _tree(html, problems)
+    anchors = (a for a in root.find_all("a") if a.attrs.get("href") is not None)
+    links, seen = _each("link", anchors, _link, problems), set()
+    for link in links:
+        link["first"] = link["href"] not in seen
+        seen.add(link["href"])
+    return {"links": links, "problems": problems}
 
 
 @F.arrow_udf(PAGE_TYPE)
@@ -166,8 +233,13 @@ def _read_pages(html: pa.Array) -> pa.Array:
     return pa.array([read_page(h) for h in html.to_pylist()], type=to_arrow_type(PAGE_TYPE))
 
 
-# Said to be non-deterministic so that the planner calls it once per page, not once per field used.
-_read_pages = _read_pages.asNondeterministic()
+@F.arrow_udf(LINKS_TYPE)
+def _read_links(html: pa.Array) -> pa.Array:
+    return pa.array([read_links(h) for h in html.to_pylist()], type=to_arrow_type(LINKS_TYPE))
+
+
+# Said to be non-deterministic so that the planner calls them once per page, not once per field used.
+_read_pages, _read_links = _read_pages.asNondeterministic(), _read_links.asNondeterministic()
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
@@ -177,7 +249,8 @@ def read_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_errors(read: DataFrame) -> DataFrame:
-    return read.filter(F.col("page.error").isNotNull()).select("page_id", "page.error")
+    """(page_id, part, pos, message) for each part of a page that could not be read; the other parts are kept."""
+    return read.select("page_id", F.inline("page.problems"))
 
 
 # --- columns on the raw texts ----------------------------------------------------------------
@@ -225,9 +298,8 @@ def extract_questions(read: DataFrame) -> DataFrame:
 
 def extract_answer_key(read: DataFrame) -> DataFrame:
     """(page_id, idx, answer); a repeated index keeps its last answer."""
-    each = read.select("page_id", F.posexplode("page.answers").alias("pos", "a"))
-    return (each.groupBy("page_id", F.col("a.idx").alias("idx"))
-            .agg(F.max_by("a.answer", "pos").alias("answer")))
+    last = F.filter("page.answers", lambda a: a["last"])
+    return read.select("page_id", F.inline(last)).select("page_id", "idx", "answer")
 
 
 def answer_of(key: Column, own: Column, marked: Column) -> Column:
@@ -272,7 +344,7 @@ def tidy_comment(text: Column) -> Column:
 def extract_mock_exam(read: DataFrame) -> DataFrame:
     """One row per answered question of the mock-exam pages."""
     each = read.select("page_id", F.posexplode("page.blocks").alias("pos", "b"))
-    checked = F.get(F.filter("b.options", lambda o: o["checked"]), F.lit(0))["letter"]
+    checked = F.col("b.checked")
     sentence = F.col("b.sentence")
     # True-or-false questions carry the letters C and E but are stored under their words.
     named = F.transform("b.options", lambda o: F.struct(
@@ -292,52 +364,55 @@ def extract_mock_exam(read: DataFrame) -> DataFrame:
     )
 
 
+def widen_mock_exam(rows: DataFrame) -> DataFrame:
+    """Mock-exam rows with a column for each option, N/A where a value is absent."""
+    names = (*"ABCDE", "Certo", "Errado")
+    wide = rows.withColumns({f"Alternativa_{n}": option_text("options", n) for n in names}).drop("options")
+    return wide.select(*[F.coalesce(c, F.lit("N/A")).alias(c) if t == "string" else F.col(c) for c, t in wide.dtypes])
+
+
 # --- links -----------------------------------------------------------------------------------
 
 # Link patterns.
-ANCHOR = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 MOCK_LINKS = ("/simulados/", "/provas/", "/practice-tests/", "simulado")
 NOTEBOOK_LINK = "/questoes-de-concursos/questoes?notebook_ids"
 NOTEBOOK_ID = r"notebook_ids%5B%5D=(\d+)"
-NOTEBOOK_CARD = '<div class="q-content"'
-NOTEBOOK_SIZE = r'(?s)<div class="q-subtitle">[^<]*?(\d+)\s+questões'
+NOTEBOOK_SIZE = r"(\d+)\s+questões"
 
 
-def visible_text(html: Column) -> Column:
-    return F.trim(F.regexp_replace(html, r"<[^>]*>", ""))
+def read_anchors(pages: DataFrame) -> DataFrame:
+    """Pages with the links read from their tags in ``read``; pages without a link are dropped before Python."""
+    return pages.filter(F.contains(F.lower("html"), F.lit("<a"))).withColumn("read", _read_links("html")).drop("html")
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, href, name) for every link of every page."""
-    pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"),
-                         F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("inner"))
-    each = pages.select("page_id", F.posexplode(pairs).alias("pos", "a"))
-    href = F.replace("a.href", F.lit("&amp;"), F.lit("&"))
-    return each.select("page_id", F.col("pos").cast("long").alias("pos"), href.alias("href"),
-                       F.coalesce(F.nullif(visible_text(F.col("a.inner")), F.lit("")), href).alias("name"))
+    """(page_id, pos, href, name) for every link of every page; a link without text is named by its address."""
+    each = read_anchors(pages).select("page_id", F.posexplode("read.links").alias("pos", "a"))
+    return each.select("page_id", F.col("pos").cast("long").alias("pos"), F.col("a.href").alias("href"),
+                       F.coalesce(F.nullif("a.name", F.lit("")), "a.href").alias("name"))
 
 
 def mock_links(pages: DataFrame, patterns=MOCK_LINKS) -> DataFrame:
     """Links that fit one of the patterns, each address once per page, with the first pattern it fits."""
-    anchors = page_anchors(pages)
-    rank = F.coalesce(*[F.when(F.contains("href", F.lit(p)), i) for i, p in enumerate(patterns, 1)])
-    fitting = anchors.withColumn("priority", rank.cast("long")).filter(F.col("priority").isNotNull())
-    return (fitting.groupBy("page_id", "href")
-            .agg(F.min("priority").alias("priority"), F.min("pos").alias("pos"),
-                 F.min_by("name", "pos").alias("name")))
+    numbered = F.transform("read.links", lambda a, i: F.struct(
+        a["href"].alias("href"),
+        F.coalesce(*[F.when(F.contains(a["href"], F.lit(p)), n) for n, p in enumerate(patterns, 1)]).cast("long")
+        .alias("priority"),
+        i.cast("long").alias("pos"), F.coalesce(F.nullif(a["name"], F.lit("")), a["href"]).alias("name"),
+        a["first"].alias("first")))
+    wanted = F.filter(numbered, lambda a: a["first"] & a["priority"].isNotNull())
+    return read_anchors(pages).select("page_id", F.inline(wanted)).drop("first")
 
 
 def notebook_links(pages: DataFrame) -> DataFrame:
-    """(id, name, href, questions) of the notebooks listed on pages; the first listing of an id stays."""
-    cards = F.slice(F.split("html", NOTEBOOK_CARD), 2, 1 << 30)
-    each = pages.filter(F.contains("html", F.lit("notebook_ids"))).select(
-        "page_id", F.posexplode(cards).alias("pos", "card"))
+    """(id, name, href, questions) of the notebooks linked from pages; the first link of an id stays. The number of
+    questions stands in the card around a link, and is N/A without one."""
+    some = pages.filter(F.contains("html", F.lit("notebook_ids")))
+    each = read_anchors(some).select("page_id", F.posexplode("read.links").alias("pos", "a"))
     found = each.select(
-        "page_id", "pos",
-        _group(F.col("card"), NOTEBOOK_ID, 1).alias("id"),
-        visible_text(F.regexp_extract("card", ANCHOR, 2)).alias("name"),
-        F.replace(F.regexp_extract("card", ANCHOR, 1), F.lit("&amp;"), F.lit("&")).alias("href"),
-        _group(F.col("card"), NOTEBOOK_SIZE, 1).alias("questions"),
+        "page_id", "pos", _group(F.col("a.href"), NOTEBOOK_ID, 1).alias("id"), F.col("a.name").alias("name"),
+        F.col("a.href").alias("href"),
+        F.coalesce(_group(F.col("a.subtitle"), NOTEBOOK_SIZE, 1), F.lit("N/A")).alias("questions"),
     ).filter(F.col("id").isNotNull() & F.contains("href", F.lit(NOTEBOOK_LINK)))
     first = F.min_by(F.struct("name", "href", "questions"), F.struct("page_id", "pos")).alias("first")
     return found.groupBy("id").agg(first).select("id", "first.*")

@@ -74,6 +74,7 @@ def score_language(text: Column) -> Column:
 
 
 def score_compact(text: Column) -> Column:
+    text = F.coalesce(text, F.lit(""))
     upper, lower = F.upper(text), F.lower(text)
     return _total([
         _steps(F.length(text), ((2000, 20),)),

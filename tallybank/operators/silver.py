@@ -10,7 +10,7 @@ from tallybank.functions.accounts import clean_account, clean_counterparty
 from tallybank.functions.dates import parse_date_safe
 from tallybank.functions.money import MONEY, parse_number_auto
 from tallybank.functions.text import fold_ascii_upper
-from tallybank.operators.joins import first_seen, sized_broadcast
+from tallybank.operators.joins import first_seen
 from tallybank.operators.schema import BALANCE_RENAMES, LEDGER_RENAMES
 
 AMOUNTS = ("MOVIMENTO", "DEBITO", "CREDITO")
@@ -49,9 +49,12 @@ def clean_ledger(ledger: DataFrame) -> DataFrame:
     return ledger.withColumns(changes)
 
 
-def classify(ledger: DataFrame, accounts: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
-    """Attach group and class of the account and of the counter-account. Row count never changes."""
-    accounts = sized_broadcast(accounts, broadcast_rows)
+def classify(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Attach group and class of the account and of the counter-account. Row count never changes.
+
+    Spark broadcasts the accounts if their measured size allows it; beyond that both sides shuffle, and adaptive
+    execution splits keys that are too frequent in the ledger.
+    """
     frame = ledger.withColumns({
         "CONTA_CHAVE": clean_account(F.col("CONTA")),
         "CONTRAPARTIDA_CHAVE": clean_counterparty(F.col("CONTRAPARTIDA")),
@@ -65,8 +68,10 @@ def classify(ledger: DataFrame, accounts: DataFrame, broadcast_rows: int = 200_0
     return frame
 
 
-def build_silver(ledger: DataFrame, balance: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
-    return classify(clean_ledger(ledger), clean_balance(balance), broadcast_rows)
+def build_silver(ledger: DataFrame, balance: DataFrame, order: str = "ORD") -> DataFrame:
+    """Cleaned and classified ledger. Of a balance account listed twice the first by ``order`` counts; ``read_balance``
+    supplies the order of the rows in their files."""
+    return classify(clean_ledger(ledger), clean_balance(balance, order))
 
 
 # --- quality ---------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybank.functions.text import html_escape
+from tallybank.session import INPUT_PARTITIONS
 
 LETTER_LIST = "ABCDE"
 
@@ -18,13 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(frame: DataFrame, columns) -> DataFrame:
-    """Only these columns, over all cores when the input is a few files with fewer parts than cores.
-
-    A large table has far more parts than cores and is left as it is, without a shuffle.
-    """
+    """Only these columns. A job over one small file may ask, by a setting of its session, for its rows to be dealt out."""
     frame = frame.select(*columns)
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    parts = frame.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return frame.repartition(int(parts)) if parts else frame
 
 
 def _amount_text(amount: Column) -> Column:
@@ -257,8 +255,22 @@ def question_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mock_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One answered mock-exam question per conversation turn."""
+    """One answered mock-exam question per conversation turn.
+
+    Every fifth has no sentence but a checked radio outside its options; every seventh is a true-or-false question,
+    the others have three options.
+    """
     conv, turn = F.col("conv_id"), F.col("turn")
+    kind, silent = (conv + turn) % 7, (conv + turn) % 5 == 4
+
+    def option(letter, words):
+        return F.concat(F.lit(f'<label class="q-radio-button"><input type="radio" value="{letter}">'
+                              '<div class="q-item-enum"> '), words, F.lit(" </div></label>"))
+
+    three = F.concat(*[option(x, F.concat(F.lit(f"opção <b>{x}</b> "), F.col("role"))) for x in "ABD"])
+    options = F.concat(F.lit('<ul class="q-question-options">'), F.when(
+        kind == 6, F.concat(option("C", F.lit("Certo")), option("E", F.lit("Errado")))).otherwise(three), F.lit("</ul>"))
+    checked = F.when(silent, F.lit('<p><input type="radio" value="B" checked></p>')).otherwise("")
     right = (conv + turn) % 3 == 0
     chosen, correct = letter_at(conv), letter_at(conv + turn + 1)
     text = html_escape(F.col("text"))
@@ -269,25 +281,54 @@ def mock_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("role") == "user", F.concat(F.lit('<div class="q-question-enunciation">'), text,
                                                  F.lit("</div>"))).otherwise(""),
         F.lit('<div class="q-answer">'),
-        F.when(right, F.concat(F.lit("Correto! Você marcou a resposta <b>"), chosen, F.lit("</b>.")))
+        F.when(silent, F.lit("")).when(right, F.concat(F.lit("Correto! Você marcou a resposta <b>"), chosen, F.lit("</b>.")))
         .otherwise(F.concat(F.lit("Você marcou a resposta <b>"), chosen,
                             F.lit("</b>, mas a alternativa correta é <b>"), correct, F.lit("</b>."))),
-        F.lit('</div><div class="q-text"><p>'), F.col("role"), F.lit("</p><p>"), text, F.lit("</p></div></div>"))
+        F.lit("</div>"), options, checked,
+        F.lit('<div class="q-text"><p>'), F.col("role"), F.lit("</p><p>"), text, F.lit("</p></div></div>"))
     return table(spark, sf_dir, "conversations").select(
         (conv * 100000 + turn).alias("page_id"), html.alias("html"))
 
 
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One exam page per customer with two questions; of every third the first holds a number that can't be decoded in
+    an attribute, so its page is read up to there."""
+    key = F.col("c_custkey").cast("string")
+    bad = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('<b title="&#'), F.repeat(F.lit("9"), F.lit(5000)),
+                                                       F.lit(';">x</b>'))).otherwise("")
+
+    def item(number):
+        return F.concat(F.lit('<div class="js-question-item"><div class="js-question" data-question-id="'), key,
+                        F.lit(f'-{number}"><span class="q-index">{number}</span></div></div>'))
+
+    html = F.concat(item(1), F.lit("&#"), F.repeat(F.lit("9"), F.lit(5000)), F.lit(";"), bad, item(2))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+
+
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per customer with links in every dress: quotes of both kinds and none, a misleading attribute before the
+    address, entities, capitals, a repeated address, one without text and one that fits no pattern."""
+    key = F.col("c_custkey").cast("string")
+    html = F.concat(
+        F.lit("<html><a href='/simulados/"), key, F.lit("'>T&amp;r&ecirc;s</a><A HREF=/provas/"), key,
+        F.lit('><i> </i></A><p><a data-href="/provas/0" href="/practice-tests/?a='), key,
+        F.lit('&amp;b=2"> <b>'), F.col("c_mktsegment"), F.lit("</b>\n</a><a href=\"/simulados/"), key,
+        F.lit('">again</a><a href="/outro">no</a><a name="simulado">none</a><a href="/meu-simulado">S</a></html>'))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+
+
 def notebook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page of notebook cards per customer: its own notebook and that of its nation."""
+    """One page of notebooks per customer: its own in a card, that of its nation beside it in the same card, and one
+    outside a card. Of every other page the card has a further class."""
     key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
 
-    def card(number, name, size):
-        return F.concat(
-            F.lit('<div class="q-content"><a class="q-link" href="/questoes-de-concursos/questoes?'
-                  'notebook_ids%5B%5D='), number, F.lit('"> <b>'), name,
-            F.lit('</b></a><div class="q-subtitle"> Caderno com '), size, F.lit(" questões</div></div>"))
+    def link(number, name, quote):
+        return F.concat(F.lit(f"<a class=q-link href={quote}/questoes-de-concursos/questoes?notebook_ids%5B%5D="), number,
+                        F.lit(f"{quote}> <b>"), name, F.lit("</b></a>"))
 
-    html = F.concat(F.lit("<html><body>"),
-                    card(F.concat(F.lit("1"), key), F.col("c_name"), key),
-                    card(F.concat(F.lit("90"), nation), F.col("c_mktsegment"), key), F.lit("</body></html>"))
+    html = F.concat(
+        F.lit('<html><body><div class="q-content'), F.when(F.col("c_custkey") % 2 == 0, " big").otherwise(""), F.lit('">'),
+        link(F.concat(F.lit("1"), key), F.col("c_name"), '"'), link(F.concat(F.lit("90"), nation), F.col("c_mktsegment"), "'"),
+        F.lit('<div class="q-subtitle"> Caderno com '), key, F.lit(" questões</div></div>"),
+        link(F.concat(F.lit("7"), key), F.lit("Solto &amp; livre"), ""), F.lit("</body></html>"))
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))

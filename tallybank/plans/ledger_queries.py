@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallybank.config import TEST_NAMES, AuditConfig, catalog_rows
@@ -17,9 +19,11 @@ from tallybank.operators.sampling import audit_sample
 from tallybank.operators.schema import clean_names
 from tallybank.plans.adapters import BALANCE_SQL, LEDGER_SQL, balance, ledger, spread, table
 from tallybank.plans.registry import query
-from tallybank.sources.ledger import revalidate
-from tallybank.sources.sinks import fits_rows
-from tallybank.sources.staging import staged
+from tallybank.sources.ledger import (
+    read_balance, read_calendar, read_ledger, read_silver, read_text_table, revalidate)
+from tallybank.sources.sinks import (
+    export_sheets, folder_inventory, write_gold_csv, write_silver_csv, write_silver_parquet)
+from tallybank.sources.staging import staged, staging_folder
 
 # Invented names and dates inside the period of the given tables.
 WATCH_NAMES = ("Lima", "Zélia Prado")
@@ -100,19 +104,22 @@ SQL_RULES = {
 }
 
 
-def _sql_order(keys):
-    return ", ".join(f"{c} NULLS FIRST" for c in A.ROW_ORDER if c not in keys)
+SQL_ROW_HASH = "md5(concat_ws('|', " + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '')" for c in sorted(BASE + CLASSES)) + "))"
+SQL_ORDER = f"""coalesce(date_diff('day', DATE '0001-01-01', DATA) + 1, 0),
+  CAST(concat('0x', substr({SQL_ROW_HASH}, 1, 9)) AS BIGINT),
+  coalesce({_sql_in('CLASS_CTP', FULL.result_classes)}, FALSE), {SQL_ROW_HASH}"""
 
 
 RANKED = f"""{CLASSIFIED}, posted AS (
   SELECT DISTINCT CONTA AS bc, MOVIMENTO AS bm, TRUE AS posted FROM classified WHERE DATA = DATE '1996-12-31'),
 joined AS (
   SELECT t.*, coalesce(b.posted, FALSE) AS posted,
-    row_number() OVER (PARTITION BY CONTA, MOVIMENTO ORDER BY {_sql_order(A.REPEAT_KEYS)}) AS seq2
+    row_number() OVER (PARTITION BY CONTA, MOVIMENTO ORDER BY {SQL_ORDER}) AS seq2
   FROM classified t LEFT JOIN posted b ON t.CONTA = b.bc AND t.MOVIMENTO = b.bm),
 counted AS (
   SELECT *, row_number() OVER (PARTITION BY HISTORICO, MOVIMENTO, DATA
-    ORDER BY {_sql_order(A.TRIPLICATE_KEYS)}, seq2 > 1) AS seq4 FROM joined),
+    ORDER BY {SQL_ORDER}, seq2 > 1) AS seq4 FROM joined),
 ranked AS (
   SELECT *, row_number() OVER (ORDER BY {_sql_hash(BASE + CLASSES)}, seq2 > 1, seq4 >= 3) AS seq5 FROM counted)"""
 MARKED = RANKED + ", marked AS (SELECT *, " + ", ".join(
@@ -141,8 +148,8 @@ def shipped_audit(spark, sf):
 
 
 def full_audit(spark, sf):
-    # Sample, reversals and ranking each pass over the silver table, so it is written first.
-    return A.run_audit(staged(classified(spark, sf), "silver"), FULL, prepared=True)
+    # Sample, base day and ranking each pass over the silver table, so it is computed once.
+    return A.run_audit(staged(classified(spark, sf)), FULL, prepared=True)
 
 
 def _iso(column):
@@ -212,13 +219,134 @@ def silver_revalidate(spark, sf):
                         *[F.col(c).cast("double").alias(c.lower()) for c in ("MOVIMENTO", "DEBITO", "CREDITO")])
 
 
-@query("export_capped", f"""{SQL_SHIPPED} SELECT count(*) AS n, count(*) <= 1000000 AS fits,
-  count(*) <= 1000 AS fits_small FROM flagged WHERE FLAG = 'MANTER'""")
+def out_path(spark, name):
+    """A new folder for what a query writes, in the shared folder of the session."""
+    return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+SQL_TEXT_ROWS = """SELECT CAST(DATA AS VARCHAR) AS data, CONTA AS conta, CONTRAPARTIDA AS contrapartida,
+  CAST(MOVIMENTO AS VARCHAR) AS movimento, HISTORICO AS historico"""
+
+
+def text_rows(frame):
+    return frame.select(*[F.col(c).alias(c.lower()) for c in ("DATA", "CONTA", "CONTRAPARTIDA", "MOVIMENTO", "HISTORICO")])
+
+
+@query("export_capped", f"""{SQL_SHIPPED} {SQL_TEXT_ROWS} FROM flagged WHERE FLAG = 'MANTER'""")
 def export_capped(spark, sf):
-    """Size check of the spreadsheet export: the whole result either fits a sheet or is not exported."""
-    kept = A.export_projection(shipped_audit(spark, sf), BASE)
-    return kept.agg(F.count("*").alias("n")).select(
-        "n", F.lit(fits_rows(kept)).alias("fits"), F.lit(fits_rows(kept, 1000)).alias("fits_small"))
+    """The kept rows written in files of at most 10,000 rows, and read back whole."""
+    path = out_path(spark, "sheets")
+    export_sheets(A.export_projection(shipped_audit(spark, sf), BASE), path, 10_000)
+    return text_rows(read_text_table(spark, path, encoding="UTF-8"))
+
+
+@query("gold_csv", f"""{SQL_SHIPPED} {SQL_TEXT_ROWS} FROM flagged WHERE FLAG = 'MANTER'""")
+def gold_csv(spark, sf):
+    """The kept rows written as the audit result, and read back."""
+    path = out_path(spark, "gold")
+    write_gold_csv(A.export_projection(shipped_audit(spark, sf), BASE), path)
+    return text_rows(read_text_table(spark, path, encoding="UTF-8"))
+
+
+@query("ledger_read", f"{LEDGER} SELECT * FROM ledger")
+def ledger_read(spark, sf):
+    """The ledger written as Latin-1 text with odd headers, and read by the ledger reader."""
+    path = out_path(spark, "bronze")
+    odd = ledger(spark, sf).withColumnsRenamed({"CONTRAPARTIDA": "'CONTRAPARTIDA'", "CREDITO": "CREDITO "})
+    odd.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    return read_ledger(spark, path)
+
+
+@query("calendar_read", f"""WITH calendar AS ({SQL_ORDER_DAYS}) SELECT DATA AS data FROM calendar""")
+def calendar_read(spark, sf):
+    """A calendar written as text beside another column, and read by the calendar reader."""
+    path = out_path(spark, "calendar")
+    order_days(spark, sf).withColumn("OBS", F.lit("x")).write.option("header", True).option("sep", ";").csv(path)
+    return read_calendar(spark, path).select(F.col("DATA").alias("data"))
+
+
+@query("silver_csv", f"""{PREPARED} SELECT strftime(DATA, '%d/%m/%Y') AS data, CONTA AS conta,
+  CAST(MOVIMENTO AS DOUBLE) AS movimento, CAST(DEBITO AS DOUBLE) AS debito, CAST(CREDITO AS DOUBLE) AS credito,
+  HISTORICO AS historico FROM prepared WHERE DATA IS NOT NULL""")
+def silver_csv(spark, sf):
+    """The typed ledger written as silver text and read back; rows without a date go."""
+    path = out_path(spark, "silver")
+    write_silver_csv(prepared(spark, sf), path)
+    back = read_silver(spark, path)
+    return back.select(F.col("DATA").alias("data"), F.col("CONTA").alias("conta"),
+                       *[F.col(c).cast("double").alias(c.lower()) for c in ("MOVIMENTO", "DEBITO", "CREDITO")],
+                       F.col("HISTORICO").alias("historico"))
+
+
+@query("folder_inventory", """SELECT count(DISTINCT l_returnflag) AS files, TRUE AS sized FROM lineitem""")
+def folder_inventory_query(spark, sf):
+    """Files of a folder with one file for each return flag."""
+    path = out_path(spark, "inventory")
+    flags = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    flags.repartition(1).write.partitionBy("l_returnflag").parquet(path)
+    found = folder_inventory(spark, path, "*.parquet")
+    return found.select("files", (F.col("mean_mb") <= F.col("total_mb")).alias("sized"))
+
+
+@query("silver_parquet", f"""{PREPARED} SELECT coalesce(strftime(DATA, '%Y-%m'), 'none') AS mes, count(*) AS n,
+  CAST(coalesce(sum(MOVIMENTO), 0) AS DOUBLE) AS movimento FROM prepared GROUP BY 1""")
+def silver_parquet(spark, sf):
+    """The typed ledger written by month and summed from what was written."""
+    path = out_path(spark, "silver")
+    write_silver_parquet(prepared(spark, sf), path)
+    return spark.read.parquet(path).groupBy(F.col("MES").cast("string").alias("mes")).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("MOVIMENTO"), F.lit(0)).cast("double").alias("movimento"))
+
+
+# The ledger in raw dress: every date layout, odd headers, amounts with a comma or a point, account tails.
+RAW_DATES = (("dd/MM/yyyy", "%d/%m/%Y"), ("yyyy-MM-dd", "%Y-%m-%d"), ("dd-MM-yyyy", "%d-%m-%Y"), ("d/M/yyyy", "%-d/%-m/%Y"))
+RAW_SQL = f"""WITH raw AS (
+  SELECT CAST(o_orderdate AS DATE) AS day, l_orderkey, l_linenumber, l_suppkey, o_custkey, l_extendedprice AS price, p_name
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+balance AS ({BALANCE_SQL}), accounts AS (
+  SELECT CONTA AS k, arg_min(GRUPO, ORD) AS GRUPO, arg_min(CTP, ORD) AS CTP FROM balance GROUP BY 1)"""
+
+
+def raw_ledger(spark, sf):
+    order, price = F.col("l_orderkey"), F.col("l_extendedprice").cast("decimal(18,2)")
+    day = F.col("o_orderdate").cast("date")
+    kind = order % (len(RAW_DATES) + 2)
+    text = F.when(kind == len(RAW_DATES), F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string"))
+    for i, (layout, _) in enumerate(RAW_DATES):
+        text = F.when(kind == i, F.date_format(day, layout)).otherwise(text)
+    lines = spread(table(spark, sf, "lineitem"), (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"))
+    rows = (lines.join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey")))
+    return rows.select(
+        text.alias("\ufeffDATA"),
+        F.concat(F.lit("1."), F.lpad((F.col("o_custkey") % 50).cast("string"), 5, "0")).alias("CONTA"),
+        F.concat(F.lit("1-"), F.lpad((F.col("l_suppkey") % 60).cast("string"), 5, "0")).alias("CONTRAPARTIDA"),
+        F.when(order % 2 == 0, price.cast("string")).otherwise(
+            F.concat(F.regexp_replace(F.format_number(price, 2).substr(F.lit(1), F.length(F.format_number(price, 2)) - 3), ",", "."),
+                     F.lit(","), F.substring_index(price.cast("string"), ".", -1))).alias("MOVIMENTO"),
+        F.lit(None).cast("string").alias("DEBITO"), F.lit(None).cast("string").alias("CREDITO"),
+        F.when(F.col("l_linenumber") != 3, F.col("p_name")).alias("HISTORICO"))
+
+
+@query("silver_build", f"""{RAW_SQL} SELECT
+  CASE WHEN l_orderkey % {len(RAW_DATES) + 2} < {len(RAW_DATES) + 1} THEN CAST(day AS VARCHAR) END AS data,
+  concat('1', lpad(CAST(o_custkey % 50 AS VARCHAR), 5, '0')) AS conta,
+  CAST(CAST(price AS DECIMAL(18,2)) AS DOUBLE) AS movimento,
+  CASE WHEN l_linenumber <> 3 THEN upper(p_name) END AS historico,
+  a.GRUPO AS grupo_conta, a.CTP AS class_conta, c.GRUPO AS grupo_ctp, c.CTP AS class_ctp
+FROM raw LEFT JOIN accounts a ON concat('1', lpad(CAST(o_custkey % 50 AS VARCHAR), 5, '0')) = a.k
+  LEFT JOIN accounts c ON concat('1', lpad(CAST(l_suppkey % 60 AS VARCHAR), 5, '0')) = c.k""")
+def silver_build(spark, sf):
+    """Raw ledger and balance, written as text, read by the readers and built to the silver table."""
+    raw, accounts = out_path(spark, "raw"), out_path(spark, "balance")
+    raw_ledger(spark, sf).write.option("header", True).option("sep", ";").csv(raw)
+    (balance(spark, sf).repartition(1).sortWithinPartitions("ORD").drop("ORD")
+     .write.option("header", True).option("sep", ";").csv(accounts))
+    frame = S.build_silver(read_ledger(spark, raw), read_balance(spark, accounts))
+    return frame.select(_iso(F.col("DATA")).alias("data"), F.regexp_replace("CONTA", r"\.", "").alias("conta"),
+                        F.col("MOVIMENTO").cast("double").alias("movimento"), F.col("HISTORICO").alias("historico"),
+                        *[F.col(c).alias(c.lower()) for c in CLASSES])
 
 
 @query("rule_catalog", f"""{SQL_SHIPPED}, hits AS (UNPIVOT (SELECT {', '.join(
@@ -368,7 +496,7 @@ def first_seen_query(spark, sf):
 
 
 @query("class_domain", f"""{CLASSIFIED} SELECT DISTINCT GRUPO_CTP AS value FROM classified
-  ORDER BY 1 NULLS FIRST LIMIT 200""")
+  ORDER BY 1 NULLS FIRST""")
 def class_domain(spark, sf):
     return A.class_domain(classified(spark, sf).withColumnRenamed("GRUPO_CTP", "value"), "value")
 
@@ -497,7 +625,7 @@ def flag_summary(spark, sf):
   ON {', '.join(TEST_NAMES)} INTO NAME t VALUE h)""")
 def rule_hits(spark, sf):
     """All 21 tests, hits of each."""
-    return A.count_hits(staged(classified(spark, sf), "silver"), FULL, prepared=True)
+    return A.count_hits(classified(spark, sf), FULL, prepared=True)
 
 
 @query("audit_flag", f"""{SQL_FULL} SELECT CONTA, count(*) FILTER (WHERE FLAG = 'MANTER') AS kept,

@@ -10,8 +10,8 @@ from tallybank.operators import questions as Q
 from tallybank.operators import scoring as R
 from tallybank.operators import study as S
 from tallybank.plans.adapters import (
-    ANALYSES_SQL, ATTEMPTS_SQL, LETTER_LIST, QUESTIONS_SQL, analyses, attempts, letter_at, mock_pages,
-    notebook_pages, question_pages, questions, table)
+    ANALYSES_SQL, ATTEMPTS_SQL, LETTER_LIST, QUESTIONS_SQL, analyses, attempts, broken_pages, letter_at, link_pages,
+    mock_pages, notebook_pages, question_pages, questions, table)
 from tallybank.plans.registry import query
 from tallybank.sources.cache import cache_hits, cache_misses
 
@@ -36,38 +36,60 @@ def pages_scan(spark, sf):
 LINK_PATTERNS = ("/the", "http", "tion", "/")
 
 
-ANCHORS_SQL = r"""WITH anchors AS (
-  SELECT page_id, unnest(list_zip(
-    regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1),
-    regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2),
-    range(100000)[:len(regexp_extract_all(html, '(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1))])) AS a
-  FROM pages),"""
+# The given pages write every link as <a href="...">word</a> without tags inside, so splitting at the opening finds them.
+ANCHORS_SQL = """WITH parts AS (
+  SELECT page_id, string_split(html, '<a href="')[2:] AS p FROM pages),
+anchors AS (SELECT page_id, unnest(list_transform(p, lambda x, i: struct_pack(pos := CAST(i - 1 AS BIGINT),
+    href := replace(split_part(x, '"', 1), '&amp;', '&'),
+    name := replace(trim(split_part(split_part(x, '>', 2), '<', 1)), '&amp;', '&')))) AS a FROM parts)"""
 
 
-@query("page_links", ANCHORS_SQL + r"""
-links AS (
-  SELECT page_id, replace(a[1], '&amp;', '&') AS href, a[3] AS pos,
-    coalesce(nullif(trim(regexp_replace(a[2], '<[^>]*>', '', 'g')), ''), replace(a[1], '&amp;', '&')) AS name,
-    CASE WHEN contains(a[1], '/the') THEN 1 WHEN contains(a[1], 'http') THEN 2
-         WHEN contains(a[1], 'tion') THEN 3 WHEN contains(a[1], '/') THEN 4 END AS priority
-  FROM anchors WHERE a[1] IS NOT NULL)
-SELECT page_id, href, CAST(min(priority) AS BIGINT) AS priority, CAST(min(pos) AS BIGINT) AS pos,
-  arg_min(name, pos) AS name
+@query("page_links", ANCHORS_SQL + """, links AS (
+  SELECT page_id, a.href AS href, a.pos AS pos, coalesce(nullif(a.name, ''), a.href) AS name,
+    CASE WHEN contains(a.href, '/the') THEN 1 WHEN contains(a.href, 'http') THEN 2
+         WHEN contains(a.href, 'tion') THEN 3 WHEN contains(a.href, '/') THEN 4 END AS priority FROM anchors)
+SELECT page_id, href, CAST(min(priority) AS BIGINT) AS priority, min(pos) AS pos, arg_min(name, pos) AS name
 FROM links WHERE priority IS NOT NULL GROUP BY page_id, href""")
 def page_links(spark, sf):
     return P.mock_links(table(spark, sf, "pages"), LINK_PATTERNS)
 
 
+@query("mock_links", """SELECT c_custkey AS page_id, unnest([
+    struct_pack(href := concat('/simulados/', c_custkey), priority := 1, pos := 0, name := 'T&rês'),
+    struct_pack(href := concat('/provas/', c_custkey), priority := 2, pos := 1, name := concat('/provas/', c_custkey)),
+    struct_pack(href := concat('/practice-tests/?a=', c_custkey, '&b=2'), priority := 3, pos := 2, name := c_mktsegment),
+    struct_pack(href := '/meu-simulado', priority := 4, pos := 5, name := 'S')], recursive := true) FROM customer""")
+def mock_links(spark, sf):
+    """Links of mock exams on pages that write them in every dress."""
+    return P.mock_links(link_pages(spark, sf))
+
+
 @query("notebook_links", """WITH cards AS (
-  SELECT concat('1', c_custkey) AS id, c_name AS name, c_custkey AS page, c_custkey AS questions FROM customer
-  UNION ALL SELECT concat('90', c_nationkey), c_mktsegment, c_custkey, c_custkey FROM customer)
-SELECT id, arg_min(name, page) AS name,
+  SELECT concat('1', c_custkey) AS id, c_name AS name, c_custkey AS page, 0 AS pos, CAST(c_custkey AS VARCHAR) AS questions
+  FROM customer
+  UNION ALL SELECT concat('90', c_nationkey), c_mktsegment, c_custkey, 1, CAST(c_custkey AS VARCHAR) FROM customer
+  UNION ALL SELECT concat('7', c_custkey), 'Solto & livre', c_custkey, 2, 'N/A' FROM customer)
+SELECT id, arg_min(name, page * 10 + pos) AS name,
   concat('/questoes-de-concursos/questoes?notebook_ids%5B%5D=', id) AS href,
-  CAST(min(questions) AS VARCHAR) AS questions FROM cards GROUP BY id""")
+  arg_min(questions, page * 10 + pos) AS questions FROM cards GROUP BY id""")
 def notebook_links(spark, sf):
     return P.notebook_links(notebook_pages(spark, sf))
 
 
+@query("page_errors", """SELECT c_custkey AS page_id, 'page' AS part, TRUE AS told FROM customer WHERE c_custkey % 3 = 0""")
+def page_errors(spark, sf):
+    """What could not be read of pages with broken places."""
+    found = P.page_errors(P.read_pages(broken_pages(spark, sf)))
+    return found.select("page_id", "part", F.startswith("message", F.lit("ValueError")).alias("told"))
+
+
+@query("broken_page_questions", """SELECT c_custkey AS page_id, concat('Q', c_custkey, '-', n) AS "ID_Questao"
+FROM customer, (SELECT unnest([1, 2]) AS n) WHERE n = 1 OR c_custkey % 3 <> 0""")
+def broken_page_questions(spark, sf):
+    """Questions kept of pages with broken places."""
+    return P.extract_questions(P.read_pages(broken_pages(spark, sf))).select("page_id", "ID_Questao")
+
+
 SQL_EXTRACT = f"""SELECT doc_id AS page_id, n AS pos, concat('Q', doc_id, '-', n + 1) AS "ID_Questao",
   CAST(n + 1 AS VARCHAR) AS "Indice_Pagina", CAST(2015 + doc_id % 10 AS VARCHAR) AS "Ano", lang AS "Banca",
   source AS "Orgao", NULL AS "Prova", 'Direito' AS "Disciplina", concat('T', doc_id % 17) AS "Assunto",
@@ -89,17 +111,24 @@ def answer_key_extract(spark, sf):
     return P.extract_answer_key(P.read_pages(question_pages(spark, sf)))
 
 
+SQL_SILENT, SQL_PAIR = "(conv_id + turn) % 5 = 4", "(conv_id + turn) % 7 = 6"
+
+
 @query("mock_extract", f"""SELECT conv_id * 100000 + turn AS page_id, CAST(turn + 1 AS VARCHAR) AS "Numero_Questao",
   CASE WHEN (conv_id + turn) % 3 = 0 THEN 'Certa' ELSE 'Errada' END AS "Resultado",
   regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS "Enunciado",
-  {_sql_letter('conv_id')} AS "Resposta_Marcada",
-  CASE WHEN (conv_id + turn) % 3 = 0 THEN {_sql_letter('conv_id')}
+  CASE WHEN {SQL_SILENT} THEN 'B' ELSE {_sql_letter('conv_id')} END AS "Resposta_Marcada",
+  CASE WHEN {SQL_SILENT} THEN 'B' WHEN (conv_id + turn) % 3 = 0 THEN {_sql_letter('conv_id')}
        ELSE {_sql_letter('conv_id + turn + 1')} END AS "Resposta_Correta",
   regexp_replace(concat(role, chr(10), regexp_replace(text, '^\\s+|\\s+$', '', 'g')),
-                 '\\n{{3,}}', chr(10) || chr(10), 'g') AS "Comentario_Professor"
+                 '\\n{{3,}}', chr(10) || chr(10), 'g') AS "Comentario_Professor",
+  {", ".join(f"""CASE WHEN {SQL_PAIR} THEN 'N/A' ELSE concat('opção {x} ', role) END AS "Alternativa_{x}" """ for x in "ABD")},
+  'N/A' AS "Alternativa_C", 'N/A' AS "Alternativa_E",
+  {", ".join(f"""CASE WHEN {SQL_PAIR} THEN '{w}' ELSE 'N/A' END AS "Alternativa_{w}" """ for w in ("Certo", "Errado"))}
 FROM conversations""")
 def mock_extract(spark, sf):
-    return P.extract_mock_exam(P.read_pages(mock_pages(spark, sf))).drop("pos", "options")
+    """Mock-exam pages as wide rows, with N/A where something is absent."""
+    return P.widen_mock_exam(P.extract_mock_exam(P.read_pages(mock_pages(spark, sf)))).drop("pos")
 
 
 SENTENCE_SQL = f"""CASE WHEN doc_id % 4 = 0 THEN 'sem resposta'
@@ -199,7 +228,7 @@ SELECT id_questao, regexp_replace(concat_ws('_', concat('Q', lpad(substr(id_ques
     substr(replace(banca, ' ', '_'), 1, 15), ano, substr(replace(replace(assunto, ' ', '_'), '/', '-'), 1, 40),
     concat('GAB', gabarito)), '[^\\p{{L}}\\p{{N}}_.\\-]', '', 'g') AS board_name FROM records""")
 def output_name(spark, sf):
-    number = F.substring("id_questao", 2, 20).cast("long")
+    number = F.substr("id_questao", F.lit(2)).cast("long")
     return records(spark, sf).select("id_questao", Q.output_name(number).alias("name"),
                                      Q.output_name(number, "banca", 15).alias("board_name"))
 
@@ -257,9 +286,8 @@ def answered_rate(spark, sf):
     return Q.answered_rate(questions(spark, sf))
 
 
-@query("pick_items", ANCHORS_SQL.rstrip(",") + """
-SELECT page_id, a[3] + 1 AS number, replace(a[1], '&amp;', '&') AS href FROM anchors
-WHERE a[1] IS NOT NULL AND a[3] + 1 IN (1, 4, 999)""")
+@query("pick_items", ANCHORS_SQL + """
+SELECT page_id, a.pos + 1 AS number, a.href AS href FROM anchors WHERE a.pos + 1 IN (1, 4, 999)""")
 def pick_items(spark, sf):
     """The links a person picks by number from the listing of each page."""
     listing = P.page_anchors(table(spark, sf, "pages")).select(

@@ -9,16 +9,21 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Page texts can be long, so few of them travel to Python at a time.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
 }
 
 
+#: Parts that the jobs deal their input tables into; unset, the layout of the files decides.
+INPUT_PARTITIONS = "spark.tallybank.inputPartitions"
+
+
 def local_session(cores: int | str = 8, partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and measurements on one machine."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("tallybank")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
-               .config("spark.sql.shuffle.partitions", str(partitions)))
+               .config("spark.sql.shuffle.partitions", str(partitions)).config(INPUT_PARTITIONS, str(cores)))
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()

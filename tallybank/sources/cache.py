@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 
@@ -16,11 +17,12 @@ def cache_misses(work: DataFrame, cache: DataFrame, key: str = "key") -> DataFra
 
 
 def append_to_cache(results: DataFrame, path: str, key: str = "key") -> None:
-    """Add results for keys the cache does not hold yet."""
+    """Add results for keys the cache does not hold yet, one row for each key."""
     spark = results.sparkSession
+    results = results.dropDuplicates([key])
     try:
         results = cache_misses(results, spark.read.parquet(path), key)
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
     results.write.mode("append").parquet(path)

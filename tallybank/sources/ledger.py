@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +16,6 @@ from tallybank.functions.text import NON_ASCII
 from tallybank.operators.schema import clean_names, require_columns
 
 SEPARATOR = ";"
-BOMS = ((b"\xef\xbb\xbf", "UTF-8"), (b"\xff\xfe", "UTF-16LE"), (b"\xfe\xff", "UTF-16BE"))
 CALENDAR_SCHEMA = T.StructType([T.StructField("DATA", T.StringType())])
 AMOUNTS = ("MOVIMENTO", "DEBITO", "CREDITO")
 
@@ -21,19 +24,32 @@ class LedgerReadError(ValueError):
     """The file has no rows or lacks the account column."""
 
 
-def detect_encoding(spark: SparkSession, path: str, default: str = "UTF-8") -> str:
-    """Encoding named by the byte-order mark of the first file found, else ``default``."""
-    # Only the start of the first line reaches the driver, whatever the size of the files.
-    first = spark.read.text(path).select(F.substring(F.col("value").cast("binary"), 1, 3).alias("head")).head()
-    head = bytes(first["head"]) if first else b""
-    return next((name for mark, name in BOMS if head.startswith(mark)), default)
+def two_byte_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Files under a path that begin with the byte-order mark of UTF-16, with their encoding. Only names reach the
+    driver; the files are read once for it, so callers who know the encoding should say it."""
+    head = F.hex(F.substring(F.col("value").cast("binary"), 1, 2))
+    kind = F.when(head == "FFFE", "UTF-16LE").when(head == "FEFF", "UTF-16BE")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), kind.alias("kind"),
+                                         F.col("_metadata.file_block_start").alias("start"))
+    found = lines.where("kind IS NOT NULL AND start = 0").groupBy("file").agg(F.min("kind").alias("kind"))
+    return {r["file"]: r["kind"] for r in found.collect()}
+
+
+def _one_slash(file: str) -> str:
+    """A file's address with one slash after the scheme, as Spark writes it both ways."""
+    return re.sub(r"^(\w+):/+", r"\1:/", file)
 
 
-def _csv(spark: SparkSession, path: str, sep: str, encoding: str, multiline: bool) -> DataFrame:
+def _csv(spark: SparkSession, path, sep: str, encoding: str, multiline: bool, order: str | None) -> DataFrame:
     # Everything is read as text: no inference pass, leading zeros survive, and files stay
     # splittable unless the caller says that values contain line breaks.
-    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-            .option("multiLine", multiline).csv(path))
+    frame = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+             .option("multiLine", multiline).csv(path))
+    if order:
+        # Numbers rise within a split, so file, split and number together follow the rows of each file.
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+        frame = frame.withColumn(order, place)
+    return clean_names(frame)
 
 
 def utf8_where_valid(text: Column) -> Column:
@@ -43,24 +59,29 @@ def utf8_where_valid(text: Column) -> Column:
 
 
 def read_text_table(spark: SparkSession, path: str, sep: str = SEPARATOR, encoding: str | None = None,
-                    multiline: bool = False) -> DataFrame:
+                    multiline: bool = False, order: str | None = None) -> DataFrame:
     """Delimited text with a header, all columns as strings and names cleaned.
 
-    Without an explicit encoding a byte-order mark decides between UTF-16 and one-byte text; the
-    latter is read losslessly as ISO-8859-1 and each value that is valid UTF-8 is read as such. So
-    every row is decoded right in a single pass, also where files of both kinds are mixed.
+    Without an explicit encoding each file is taken for itself: those with a byte-order mark of UTF-16 are read as such,
+    and whole, as lines of two-byte text can't be found byte by byte. All others are read losslessly as ISO-8859-1, and
+    each value that is valid UTF-8 is read as such. ``order`` names a column to add that sorts rows as in their files.
     """
-    encoding = encoding or detect_encoding(spark, path)
-    if encoding.startswith("UTF-16"):
-        # Lines of two-byte text cannot be found byte by byte, so such files are read whole.
-        multiline = True
-    if encoding != "UTF-8":
-        return clean_names(_csv(spark, path, sep, encoding, multiline))
-    frame = clean_names(_csv(spark, path, sep, "ISO-8859-1", multiline))
-    return frame.select(*[utf8_where_valid(F.col(f"`{c}`")).alias(c) for c in frame.columns])
+    if encoding and encoding != "UTF-8":
+        return _csv(spark, path, sep, encoding, multiline or encoding.startswith("UTF-16"), order)
+    wide = {} if encoding else two_byte_files(spark, path)
+    parts = [_csv(spark, sorted(f for f, k in wide.items() if k == kind), sep, kind, True, order)
+             for kind in sorted(set(wide.values()))]
+    known = {_one_slash(f) for f in wide}
+    plain = path if not wide else [f for f in spark.read.text(path).inputFiles() if _one_slash(f) not in known]
+    if plain:
+        frame = _csv(spark, plain, sep, "ISO-8859-1", multiline, order)
+        parts.append(frame.select(*[utf8_where_valid(F.col(f"`{c}`")).alias(c) if c != order else F.col(f"`{c}`")
+                                    for c in frame.columns]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_ledger(spark: SparkSession, path: str, sep: str = SEPARATOR, **options) -> DataFrame:
+    """A ledger as text; refused without its account column or without rows."""
     frame = read_text_table(spark, path, sep, **options)
     require_columns(frame, ["CONTA"], LedgerReadError)
     if frame.isEmpty():
@@ -68,17 +89,24 @@ def read_ledger(spark: SparkSession, path: str, sep: str = SEPARATOR, **options)
     return frame
 
 
+def read_balance(spark: SparkSession, path: str, sep: str = SEPARATOR, **options) -> DataFrame:
+    """A trial balance as text, with the order of its rows in ``ORD``."""
+    return read_text_table(spark, path, sep, order="ORD", **options)
+
+
 def read_calendar(spark: SparkSession, path: str | None, sep: str = SEPARATOR) -> DataFrame:
-    """Calendar days as text. A missing or unreadable file gives an empty frame of the same shape."""
+    """Calendar days as text. Without a path, at an absent path or without the column the frame is empty; any other
+    trouble is the caller's to see."""
     empty = spark.createDataFrame([], CALENDAR_SCHEMA)
     if not path:
         return empty
     try:
         frame = read_text_table(spark, path, sep)
-        return frame.select(F.col("DATA").cast("string")) if "DATA" in frame.columns else empty
-    except Exception as error:  # noqa: BLE001 - the calendar is optional by contract
-        print(f"calendar {path} not read: {str(error)[:200]}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return empty
+    return frame.select(F.col("DATA").cast("string")) if "DATA" in frame.columns else empty
 
 
 def revalidate(frame: DataFrame) -> DataFrame:

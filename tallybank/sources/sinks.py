@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tallybank.functions.money import money_text
 
 BOM = "﻿"
+# Rows that a spreadsheet holds.
 SHEET_ROWS = 1_000_000
 
 
@@ -47,17 +48,10 @@ def write_gold_csv(frame: DataFrame, path: str, files: int | None = None) -> Non
      .option("encoding", "UTF-8").csv(path))
 
 
-def fits_rows(frame: DataFrame, max_rows: int = SHEET_ROWS) -> bool:
-    """Whether a frame has at most ``max_rows`` rows, without counting beyond them."""
-    return frame.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-
-
-def export_capped(frame: DataFrame, path: str, max_rows: int = SHEET_ROWS) -> bool:
-    """Write one spreadsheet-sized file, or nothing when the frame is too long for a sheet."""
-    if not fits_rows(frame, max_rows):
-        return False
-    write_gold_csv(frame, path, files=1)
-    return True
+def export_sheets(frame: DataFrame, path: str, rows_per_file: int = SHEET_ROWS) -> None:
+    """Write every row, in files that each fit a spreadsheet."""
+    (frame.write.mode("overwrite").option("header", True).option("sep", ";").option("encoding", "UTF-8")
+     .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def folder_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

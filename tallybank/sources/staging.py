@@ -1,9 +1,8 @@
-"""Tables written once so that several passes can read them."""
+"""Frames computed once so that several passes can read them."""
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,20 +10,19 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is named."""
+    """The folder, shared by all executors, that the session names in ``spark.checkpoint.dir``. A session on one
+    machine that names none gets a temporary one; on a cluster that is refused."""
     context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-    if named:
-        return named
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallybank-"))
+        named = spark.conf.get(CHECKPOINT_DIR, None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallybank-"))
     return context.getCheckpointDir()
 
 
-def staged(frame: DataFrame, name: str = "stage") -> DataFrame:
-    """Write a frame as a columnar table and read it back: later passes read only their columns, and a
-    lost executor costs a re-read instead of the work before."""
-    spark = frame.sparkSession
-    path = f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+def staged(frame: DataFrame) -> DataFrame:
+    """The frame, computed into the shared folder. A lost executor costs a re-read instead of the work before; Spark
+    deletes the files once nothing refers to them, where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set."""
+    staging_folder(frame.sparkSession)
+    return frame.checkpoint()

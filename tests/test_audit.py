@@ -75,16 +75,16 @@ def test_blank_exposed_name(spark):
     assert hits(spark, "TESTE_7_9", given, exposed_names=("",), drop_blank_names=False) == [True, False]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_reversal(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_reversal(spark, broadcast):
     base, follow = dt.date(2025, 12, 31), dt.date(2026, 1, 31)
     given = [{"DATA": base, "CONTA": "1", "MOVIMENTO": 7}] * 2 + [
         {"DATA": follow, "CONTA": "1", "MOVIMENTO": 7}, {"DATA": dt.date(2026, 2, 1), "CONTA": "1", "MOVIMENTO": 7},
         {"DATA": follow, "CONTA": "2", "MOVIMENTO": 7}, {"DATA": follow, "MOVIMENTO": 7},
         {"DATA": base, "MOVIMENTO": 7}, {"CONTA": "1", "MOVIMENTO": 7}]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if broadcast_rows == 0 else "10485760")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        cfg = AuditConfig(active=("TESTE_7_3",), broadcast_rows=broadcast_rows)
+        cfg = AuditConfig(active=("TESTE_7_3",))
         frame = A.run_audit(rows(spark, *given), cfg, prepared=True).frame
         found = [(r["DATA"], r["CONTA"]) for r in frame.collect() if r["TESTE_7_3"]]
         assert found == [(follow, "1")] and frame.count() == len(given)
@@ -141,8 +141,9 @@ def brute_marks(frame, keys, order, nth):
 @pytest.mark.parametrize("partitions", [1, 16])
 def test_marks_match_brute_force_under_skew(spark, partitions):
     frame = random_ledger(spark, partitions)
+    frame = A.with_row_order(frame, AuditConfig(), frame.columns)
     for keys, nth in ((A.REPEAT_KEYS, 2), (A.TRIPLICATE_KEYS, 3)):
-        order = A.row_order(frame, keys)
+        order = (A.ORDER, A.ROW_HASH)
         marked = mark_repeats(frame, [RepeatMark(keys, order, nth, "m")])
         assert marked.count() == frame.count()
         got = Counter(tuple(r)[:-1] for r in marked.collect() if r["m"])
@@ -202,13 +203,12 @@ def test_numeric_amounts_are_not_read_as_text(spark):
     assert row["MOVIMENTO"] == row["DEBITO"] == Decimal("1234.56")
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_lookup_takes_the_first_row_and_keeps_all_ledger_rows(spark, broadcast_rows):
+def test_lookup_takes_the_first_row_and_keeps_all_ledger_rows(spark):
     ledger = spark.createDataFrame([("1.01", "2-02"), ("1.01", None), ("9.99", "101")] * 20,
                                    "CONTA string, CONTRAPARTIDA string")
     balance = spark.createDataFrame([(2, "1.01", "late", "L"), (1, "101", "first", "F"), (3, "202", "other", "O")],
                                     "ORD int, CONTA string, GRUPO string, CTP string")
-    out = S.classify(ledger, S.clean_balance(balance), broadcast_rows)
+    out = S.classify(ledger, S.clean_balance(balance))
     assert out.count() == 60
     got = {(r["CONTA"], r["CONTRAPARTIDA"]): (r["GRUPO_CONTA"], r["CLASS_CTP"]) for r in out.collect()}
     assert got == {("1.01", "2-02"): ("first", "O"), ("1.01", None): ("first", None), ("9.99", "101"): (None, "F")}

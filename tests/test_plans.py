@@ -40,18 +40,39 @@ def test_shipped_audit_neither_shuffles_nor_reads_unused_columns(silver):
 
 
 def test_full_audit_shuffles_the_ledger_three_times(silver):
-    cfg = L.FULL.replace(active=TEST_NAMES)
-    plan = plan_of(A.run_audit(silver, cfg, prepared=True).frame)
-    assert len(re.findall(r"\(\d+\) Exchange\n", plan)) == 3
+    plan = plan_of(A.run_audit(silver, L.FULL, prepared=True).frame)
+    # Three for the two rankings; the fourth brings together the distinct keys of the base day.
+    assert len(re.findall(r"\(\d+\) Exchange\n", plan)) == 4
     assert len(re.findall(r"Scan parquet", plan.split("\n\n")[0])) == 2  # the ledger and the base-day keys
     assert len(re.findall(r"\(\d+\) BroadcastExchange\n", plan)) == 1
 
 
-def test_counting_hits_ranks_nothing(silver):
-    plan = plan_of(A.count_hits(silver, L.FULL, prepared=True))
-    assert "Window" not in plan
-    # One shuffle of pre-aggregated groups for each of the two ranked tests.
-    assert len(re.findall(r"Arguments: hashpartitioning", plan)) == 2
+def test_counting_hits_takes_one_pass_and_whole_numbers(silver):
+    cfg = L.FULL.replace(active=[t for t in TEST_NAMES if t != "TESTE_7_3"])
+    plan = plan_of(A.count_hits(silver, cfg, prepared=True))
+    assert "Window" not in plan and "SortAggregate" not in plan
+    assert len(re.findall(r"Scan parquet", plan.split("\n\n")[0])) == 1
+    # One shuffle of pre-aggregated groups, and one of partial sums.
+    assert len(re.findall(r"\(\d+\) Exchange\n", plan)) == 2
+    assert "SortAggregate" not in plan_of(A.count_hits(silver, L.FULL, prepared=True))
+
+
+def test_planning_starts_no_job(spark, small):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "none")
+    try:
+        A.run_audit(L.classified(spark, small), L.FULL.replace(active=[t for t in TEST_NAMES if t != "TESTE_5_1"]), True)
+        A.count_hits(L.classified(spark, small), L.FULL, prepared=True)
+        assert not tracker.getJobIdsForGroup("planning") or all(
+            tracker.getJobInfo(j) is None or tracker.getJobInfo(j).status != "RUNNING"
+            for j in tracker.getJobIdsForGroup("planning"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_hits_counted_and_marked_agree(spark, silver):
+    audit = A.run_audit(silver, L.FULL, prepared=True)
+    assert A.rule_hits(audit).collect() == A.count_hits(silver, L.FULL, prepared=True).collect()
 
 
 def test_base_day_filter_reaches_the_scan(silver):
@@ -60,20 +81,23 @@ def test_base_day_filter_reaches_the_scan(silver):
     assert "EqualTo(DATA,1996-12-31)" in plan and "HISTORICO" not in plan
 
 
-def test_lookup_is_broadcast_only_while_it_fits(spark, small):
+def test_lookup_is_broadcast_only_while_it_is_small(spark, small):
     ledger, accounts = D.ledger(spark, small), S.clean_balance(D.balance(spark, small))
-    fits = plan_of(S.classify(ledger, accounts, 1000).select("GRUPO_CONTA", "GRUPO_CTP"))
-    assert "SortMergeJoin" not in fits
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        beyond = plan_of(S.classify(ledger, accounts, 10).select("GRUPO_CONTA", "GRUPO_CTP"))
+        beyond = plan_of(S.classify(ledger, accounts).select("GRUPO_CONTA", "GRUPO_CTP"))
         assert beyond.count("SortMergeJoin LeftOuter") >= 2
-        fits = plan_of(S.classify(ledger, accounts, 1000).select("GRUPO_CONTA", "GRUPO_CTP"))
-        assert "BroadcastHashJoin LeftOuter" in fits
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_links_and_answer_keys_never_leave_their_row(spark):
+    pages = spark.createDataFrame([(1, "<a href=x>js-question-item</a>")], "page_id long, html string")
+    for frame in (P.mock_links(pages), P.extract_answer_key(P.read_pages(pages)), P.page_anchors(pages)):
+        plan = plan_of(frame)
+        assert "Exchange" not in plan and len(re.findall(r"\(\d+\) ArrowEvalPython\n", plan)) == 1
+
+
 def test_each_page_is_parsed_once_and_questions_need_no_shuffle(spark):
     pages = spark.createDataFrame([(1, "<p>js-question-item</p>")], "page_id long, html string")
     plan = plan_of(widen_options(P.extract_questions(P.read_pages(pages))))

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallybank.plans.registry import QUERIES, SQL
 from tools.check_sql import TABLES, rows_of
 
 
@@ -15,10 +16,10 @@ def database(small):
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, small, database, name):
-    frame = entry.queries()[name](spark, small)
-    result = database.execute(entry.oracle_sql()[name])
+    frame = QUERIES[name](spark, small)
+    result = database.execute(SQL[name])
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(frame.columns)
     plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -28,3 +29,7 @@ def test_query_matches_sql(spark, small, database, name):
 
 def test_entry(spark):
     assert {r["FLAG"] for r in entry.entry(spark).collect()} == {"MANTER", "RETIRAR"}
+
+
+def test_every_query_is_registered_once():
+    assert entry.queries().keys() >= QUERIES.keys() and entry.queries().keys() >= entry.oracle_sql().keys()

@@ -72,7 +72,20 @@ def test_unreadable_pages_are_reported(spark, monkeypatch):
         raise RuntimeError("bad page")
     monkeypatch.setattr(P._Tree, "feed", broken)
     page = P.read_page(NOTEBOOK_PAGE)
-    assert page["questions"] == [] and page["error"] == "RuntimeError: bad page"
+    assert page["questions"] == [] and page["problems"] == [{"part": "page", "pos": None, "message": "RuntimeError: bad page"}]
+
+
+def test_one_bad_item_costs_only_itself(spark, monkeypatch):
+    read = P._question
+
+    def picky(item):
+        if (item.find("span", "q-index") or item).text() == "2":
+            raise KeyError("odd")
+        return read(item)
+    monkeypatch.setattr(P, "_question", picky)
+    page = P.read_page(NOTEBOOK_PAGE)
+    assert [q["idx"] for q in page["questions"]] == ["1", "3", "4"] and page["answers"][0]["answer"] == "C"
+    assert page["problems"] == [{"part": "question", "pos": 1, "message": "KeyError: 'odd'"}]
 
 
 def test_mock_links_default_patterns(spark):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybank.operators import schema as N
+from tallybank.operators.silver import clean_balance
 from tallybank.sources import cache, ledger, sinks
 from tallybank.sources.staging import staged, staging_folder
 
@@ -37,16 +38,36 @@ def test_read_ledger_needs_the_account_and_rows(spark, tmp_path):
         ledger.read_ledger(spark, str(tmp_path / "b.csv"))
 
 
-def test_detect_encoding(spark, tmp_path):
-    for name, head, expected in (("u8", b"\xef\xbb\xbfa", "UTF-8"), ("le", b"\xff\xfea\0", "UTF-16LE"),
-                                 ("be", b"\xfe\xff\0a", "UTF-16BE"), ("none", b"abc", "UTF-8")):
+def test_two_byte_files_are_told_apart(spark, tmp_path):
+    for name, head in (("u8", b"\xef\xbb\xbfa"), ("le", b"\xff\xfea\0"), ("be", b"\xfe\xff\0a"), ("none", b"abc")):
         (tmp_path / name).write_bytes(head)
-        assert ledger.detect_encoding(spark, str(tmp_path / name)) == expected
+    found = ledger.two_byte_files(spark, str(tmp_path))
+    assert {f.rsplit("/", 1)[-1]: k for f, k in found.items()} == {"le": "UTF-16LE", "be": "UTF-16BE"}
+
+
+def test_two_byte_and_one_byte_files_in_one_folder(spark, tmp_path):
+    for name in ("utf-8", "utf-16", "iso-8859-1"):
+        (tmp_path / f"{name}.csv").write_bytes(f"CONTA;TEXTO\n{name};ação\n".encode(name))
+    got = {(r["CONTA"], r["TEXTO"]) for r in ledger.read_ledger(spark, str(tmp_path)).collect()}
+    assert got == {("utf-8", "ação"), ("utf-16", "ação"), ("iso-8859-1", "ação")}
+
+
+def test_balance_keeps_the_order_of_its_file(spark, tmp_path):
+    lines = [f"{i % 7};g{i};c{i}" for i in range(5000)]
+    (tmp_path / "b.csv").write_text("CONTA;GRUPO;CTP\n" + "\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        accounts = {r["CONTA_CHAVE"]: r["GRUPO"] for r in clean_balance(ledger.read_balance(spark, str(tmp_path))).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert accounts == {str(i): f"g{i}" for i in range(7)}
 
 
 def test_calendar_is_optional(spark, tmp_path):
     assert ledger.read_calendar(spark, None).columns == ["DATA"]
     assert ledger.read_calendar(spark, str(tmp_path / "none.csv")).count() == 0
+    with pytest.raises(Exception, match="no-such-store"):
+        ledger.read_calendar(spark, "no-such-store://a/b.csv")
     (tmp_path / "c.csv").write_text("DATA\n01/01/2025\n")
     assert [r["DATA"] for r in ledger.read_calendar(spark, str(tmp_path / "c.csv")).collect()] == ["01/01/2025"]
 
@@ -73,13 +94,13 @@ def test_silver_parquet_is_split_by_month(spark, tmp_path):
     assert {r["MES"] for r in back.collect()} == {"2025-01", "none"}
 
 
-def test_gold_csv_and_capped_export(spark, tmp_path):
-    path = str(tmp_path / "gold")
+def test_gold_csv_and_sheets(spark, tmp_path):
+    path, sheets = str(tmp_path / "gold"), tmp_path / "sheets"
     sinks.write_gold_csv(silver(spark), path)
     assert spark.read.option("header", True).option("sep", ";").csv(path).count() == 2
-    assert sinks.export_capped(silver(spark), str(tmp_path / "sheet"), max_rows=2)
-    assert not sinks.export_capped(silver(spark), str(tmp_path / "none"), max_rows=1)
-    assert not (tmp_path / "none").exists()
+    sinks.export_sheets(spark.range(25).repartition(1), str(sheets), rows_per_file=10)
+    files = list(sheets.glob("part-*.csv"))
+    assert sorted(len(f.read_text().splitlines()) - 1 for f in files) == [5, 10, 10]
 
 
 def test_inventory(spark, tmp_path):
@@ -94,7 +115,8 @@ def test_cache_grows_by_misses_only(spark, tmp_path):
     path = str(tmp_path / "cache")
     first = spark.createDataFrame([("a", "1"), ("b", "2")], "key string, text string")
     cache.append_to_cache(first, path)
-    cache.append_to_cache(spark.createDataFrame([("b", "x"), ("c", "3")], "key string, text string"), path)
+    more = spark.createDataFrame([("b", "x"), ("c", "3"), ("c", "3")], "key string, text string")
+    cache.append_to_cache(more, path)
     stored = spark.read.parquet(path)
     assert sorted(map(tuple, stored.collect())) == [("a", "1"), ("b", "2"), ("c", "3")]
     work = spark.createDataFrame([("a",), ("z",)], "key string")
@@ -105,9 +127,10 @@ def test_cache_grows_by_misses_only(spark, tmp_path):
 def test_staging_uses_the_folder_of_the_session(spark):
     folder = staging_folder(spark)
     assert folder == staging_folder(spark)
-    assert folder == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
-    frame = staged(spark.range(5).withColumn("d", F.lit(Decimal("1.50"))), "five")
-    assert frame.count() == 5 and any(folder.split("://")[-1].split(":")[-1] in f for f in frame.inputFiles())
+    assert folder == spark.sparkContext.getCheckpointDir()
+    frame = staged(spark.range(5).withColumn("d", F.lit(Decimal("1.50"))))
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert frame.count() == 5 and "LogicalRDD" in plan and "Range" not in plan
 
 
 def test_names():
