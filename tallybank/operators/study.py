@@ -23,6 +23,7 @@ WORDS_PER_MINUTE = 150
 NEURAL_PER_MILLION, STANDARD_PER_MILLION = 16, 4
 CHARS_PER_TOKEN = 4
 COST_PER_1000_TOKENS = 0.018
+# Fixed value: the text that stands for the summary of a question without a comment.
 NO_COMMENT_SUMMARY = """TEMA:
 Não identificado
 
@@ -36,8 +37,6 @@ RESUMO PARA MEMORIZAÇÃO:
 Questão sem comentário do professor.
 """
 
-# Questions per booklet volume: a volume is one row, so it must stay far below a task's memory.
-VOLUME_SIZE = 200
 SCORE_BASE = 1000
 
 
@@ -66,17 +65,20 @@ def summary_or_fallback(comment: Column, summary: Column) -> Column:
 # --- attempts --------------------------------------------------------------------------------
 
 
-def best_attempt(attempts: DataFrame, key: str, accept: int) -> DataFrame:
-    """(key, attempt, score) of the first attempt that scores at least ``accept``, else of the last.
+def best_attempt(attempts: DataFrame, key: str, accept: int, carry=()) -> DataFrame:
+    """(key, attempt, score, carried numbers) of the first attempt that scores at least ``accept``, else of the last.
 
     Attempt and score travel as one whole number, so the grouping works on fixed-width values and
-    shrinks every key to one row before the shuffle; texts are not moved at all.
+    shrinks every key to one row before the shuffle; texts are not moved at all. ``carry`` names
+    numeric columns of the chosen attempt to bring along.
     """
     packed = F.col("attempt") * SCORE_BASE + F.col("score")
-    chosen = F.coalesce(F.min(F.when(F.col("score") >= accept, packed)), F.max(packed))
-    picked = attempts.groupBy(key).agg(chosen.alias("packed"))
+    good = F.when(F.col("score") >= accept, packed)
+    chosen = F.coalesce(F.min(good), F.max(packed))
+    carried = [F.when(F.min(good).isNotNull(), F.min_by(c, good)).otherwise(F.max_by(c, packed)).alias(c) for c in carry]
+    picked = attempts.groupBy(key).agg(chosen.alias("packed"), *carried)
     return picked.select(key, F.floor(F.col("packed") / SCORE_BASE).cast("long").alias("attempt"),
-                         F.pmod("packed", F.lit(SCORE_BASE)).cast("long").alias("score"))
+                         F.pmod("packed", F.lit(SCORE_BASE)).cast("long").alias("score"), *carry)
 
 
 def with_attempt_text(picked: DataFrame, attempts: DataFrame, key: str) -> DataFrame:
@@ -164,16 +166,23 @@ def fragment_html(number: Column, statement: Column, options: dict[str, Column],
 
 
 def booklet(fragments: DataFrame, key: str, number: str = "number", fragment: str = "fragment",
-            volume_size: int = VOLUME_SIZE) -> DataFrame:
+            *, volume_size: int) -> DataFrame:
     """(key, volume, questions, body): fragments joined in question order.
 
-    A booklet is cut into volumes by question number (1-200, 201-400, ...), so however large a
-    booklet grows, no group holds more than ``volume_size`` numbers.
+    A booklet is cut into volumes of ``volume_size`` question numbers, from 1 on. Numbers must be unique within a
+    booklet: a number given twice, or a null one, ends the job with an error that names it. So no group that is joined
+    holds more fragments than that. The error comes from counts, before anything is gathered.
     """
     volume = (F.floor((F.col(number) - 1) / volume_size) + 1).cast("long").alias("volume")
+    dealt = fragments.select(key, volume, number, fragment).repartition(key, "volume")
+    single = dealt.groupBy(key, "volume", number).agg(F.count("*").alias("n"), F.first(fragment).alias(fragment))
+    wrong = F.concat(F.lit("question number "), F.coalesce(F.col(number).cast("string"), F.lit("null")), F.lit(" of booklet "),
+                     F.coalesce(F.col(key).cast("string"), F.lit("null")), F.lit(" is not unique"))
+    checked = single.withColumn(fragment, F.when((F.col("n") == 1) & F.col(number).isNotNull(), F.col(fragment))
+                                .otherwise(F.raise_error(wrong).cast("string")))
     ordered = F.array_sort(F.collect_list(F.struct(number, fragment)))
     parts = F.transform(ordered, lambda p: p[fragment])
-    return (fragments.groupBy(key, volume)
+    return (checked.groupBy(key, "volume")
             .agg(F.count("*").alias("questions"), F.array_join(parts, "\n").alias("body")))
 
 
@@ -184,5 +193,5 @@ def text_report(statement: Column, options: Column, answer: Column, comment: Col
     for title, value in (("ENUNCIADO", statement), ("ALTERNATIVAS", options), ("RESPOSTA CORRETA", answer),
                          ("COMENTÁRIO DO PROFESSOR", comment)):
         pieces.append(F.concat(F.lit(f"\n{title}\n"), F.coalesce(value, F.lit("N/A"))))
-    pieces += [F.lit(f"\n{thin}\nRESUMO\n{thin}\n"), F.coalesce(summary, F.lit("N/A")), F.lit(f"\n{rule}")]
+    pieces += [F.lit(f"\n{thin}\nRESUMO GERADO PELA IA\n{thin}\n"), F.coalesce(summary, F.lit("N/A")), F.lit(f"\n{rule}")]
     return F.concat_ws("\n", *pieces)

@@ -418,7 +418,7 @@ SQL_SCORES = {
         [_sql_steps("length(text)", ((2000, 20),))]
         + [_sql_points(f"{_sql_has('upper(text)', f'ALTERNATIVA {x}')} OR {_sql_has('text', f'{x}:')}", 12)
            for x in LETTER_LIST]
-        + [f"least({SQL_MARKS} * 2, 10)", _sql_points(_sql_has("upper(text)", "GABARITO"), 10)]
+        + [f"least(coalesce({SQL_MARKS}, 0) * 2, 10)", _sql_points(_sql_has("upper(text)", "GABARITO"), 10)]
         + [_sql_points(_sql_has("lower(text)", t), 5) for t in R.COMPACT_TERMS]) + ", 100) AS BIGINT)",
     "score_summary": "CAST(least(" + " + ".join(
         ["CASE WHEN length(bare) BETWEEN 300 AND 1800 THEN 30 WHEN length(bare) BETWEEN 200 AND 2200 THEN 20 "
@@ -434,13 +434,18 @@ SCORERS = {"score_law": R.score_law, "score_language": R.score_language, "score_
 SQL_BARE = r"regexp_replace(text, '^\s+|\s+$', '', 'g') AS bare"
 
 
+# Every 29th text is absent.
+SQL_SOME_NULL = "SELECT * REPLACE (CASE WHEN doc_id % 29 <> 0 THEN text END AS text) FROM analyses"
+
+
 def _score(scorer):
-    return lambda spark, sf: analyses(spark, sf).select("doc_id", scorer(F.col("text")).alias("score"))
+    return lambda spark, sf: analyses(spark, sf).select(
+        "doc_id", scorer(F.when(F.col("doc_id") % 29 != 0, F.col("text"))).alias("score"))
 
 
 for _name, _scorer in SCORERS.items():
     query(_name, f"""{ANALYSES} SELECT doc_id, {SQL_SCORES[_name]} AS score
-  FROM (SELECT *, {SQL_BARE} FROM analyses)""")(_score(_scorer))
+  FROM (SELECT *, {SQL_BARE} FROM ({SQL_SOME_NULL}))""")(_score(_scorer))
 
 
 # --- attempts and run figures ----------------------------------------------------------------
@@ -458,10 +463,26 @@ def scored_attempts(spark, sf):
   SELECT doc_id, CAST(attempt AS BIGINT) AS attempt, score, length(text) AS chars
   FROM picked JOIN scored USING (doc_id, attempt)""")
 def best_attempt(spark, sf):
-    scored = scored_attempts(spark, sf)
-    picked = S.best_attempt(scored, "doc_id", R.LONG_ACCEPT)
+    scored = scored_attempts(spark, sf).withColumn("chars", F.length("text").cast("long"))
+    return S.best_attempt(scored, "doc_id", R.LONG_ACCEPT, carry=["chars"])
+
+
+@query("attempt_text", f"""{SQL_SCORED}, picked AS (SELECT doc_id,
+    coalesce(min(attempt) FILTER (WHERE score >= 65), max(attempt)) AS attempt FROM scored GROUP BY doc_id)
+  SELECT doc_id, CAST(attempt AS BIGINT) AS attempt, score, md5(text) AS text_md5
+  FROM picked JOIN scored USING (doc_id, attempt)""")
+def attempt_text(spark, sf):
+    """The chosen attempts with their texts."""
+    picked = S.best_attempt(scored_attempts(spark, sf), "doc_id", R.LONG_ACCEPT)
     return S.with_attempt_text(picked, attempts(spark, sf), "doc_id").select(
-        "doc_id", "attempt", "score", F.length("text").cast("long").alias("chars"))
+        "doc_id", "attempt", "score", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query("mean_seconds", """WITH ends AS (SELECT max(epoch_us(ts)) - min(epoch_us(ts)) AS us, count(*) AS n FROM events)
+  SELECT us / 1e6 AS seconds, us / 1e6 / n AS mean_seconds FROM ends""")
+def mean_seconds(spark, sf):
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return S.mean_seconds(events, "ts", "ts")
 
 
 @query("run_summary", f"""WITH attempts AS ({ATTEMPTS_SQL})
@@ -523,4 +544,27 @@ def booklet(spark, sf):
         S.fragment_html(F.col("doc_id") + 1, F.col("Enunciado"),
                         {"A": F.col("Alternativa_A"), "B": F.col("Alternativa_B")},
                         F.col("Resposta_Correta"), F.col("Comentario_Professor")).alias("fragment"))
-    return S.booklet(fragments, "booklet")
+    return S.booklet(fragments, "booklet", volume_size=200)
+
+
+@query("rich_fragment", f"""SELECT doc_id, regexp_replace(replace(replace({_sql_escape("marked")},
+    chr(10) || chr(10), '</p><p>'), chr(10), '<br/>'), '\\*\\*(.+?)\\*\\*', '<b>\\1</b>', 'g') AS html
+  FROM (SELECT doc_id, concat('**', lang, '** & <', source, '>', chr(10), chr(10), text, chr(10), '**fim**') AS marked
+        FROM documents)""")
+def rich_fragment(spark, sf):
+    """Texts with paragraphs, line breaks and bold words as tags."""
+    marked = F.concat(F.lit("**"), "lang", F.lit("** & <"), "source", F.lit(">\n\n"), "text", F.lit("\n**fim**"))
+    return table(spark, sf, "documents").select("doc_id", S.rich_text(marked).alias("html"))
+
+
+@query("text_report", f"""{QUESTIONS} SELECT doc_id, concat(repeat('=', 50), chr(10), 'ANÁLISE DE QUESTÃO', chr(10), repeat('=', 50),
+  chr(10), chr(10), 'ENUNCIADO', chr(10), Enunciado, chr(10), chr(10), 'ALTERNATIVAS', chr(10),
+  concat('A) ', Alternativa_A, ' B) ', coalesce(Alternativa_B, 'N/A')), chr(10), chr(10), 'RESPOSTA CORRETA', chr(10), Resposta_Correta,
+  chr(10), chr(10), 'COMENTÁRIO DO PROFESSOR', chr(10), coalesce(Comentario_Professor, 'N/A'), chr(10), chr(10), repeat('-', 50), chr(10),
+  'RESUMO GERADO PELA IA', chr(10), repeat('-', 50), chr(10), chr(10), CASE WHEN Resultado = 'Certa' THEN 'breve' ELSE 'N/A' END,
+  chr(10), chr(10), repeat('=', 50)) AS report FROM questions""")
+def text_report(spark, sf):
+    options = F.concat(F.lit("A) "), "Alternativa_A", F.lit(" B) "), F.coalesce("Alternativa_B", F.lit("N/A")))
+    return questions(spark, sf).select("doc_id", S.text_report(
+        F.col("Enunciado"), options, F.col("Resposta_Correta"), F.col("Comentario_Professor"),
+        F.when(F.col("Resultado") == "Certa", "breve")).alias("report"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import site
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -29,3 +34,22 @@ def local_session(cores: int | str = 8, partitions: int = 8, **extra: str) -> Sp
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers of a session, once, unless it is installed or on their PYTHONPATH anyway."""
+    context = spark.sparkContext
+    package = os.path.dirname(os.path.realpath(__file__))
+    root = os.path.dirname(package)
+    there = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    if root in map(os.path.realpath, filter(None, there)) or getattr(context, "_tallybank_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallybank-"), "tallybank.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, root))
+    context.addPyFile(archive)
+    context._tallybank_shipped = True

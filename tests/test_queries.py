@@ -1,5 +1,9 @@
 """Every registered query against its SQL counterpart, and the driver contract."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -33,3 +37,16 @@ def test_entry(spark):
 
 def test_every_query_is_registered_once():
     assert entry.queries().keys() >= QUERIES.keys() and entry.queries().keys() >= entry.oracle_sql().keys()
+
+
+def test_workers_find_the_package_from_any_folder(small, tmp_path):
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = f"""import sys; sys.path.insert(0, {root!r})
+import __spark_entry__ as e
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert e.queries()["answer_key_extract"](spark, {small!r}).count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]

@@ -1,5 +1,6 @@
 """Exam pages, question tables, attempts and booklets on small literal input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallybank.operators import pages as P
@@ -119,8 +120,10 @@ def test_content_key_treats_null_as_empty(spark):
 def test_booklets_are_cut_into_volumes(spark):
     frame = spark.range(1, 451).select(F.lit("k").alias("booklet"), F.col("id").alias("number"),
                                        F.col("id").cast("string").alias("fragment"))
-    got = {r["volume"]: (r["questions"], r["body"].split("\n")[0]) for r in S.booklet(frame, "booklet").collect()}
+    got = {r["volume"]: (r["questions"], r["body"].split("\n")[0]) for r in S.booklet(frame, "booklet", volume_size=200).collect()}
     assert got == {1: (200, "1"), 2: (200, "201"), 3: (50, "401")}
+    with pytest.raises(Exception, match="question number 7 of booklet k is not unique"):
+        S.booklet(frame.withColumn("number", F.lit(7)), "booklet", volume_size=200).collect()
 
 
 def test_pick_and_wrong(spark):
