@@ -22,7 +22,7 @@ LONGEST = 1024
 #: A boundary moves on to the start of the next word if that is so near, else to the next character.
 WORD_REACH = 64
 #: Code points that neighbouring repeated chunks must have together to be a repeated passage.
-PASSAGE_CHARS = 80
+PASSAGE_CHARS = 100
 
 
 def gear_table() -> np.ndarray:

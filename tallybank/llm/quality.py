@@ -93,17 +93,22 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(value, -500, 500))))
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, size: int) -> tuple[np.ndarray, float]:
-    """Weights and bias of the hinge-loss model, by coordinate steps on its dual; labels are +1 and -1."""
+def descend(rows: list[np.ndarray], ratios: np.ndarray, scales: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of the hinge-loss model, by coordinate steps on its dual; labels are +1 and -1.
+
+    Row i has the values ratios[rows[i]] * scales[i]; they are made when they are needed, so memory holds the places only.
+    """
     shares = {s: max(1, int((labels == s).sum())) for s in (1, -1)}
     cost = np.array([COST * len(labels) / (2 * shares[int(y)]) for y in labels])
-    weights, bias, alpha = np.zeros(size), 0.0, np.zeros(len(labels))
-    diagonal = np.array([float(v @ v) + 1.0 for v in values])
+    weights, bias, alpha = np.zeros(len(ratios)), 0.0, np.zeros(len(labels))
+    squares = ratios ** 2
+    diagonal = np.array([float(squares[at].sum()) * s * s + 1.0 for at, s in zip(rows, scales, strict=True)])
     rng = np.random.default_rng(SEED)
     for _ in range(EPOCHS):
         largest = 0.0
         for i in rng.permutation(len(labels)):
-            at, v, y = rows[i], values[i], labels[i]
+            at, y = rows[i], labels[i]
+            v = ratios[at] * scales[i]
             slope = y * (float(weights[at] @ v) + bias) - 1
             new = min(max(alpha[i] - slope / diagonal[i], 0.0), cost[i])
             if (step := (new - alpha[i]) * y) != 0.0:
@@ -159,13 +164,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_col
         text_column: str = "text") -> Model:
     """The model from a bounded sample of labelled rows; a label is positive if it is over 0.
 
-    The fit has three steps: log-count ratios, the dual descent on three quarters of the sample, and the logistic curve
+    A row of the sample is at most 2 ** PLACE_BITS numbers of 16 bits on the driver. The fit has three steps: log-count ratios, the dual descent on three quarters of the sample, and the logistic curve
     on the margins of the rest. Without both classes the score is the smoothed share of the positive one.
     """
-    found = sorted(_featured(sample(docs, labels, id_column, label_column, text_column)).toLocalIterator(),
-                   key=lambda r: (str(r["id"]), len(r["at"])))
-    rows = [np.array(r["at"], dtype=np.int64) for r in found]
-    positive = np.array([r["label"] > 0 for r in found], dtype=bool)
+    found = _featured(sample(docs, labels, id_column, label_column, text_column)).toArrow()
+    lists = [part.column("at") for part in found.to_batches()]
+    rows = [part[i].values.to_numpy().astype(np.uint16) for part in lists for i in range(len(part))]
+    given = list(zip(map(str, found.column("id").to_pylist()), map(len, rows), found.column("label").to_pylist(), strict=True))
+    order = sorted(range(len(rows)), key=given.__getitem__)
+    rows, positive = [rows[i] for i in order], np.array([given[i][2] > 0 for i in order], dtype=bool)
     size = 1 << PLACE_BITS
     test = np.zeros(len(rows), dtype=bool)
     for side in (True, False):                       # each fourth row of either class
@@ -180,9 +187,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_col
     n1, n0 = positive[~test].sum(), (~positive[~test]).sum()
     ratios = np.log(counts[1] / (n1 + 2 * SMOOTHING)) - np.log(counts[0] / (n0 + 2 * SMOOTHING))
     squares = ratios ** 2
-    values = [ratios[at] / np.sqrt(max(squares[at].sum(), 1e-12)) for at in rows]
     used = np.flatnonzero(~test)
-    weights, bias = descend([rows[i] for i in used], [values[i] for i in used], np.where(positive[used], 1, -1), size)
+    scales = np.array([1 / np.sqrt(max(squares[rows[i]].sum(), 1e-12)) for i in used])
+    weights, bias = descend([rows[i] for i in used], ratios, scales, np.where(positive[used], 1, -1))
     model = Model(weights * ratios, squares, bias, 1.0, 0.0)
     margins = np.array([model.margin(rows[i]) for i in np.flatnonzero(test)])
     model.slope, model.offset = logistic_curve(margins, positive[test])

@@ -78,7 +78,7 @@ def test_descent_solves_the_dual():
     rng = np.random.default_rng(0)
     rows = [np.sort(rng.choice(40, 8, replace=False)) for _ in range(200)]
     labels = np.array([1 if 3 in r or 5 in r else -1 for r in rows])
-    weights, bias = quality.descend(rows, [np.ones(8) / np.sqrt(8)] * 200, labels, 40)
+    weights, bias = quality.descend(rows, np.ones(40), np.full(200, 1 / np.sqrt(8)), labels)
     assert np.mean(np.sign([weights[r].sum() / np.sqrt(8) + bias for r in rows]) == labels) > 0.95
 
 
