@@ -299,7 +299,7 @@ def silver_parquet(spark, sf):
 
 
 # The ledger in raw dress: every date layout, odd headers, amounts with a comma or a point, account tails.
-RAW_DATES = (("dd/MM/yyyy", "%d/%m/%Y"), ("yyyy-MM-dd", "%Y-%m-%d"), ("dd-MM-yyyy", "%d-%m-%Y"), ("d/M/yyyy", "%-d/%-m/%Y"))
+RAW_DATES = ("dd/MM/yyyy", "yyyy-MM-dd", "dd-MM-yyyy", "d/M/yyyy", "dd.MM.yyyy", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy H:mm:ss")
 RAW_SQL = f"""WITH raw AS (
   SELECT CAST(o_orderdate AS DATE) AS day, l_orderkey, l_linenumber, l_suppkey, o_custkey, l_extendedprice AS price, p_name
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
@@ -312,7 +312,7 @@ def raw_ledger(spark, sf):
     day = F.col("o_orderdate").cast("date")
     kind = order % (len(RAW_DATES) + 2)
     text = F.when(kind == len(RAW_DATES), F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string"))
-    for i, (layout, _) in enumerate(RAW_DATES):
+    for i, layout in enumerate(RAW_DATES):
         text = F.when(kind == i, F.date_format(day, layout)).otherwise(text)
     lines = spread(table(spark, sf, "lineitem"), (
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"))
@@ -321,7 +321,7 @@ def raw_ledger(spark, sf):
     return rows.select(
         text.alias("\ufeffDATA"),
         F.concat(F.lit("1."), F.lpad((F.col("o_custkey") % 50).cast("string"), 5, "0")).alias("CONTA"),
-        F.concat(F.lit("1-"), F.lpad((F.col("l_suppkey") % 60).cast("string"), 5, "0")).alias("CONTRAPARTIDA"),
+        F.concat(F.lit("1-"), F.lpad((F.col("l_suppkey") % 60).cast("string"), 5, "0")).alias("C/PARTIDA"),
         F.when(order % 2 == 0, price.cast("string")).otherwise(
             F.concat(F.regexp_replace(F.format_number(price, 2).substr(F.lit(1), F.length(F.format_number(price, 2)) - 3), ",", "."),
                      F.lit(","), F.substring_index(price.cast("string"), ".", -1))).alias("MOVIMENTO"),
@@ -341,7 +341,7 @@ def silver_build(spark, sf):
     """Raw ledger and balance, written as text, read by the readers and built to the silver table."""
     raw, accounts = out_path(spark, "raw"), out_path(spark, "balance")
     raw_ledger(spark, sf).write.option("header", True).option("sep", ";").csv(raw)
-    (balance(spark, sf).repartition(1).sortWithinPartitions("ORD").drop("ORD")
+    (balance(spark, sf).repartition(1).sortWithinPartitions("ORD").drop("ORD").withColumnRenamed("GRUPO", "Grupo")
      .write.option("header", True).option("sep", ";").csv(accounts))
     frame = S.build_silver(read_ledger(spark, raw), read_balance(spark, accounts))
     return frame.select(_iso(F.col("DATA")).alias("data"), F.regexp_replace("CONTA", r"\.", "").alias("conta"),
@@ -590,6 +590,15 @@ for _name, _test in SINGLE_TESTS.items():
     query(_name, f"{RANKED} {SQL_ROW_VIEW} ranked WHERE {SQL_RULES[_test]}")(_single(_test))
 
 
+@query("listed_weekends", f"""{PREPARED} {SQL_ROW_VIEW} prepared
+  WHERE (isodow(DATA) >= 6 AND year(DATA) = 1997)
+    OR CAST(DATA AS VARCHAR) IN ('1996-12-25', '1997-05-01', '1998-09-07', '1997-01-15')""")
+def listed_weekends(spark, sf):
+    """Non-working days where weekends count in the listed years only."""
+    cfg = FULL.replace(active=("TESTE_1_2",), weekend_years=(1997,))
+    return row_view(A.run_audit(prepared(spark, sf), cfg, prepared=True).frame.filter(F.col("FLAG") == A.KEEP))
+
+
 @query("triplicate_entry", f"""{RANKED} SELECT CAST(DATA AS VARCHAR) AS data, count(*) AS marks FROM ranked
   WHERE seq4 >= 3 GROUP BY 1""")
 def triplicate_entry(spark, sf):
