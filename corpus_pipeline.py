@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallybank.llm import bpe, decontaminate, repetition, secret_scan, simhash
 from tallybank.llm.common import remove_folder, shared_folder, table

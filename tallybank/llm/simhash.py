@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybank.llm import golay
-from tallybank.llm.common import lasting, lower_words_of, map_texts
+from tallybank.llm.common import free_name, lasting, lower_words_of, map_texts
 from tallybank.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -22,6 +23,8 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Pairs of parts. Three differing bits leave at most one of them in each part of some pair.
 SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 2))
+#: Rows under one key from which on its pairs aren't formed one by one.
+LARGE_KEY = 256
 _SLICE = 1 << 16
 
 
@@ -64,33 +67,80 @@ def _keys(fps: np.ndarray, left: bool) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(kept), np.concatenate(keys)
 
 
-def _keyed(distinct: DataFrame, left: bool) -> DataFrame:
-    names = ("l_fp", "l_key") if left else ("r_fp", "r_key")
-
+def _keyed(distinct: DataFrame) -> DataFrame:
+    """(fp, key, is_left): all left and right rows of distinct fingerprints."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 fps = np.asarray(batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False), dtype=np.int64)
-                kept, keys = _keys(fps, left)
-                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(keys)], names=list(names))
+                for left in (True, False):
+                    kept, keys = _keys(fps, left)
+                    yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(keys), pa.array(np.full(len(kept), left))],
+                                                     names=["fp", "key", "is_left"])
+
+    return distinct.select("fp").mapInArrow(run, "fp long, key long, is_left boolean")
+
+
+def _near(a: str, b: str, max_bits: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
+
 
-    return distinct.select("fp").mapInArrow(run, f"{names[0]} long, {names[1]} long")
+def _met(rows: DataFrame, max_bits: int) -> DataFrame:
+    """(lo, hi): left and right rows (fp, key, is_left, root) of a key within the distance, under different roots.
+
+    Only these come out of the join. Each link could be found from both of its ends, so half of the pairs are enough.
+    """
+    left = rows.where("is_left").select(F.col("fp").alias("lo"), F.col("key").alias("l_key"), F.col("root").alias("l_root"))
+    right = rows.where("NOT is_left").select(F.col("fp").alias("hi"), F.col("key").alias("r_key"), F.col("root").alias("r_root"))
+    return left.join(right, (F.col("l_key") == F.col("r_key")) & (F.col("lo") < F.col("hi"))
+                     & (F.col("l_root") != F.col("r_root")) & _near("lo", "hi", max_bits)).select("lo", "hi")
+
+
+def _met_apart(rows: DataFrame, max_bits: int) -> DataFrame:
+    """(lo, hi): the same for rows that have the root of their key's pivot too. A pair under different roots has a row
+    under another root than the pivot's, so only those meet the other rows of their key."""
+    apart = rows.where(F.col("root") != F.col("pivot_root")).select(
+        F.col("fp").alias("a_fp"), F.col("key").alias("a_key"), F.col("is_left").alias("a_left"), F.col("root").alias("a_root"))
+    across = apart.join(rows, (F.col("a_key") == F.col("key")) & (F.col("a_left") != F.col("is_left"))
+                        & (F.col("a_root") != F.col("root")) & _near("a_fp", "fp", max_bits))
+    return across.select(F.least("a_fp", "fp").alias("lo"), F.greatest("a_fp", "fp").alias("hi"))
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(lo, hi) for all pairs of distinct fingerprints (column fp) at `max_bits` or fewer differing bits, 3 at most.
+    """(lo, hi): verified links of distinct fingerprints (column fp) that connect all that `max_bits` or fewer differing
+    bits connect, 3 at most.
 
     At most 3 differing bits leave a pair of parts with at most one in each (pigeonhole). There the nearest codeword of
     x in the first part is near y, and the nearest one of y in the second is near x, so a left row of x meets a right
-    row of y. Keys are 24 bits of codeword indices; the bit distance is part of the join condition, so the join returns
-    verified pairs only. A frequent key is split over tasks by the adaptive skew join.
+    row of y under a key of 24 bits.
+
+    Keys with LARGE_KEY rows or more belong to large groups of near copies, of which not all pairs are formed: first
+    each of their rows is compared with four fingerprints of its key, and what this connects gets one root. After
+    that only pairs under different roots can come out, of large keys and of all others. None is lost.
     """
     if max_bits > MAX_BITS:
         raise ValueError("the parts guarantee three bits at most")
-    left, right = _keyed(distinct, True), _keyed(distinct, False)
-    near = F.bit_count(F.col("l_fp").bitwiseXOR(F.col("r_fp"))) <= max_bits
-    met = left.join(right, (F.col("l_key") == F.col("r_key")) & (F.col("l_fp") < F.col("r_fp")) & near)
-    return met.select(F.col("l_fp").alias("lo"), F.col("r_fp").alias("hi")).distinct()
+    rows = _keyed(distinct)
+    spread = F.xxhash64("fp")
+    large = lasting(rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.min("fp").alias("pivot"), F.max("fp").alias("pivot_1"),
+        F.min_by("fp", spread).alias("pivot_2"), F.max_by("fp", spread).alias("pivot_3")).where(F.col("n") >= LARGE_KEY).drop("n"))
+    if large.isEmpty():
+        return _met(rows.withColumn("root", F.col("fp")), max_bits).distinct()
+    grouped = lasting(rows.join(large, "key"))
+    stars = reduce(DataFrame.unionByName, [
+        grouped.where((F.col("fp") != F.col(p)) & _near("fp", p, max_bits)).select(
+            F.least("fp", p).alias("lo"), F.greatest("fp", p).alias("hi")).distinct()
+        for p in ("pivot", "pivot_1", "pivot_2", "pivot_3")])
+    known = lasting(components(stars))
+    own = known.select(F.col("node").alias("fp"), F.col("root").alias("own"))
+    of_pivot = known.select(F.col("node").alias("pivot"), F.col("root").alias("of_pivot"))
+    root = F.coalesce("own", "fp").alias("root")
+    grouped = lasting(grouped.join(own, "fp", "left").join(of_pivot, "pivot", "left").select(
+        "fp", "key", "is_left", root, F.coalesce("of_pivot", "pivot").alias("pivot_root")))
+    others = rows.join(large.select("key"), "key", "left_anti").join(own, "fp", "left").select("fp", "key", "is_left", root)
+    joined = known.where(F.col("node") != F.col("root")).select(F.col("root").alias("lo"), F.col("node").alias("hi"))
+    return _met(others, max_bits).unionByName(_met_apart(grouped, max_bits)).unionByName(joined).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -125,8 +175,6 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     kept = docs.join(drop, docs[id_column] == drop["m_id"], "left_anti")
     if repeated.isEmpty():
         return kept
-    from pyspark.sql import Window
-    from tallybank.llm.common import free_name
     once = kept.join(repeated, kept[id_column] == repeated["r_id"], "left_anti")
     rank = free_name(docs.columns, "rank")
     order = Window.partitionBy(id_column).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
