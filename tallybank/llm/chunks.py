@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybank.llm.common import BATCH_ROWS, arrow_schema, free_name
+from tallybank.llm.common import BATCH_ROWS, arrow_schema, flat_map_texts, free_name
 
 #: Bytes that decide about a boundary: only these, so an insertion moves no boundary behind them.
 WINDOW = 16
@@ -147,11 +147,56 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
         F.col("owner").alias(id_column), "start", "end", "first_id", (F.col("first_id") == F.col("owner")).alias("is_first"))
 
 
-def _cut(text: str | None, spans: list | None) -> str | None:
+def repeats_in(text: str | None, least_chars: int = PASSAGE_CHARS) -> tuple[list[tuple[int, int, bool]], list[tuple[int, int]]]:
+    """((start, end, is_first) of the passages that repeat within the text, (start, end) of their chunks at later places).
+
+    A passage is a run of neighbouring chunks, each at another place of the text too; is_first tells that none of them
+    is at a place before the run.
+    """
+    starts, ends, halves = chunks_of(text)
+    if len(np.unique(halves[:, 0])) == len(starts):
+        return [], []
+    _, first, kind, count = np.unique(halves, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    kind = kind.reshape(-1)
+    first = first[kind]
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], count[kind] > 1, [0]))))
+    passages, later = [], []
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        if ends[b - 1] - starts[a] >= least_chars:
+            passages.append((int(starts[a]), int(ends[b - 1]), bool((first[a:b] >= a).all())))
+            later += [(int(starts[i]), int(ends[i])) for i in range(a, b) if first[i] < i]
+    return passages, later
+
+
+def passages_within(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                    least_chars: int = PASSAGE_CHARS) -> DataFrame:
+    """(id, start, end, first_id, is_first): passages that repeat within one text, one row for each place of each.
+
+    first_id is the id itself; is_first tells that no chunk of the passage comes before it in the text. Rows without an
+    id are left out, and equal rows come once. One pass; only the rows found are shuffled.
+    """
+    made = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+                         T.StructField("is_first", T.BooleanType())])
+    rows = docs.where(docs[id_column].isNotNull()).select(
+        docs[id_column].alias("__id"), docs[text_column].cast("string").alias("__own"))
+    found = flat_map_texts(rows, ["__id"], "__own", made, lambda: lambda texts: (repeats_in(t, least_chars)[0] for t in texts))
+    return found.distinct().select(F.col("__id").alias(id_column), "start", "end", F.col("__id").alias("first_id"), "is_first")
+
+
+def all_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                 least_chars: int = PASSAGE_CHARS) -> DataFrame:
+    """(id, start, end, first_id, is_first, scope): passages that repeat across documents and, in rows of their own,
+    passages that repeat within one. A passage that does both has rows of both scopes."""
+    across = repeated_passages(docs, id_column, text_column, least_chars).withColumn("scope", F.lit("across"))
+    within = passages_within(docs, id_column, text_column, least_chars).withColumn("scope", F.lit("within"))
+    return across.unionByName(within)
+
+
+def _cut(text: str | None, spans: list) -> str | None:
     if not spans or text is None:
         return text
     out, at = [], 0
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
+    for start, end in sorted(spans):
         if start > at:
             out.append(text[at:start])
         at = max(at, end)
@@ -160,7 +205,10 @@ def _cut(text: str | None, spans: list | None) -> str | None:
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                     least_chars: int = PASSAGE_CHARS) -> DataFrame:
-    """All rows of `docs` with repeated passages cut from their texts, except where an id has the first copy of a chunk."""
+    """All rows of `docs` with repeated passages cut from their texts, except where an id has the first copy of a chunk.
+
+    Of a passage that repeats within a text the first place of each chunk stays. Rows without an id stay as they are.
+    """
     runs = _in_runs(repeated_chunks(docs, id_column, text_column))
     whole = Window.partitionBy("owner", "run")
     long = runs.withColumn("chars", F.max("end").over(whole) - F.min("start").over(whole))
@@ -169,14 +217,19 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
            .groupBy(F.col("owner").alias(owner)).agg(F.collect_set(F.struct("start", "end")).alias(spans)))
     joined = docs.join(cut, docs[id_column] == cut[owner], "left").drop(owner)
     names = docs.columns
-    place = names.index(text_column)
+    place, by = names.index(text_column), names.index(id_column)
+
+    def shortened(owner, text: str | None, across: list | None) -> str | None:
+        if owner is None or not text:
+            return text
+        return _cut(text, [(s["start"], s["end"]) for s in across or ()] + repeats_in(text, least_chars)[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns)
             found = columns.pop().to_pylist()
-            columns[place] = pa.array([_cut(t, s) for t, s in zip(columns[place].to_pylist(), found, strict=True)],
-                                      type=columns[place].type)
+            rows = zip(columns[by].to_pylist(), columns[place].to_pylist(), found, strict=True)
+            columns[place] = pa.array([shortened(*r) for r in rows], type=columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema)

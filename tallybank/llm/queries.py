@@ -49,6 +49,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query("op6_substring_dedup_scopes")
+def op6_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that repeats across documents or within one, at each of its places, marked by scope."""
+    return chunks.all_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and what they decode to, as digests."""

@@ -225,6 +225,47 @@ def test_passages_of_odd_rows(odd_docs, no_docs):
     assert chunks.repeated_passages(no_docs).count() == chunks.without_repeats(no_docs).count() == 0
 
 
+def test_passages_within_documents(spark, small, texts):
+    rng = random.Random(9)
+    words = [w for t in list(texts.values())[:60] for w in t.split()]
+
+    def some(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+    passage, gaps = some(60), [some(30) for _ in range(4)]
+    rows = [(1, gaps[0] + "\n" + passage + "\n" + gaps[1] + "\n" + passage + "\n" + gaps[2] + "\n" + passage), (2, gaps[3]),
+            (2, gaps[3]), (None, (some(40) + "\n") * 3), (3, None), (4, "")]
+    rows += rows[:1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS owner", "1 AS start")
+    got = sorted(tuple(r) for r in chunks.all_passages(docs).collect())
+    assert [(r[0], *r[3:]) for r in got] == [(1, 1, True, "within"), (1, 1, False, "within"), (1, 1, False, "within")]
+    text = rows[0][1]
+    at = [m.start() for m in re.finditer(re.escape(passage), text)]
+    assert len(at) == 3 and all(abs(r[1] - a) < 130 and r[2] - r[1] > len(passage) - 200 for r, a in zip(got, at))
+    out = chunks.without_repeats(docs).collect()
+    assert [r["text"] for r in out if r["doc_id"] != 1].count(gaps[3]) == 2
+    cut = [r["text"] for r in out if r["doc_id"] == 1]
+    assert cut == [text[:got[1][1]] + text[got[1][2]:got[2][1]] + text[got[2][2]:]] * 2
+    assert [r["text"] for r in out if r["doc_id"] is None] == [rows[3][1]]
+
+
+def test_passages_of_both_scopes_as_by_brute_force(spark, small, texts):
+    got = [tuple(r) for r in QUERIES["op6_substring_dedup_scopes"](spark, small).collect()]
+    assert {r[:5] for r in got if r[5] == "across"} == {tuple(r) for r in QUERIES["op6_substring_dedup"](spark, small).collect()}
+    want = set()
+    for doc, text in texts.items():
+        spans, start = [], 0
+        for end in chunks.boundaries(text.encode()).tolist() if text else []:
+            spans.append((start, end))
+            start = end
+        held = [text.encode()[a:b] for a, b in spans]
+        for again, run in itertools.groupby(range(len(held)), lambda i: held.count(held[i]) > 1):
+            run = list(run)
+            a, b = (len(text.encode()[:p].decode()) for p in (spans[run[0]][0], spans[run[-1]][1]))
+            if again and b - a >= chunks.PASSAGE_CHARS:
+                want.add((doc, a, b, doc, not set(held[:run[0]]) & {held[i] for i in run}, "within"))
+    assert {r for r in got if r[5] == "within"} == want and want and len(set(got)) == len(got)
+
+
 # --- urls --------------------------------------------------------------------------------------
 
 def test_urls_as_by_brute_force(spark, small):
