@@ -45,7 +45,7 @@ def _table(characters: str) -> np.ndarray:
     return out
 
 
-_IN_HEX, _IN_TOKEN = _table(_DIGIT + "abcdef"), _table(_UPPER + _LOWER + _DIGIT + "+/-_=")
+_IN_HEX, _IN_TOKEN = _table(_DIGIT + "abcdef"), _table(_UPPER + _LOWER + _DIGIT + "+/-_")
 _KIND_OF = np.full(256, 3, dtype=np.int64)
 _NATURAL = np.zeros(256)                          # chance of a character among those of its kind, in structured tokens
 for _k, _chars in enumerate((_LOWER, _UPPER, _DIGIT)):
@@ -63,6 +63,21 @@ def _runs(inside: np.ndarray, least: int) -> list[tuple[int, int]]:
     return list(zip(starts[long].tolist(), ends[long].tolist(), strict=True))
 
 
+def token_runs(codes: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Maximal runs of token characters of at least that length, each with the '=' behind it if these end it as padding.
+
+    A '=' between token characters parts them, as in NAME=value.
+    """
+    inside, size = _IN_TOKEN[codes], len(codes)
+    out = []
+    for start, end in _runs(inside, least):
+        padded = end
+        while padded < size and codes[padded] == ord("="):
+            padded += 1
+        out.append((start, end if padded < size and inside[padded] else padded))
+    return out
+
+
 def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -155,7 +170,7 @@ def secrets_of(text: str | None) -> list[tuple[int, int, int]]:
     if b"AKIA" in raw:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LEAST]
     codes = np.frombuffer(raw, dtype=np.uint8)
-    in_hex, tokens = _runs(_IN_HEX[codes], HEX_LEAST), _runs(_IN_TOKEN[codes], TOKEN_LEAST)
+    in_hex, tokens = _runs(_IN_HEX[codes], HEX_LEAST), token_runs(codes, TOKEN_LEAST)
     if in_hex or tokens:
         place = None if len(raw) == len(text) else np.concatenate(([0], np.cumsum((codes & 0xC0) != 0x80)))
         point = (lambda i: i) if place is None else (lambda i: int(place[i]))
@@ -184,7 +199,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """(id, counts by kind, base_spans, spans), one row for each row of `docs`; spans as kind:start:end, comma-joined.
 
     Base spans are the leftmost non-overlapping matches of each pattern, without those below its least length. A span
-    of kind `random` is a run of token characters that overlaps no base span, passes the tests for its inferred
+    of kind `random` is a run of token characters, with '=' only as padding at its end, that overlaps no base span, passes the tests for its inferred
     encoding and survives the control of false discoveries. Null and empty texts have no spans.
     """
     return map_texts(docs, [id_column], text_column, FOUND, lambda: lambda texts: map(_row, texts))

@@ -81,6 +81,17 @@ def test_random_tokens_are_found_and_plain_ones_left():
         assert secret_scan.secrets_of(f"see {plain} here") == []
 
 
+@pytest.mark.parametrize("frame", ["AccountKey={}", "export AUTH={}", "https://a.example/b?x=1&sig={}&y=2", "a==b={}", "={}",
+                                   "access_key={};", "é AUTH={}"])
+def test_random_values_behind_equals_signs(frame):
+    for token in ("kq7Zx02LmWvB9dRt4YhUpE3s", "Qm7+xZ/03LbvT9dRk4YhUpE3sWq=", "Qm7+xZ/03LbvT9dRk4YhUpE3s6==", "4F9A02C7E8B1D35066A9FF21C03B7D84"):
+        text = frame.format(token)
+        start = text.index(token)
+        assert (start, 3, start + len(token)) in secret_scan.secrets_of(text)
+        assert secret_scan.redact(text) == frame.format("[REDACTED]")
+    assert secret_scan.secrets_of(frame.format("internationalisierungsprozesse")) == []
+
+
 def test_more_tokens_need_stronger_evidence():
     token, plain = b"kq7Zx02LmWvB9dRt4YhU", b"thisisaplainlongname"
     raw = token + b" " + b" ".join([plain] * 2000)
