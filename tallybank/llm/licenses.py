@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybank.llm import license_texts
+
 # Spellings that count as the same, after case and punctuation have gone.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("non infringement", "noninfringement"),
@@ -65,14 +67,46 @@ _ZLIB = ("This software is provided 'as-is', without any express or implied warr
          "but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being "
          "the original software. 3. This notice may not be removed or altered from any source distribution.")
 
+# Titles that short licenses carry above their text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "MIT"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "2-Clause BSD License",
+                     "BSD 2-Clause \"Simplified\" License", "Simplified BSD License", "BSD License", "The BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "3-Clause BSD License",
+                     "BSD 3-Clause \"New\" or \"Revised\" License", "New BSD License", "Modified BSD License", "BSD License",
+                     "The BSD License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC License (ISCL)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "Zero Clause BSD License",
+             "BSD Zero Clause License (0BSD)", "0BSD License", "0BSD"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License")}
+_APPENDIX = "END OF TERMS AND CONDITIONS"
+
+
+def _forms(name: str, text: str) -> list[tuple[str, str]]:
+    """A short license with and without its titles, and with marks in the place of the numbers of its clauses."""
+    bare = text
+    for number in ("1. ", "2. ", "3. "):
+        bare = bare.replace(number, "")
+    return [(name, f"{title} {form}".strip()) for form in dict.fromkeys((text, bare)) for title in ("", *TITLES[name])]
+
+
+def _published(name: str, text: str) -> list[tuple[str, str]]:
+    """A long license as published, without the line that ends its terms and what follows, and with that line only."""
+    terms = text.split(_APPENDIX)[0]
+    return [(name, form) for form in dict.fromkeys((text, terms, terms + _APPENDIX if _APPENDIX in text else text))]
+
+
 # Texts of known licenses and usual notices, by license identifier.
 KNOWN = (
-    ("MIT", _MIT), ("MIT", "MIT License " + _MIT), ("MIT", "The MIT License (MIT) " + _MIT),
-    ("BSD-2-Clause", _BSD + _BSD_END), ("BSD-2-Clause", "BSD 2-Clause License " + _BSD + _BSD_END),
-    ("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
-     "or promote products derived from this software without specific prior written permission. " + _BSD_END),
-    ("ISC", _ISC + ", provided that the above copyright notice and this permission notice appear in all copies. " + _ISC_END),
-    ("0BSD", _ISC + ". " + _ISC_END), ("Zlib", _ZLIB), ("Zlib", "zlib License " + _ZLIB), ("Apache-2.0", _APACHE),
+    *_forms("MIT", _MIT), *_forms("BSD-2-Clause", _BSD + _BSD_END),
+    *_forms("BSD-3-Clause", _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+            "endorse or promote products derived from this software without specific prior written permission. " + _BSD_END),
+    *_forms("ISC", _ISC + ", provided that the above copyright notice and this permission notice appear in all copies. " + _ISC_END),
+    *_forms("0BSD", _ISC + ". " + _ISC_END), *_forms("Zlib", _ZLIB),
+    *_published("Apache-2.0", license_texts.APACHE_2_0), *_published("GPL-2.0", license_texts.GPL_2_0),
+    *_published("GPL-3.0", license_texts.GPL_3_0), *_published("LGPL-2.1", license_texts.LGPL_2_1),
+    *_published("LGPL-3.0", license_texts.LGPL_3_0), *_published("MPL-2.0", license_texts.MPL_2_0),
+    *_published("CC0-1.0", license_texts.CC0_1_0), *_published("Unlicense", license_texts.UNLICENSE), ("Apache-2.0", _APACHE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),

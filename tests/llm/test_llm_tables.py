@@ -13,7 +13,7 @@ import pytest
 
 import brute
 import corpus_pipeline
-from tallybank.llm import chunks, decontaminate, langid, licenses, quality, queries, repetition, secret_scan, urls
+from tallybank.llm import chunks, decontaminate, langid, license_texts, licenses, quality, queries, repetition, secret_scan, urls
 from tallybank.llm.registry import QUERIES, SQL
 from tools.check_sql import rows_of
 
@@ -52,6 +52,28 @@ def test_license_scan_of_odd_rows(odd_docs, no_docs):
     assert {r["license"] for r in licenses.scan(odd_docs, known=()).collect()} == {None}
 
 
+def test_licenses_with_titles_and_whole_texts(spark):
+    bsd2, isc, zero = (next(t for n, t in licenses.KNOWN if n == name) for name in ("BSD-2-Clause", "ISC", "0BSD"))
+    bsd3 = next(t for n, t in licenses.KNOWN if n == "BSD-3-Clause")
+    texts = license_texts
+    head = "{}\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n{}\n"
+    rows = [("BSD-3-Clause", head.format("BSD 3-Clause License", bsd3)), ("ISC", head.format("ISC License", isc)),
+            ("BSD-3-Clause", head.format("New BSD License", re.sub(r"(?<= )\d\. ", "\n* ", bsd3))),
+            ("0BSD", head.format("BSD Zero Clause License", zero)), ("BSD-2-Clause", head.format("", bsd2)),
+            ("Apache-2.0", texts.APACHE_2_0.replace("[yyyy] [name of copyright owner]", "2020 Some One")),
+            ("Apache-2.0", texts.APACHE_2_0.split("   APPENDIX")[0]), ("GPL-2.0", texts.GPL_2_0), ("GPL-3.0", texts.GPL_3_0.upper()),
+            ("GPL-3.0", texts.GPL_3_0.split("END OF TERMS")[0]), ("LGPL-2.1", texts.LGPL_2_1), ("LGPL-3.0", texts.LGPL_3_0),
+            ("MPL-2.0", "\r\n".join(texts.MPL_2_0.split("\n"))), ("CC0-1.0", texts.CC0_1_0), ("Unlicense", texts.UNLICENSE),
+            (None, "Some title\n" + isc), (None, texts.MPL_2_0 + "More."), (None, "ISC License"), (None, "MIT")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id int, text string")
+    got = {r["doc_id"]: tuple(r) for r in licenses.scan(docs).collect()}
+    assert [got[i][2] for i in range(len(rows))] == [n for n, _ in rows]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id int, text string)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (_, t) in enumerate(rows)])
+    assert {r[0]: r for r in db.execute(licenses.scan_sql()).fetchall()} == got
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 def test_quality_of_held_out_rows(spark, small):
