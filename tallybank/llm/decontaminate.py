@@ -73,9 +73,9 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return both / (a.total() + b.total() - both)
 
 
-def least_shared(n: int, similarity: float) -> int:
-    """Shingles that two texts of n shingles share at least at that similarity."""
-    return math.ceil(2 * n * similarity / (1 + similarity) - 1e-9)
+def least_shared(n: int, similarity: float, other: int | None = None) -> int:
+    """Shingles that two texts of n shingles, or of n and another number, share at least at that similarity."""
+    return math.ceil((n + (n if other is None else other)) * similarity / (1 + similarity) - 1e-9)
 
 
 class Index:
@@ -130,9 +130,15 @@ class Index:
         bits = [(i, int(self.prints[i] ^ np.uint64(fingerprint)).bit_count()) for i in sorted(met)]
         return [(i, d) for i, d in bits if d <= RADIUS]
 
+    def _needs_of_short(self, n: int) -> np.ndarray:
+        """What a text of n shingles shares at least with each item of more words."""
+        sizes = self.sizes - SHINGLE_WORDS + 1
+        least = np.ceil((sizes + n) * self.similarity / (1 + self.similarity) - 1e-9).astype(np.int64)
+        return np.where(sizes > n, least, self.needs)
+
     def search(self, text: str | None) -> list[tuple]:
         """(item_id, start_word, n_words, distance, similarity): for each item found, its most similar window, the
-        first of equal ones.
+        first of equal ones. A text with fewer words than the item is one window.
 
         A window as similar as asked shares `least_shared` shingles with its item, so only windows with that many
         shingles of the benchmark get a fingerprint; no window that could pass is left out by this.
@@ -151,19 +157,20 @@ class Index:
         running[positions + 1] = 1
         running = np.cumsum(running)
         best: dict[int, tuple] = {}
-        for size in np.unique(self.sizes[shared >= self.needs]).tolist():
-            n = size - SHINGLE_WORDS + 1
-            if len(words) < size:
-                continue
-            starts = np.flatnonzero(running[n:] - running[:-n] >= least_shared(n, self.similarity))
-            for start, fingerprint in zip(starts.tolist(), window_fingerprints(hashes, starts, size).tolist(),
+        whole = len(words) - SHINGLE_WORDS + 1
+        for size in np.unique(self.sizes[shared >= np.minimum(self.needs, self._needs_of_short(whole))]).tolist():
+            width = min(size, len(words))
+            n = width - SHINGLE_WORDS + 1
+            needed = least_shared(n, self.similarity, size - SHINGLE_WORDS + 1)
+            starts = np.flatnonzero(running[n:] - running[:-n] >= needed)
+            for start, fingerprint in zip(starts.tolist(), window_fingerprints(hashes, starts, width).tolist(),
                                           strict=True):
                 near = self.near(size, fingerprint)
-                held = shingle_counts(words[start:start + size]) if near else None
+                held = shingle_counts(words[start:start + width]) if near else None
                 for item, distance in near:
                     alike = weighted_similarity(held, self.counts[item])
                     if alike >= self.similarity and alike > best.get(item, (0.0,))[0]:
-                        best[item] = (alike, start, size, distance)
+                        best[item] = (alike, start, width, distance)
         return [(self.ids[i], start, size, distance, alike)
                 for i, (alike, start, size, distance) in sorted(best.items())]
 
@@ -200,7 +207,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
                  item_column: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(id, item_id, start_word, n_words, distance, similarity): every benchmark item found in every document.
 
-    A window with as many words as the item matches it if their fingerprints differ in at most RADIUS bits and the
+    A window with as many words as the item, or the whole of a text with fewer, matches it if their fingerprints differ in at most RADIUS bits and the
     weighted similarity of their five-word shingles is `similarity` or more. One row for each row of `docs` and item,
     with the most similar window. Items and texts of fewer than five words, and null ones, match nothing; repeated rows
     and equal items are reported each. The items travel to the documents in rounds of bounded size, so the documents

@@ -144,6 +144,31 @@ def test_changed_passages(texts):
     assert seen > 20
 
 
+def test_texts_shorter_than_the_item(spark, texts):
+    rng = random.Random(5)
+    words = [w for t in list(texts.values())[:40] for w in t.split()]
+    items = [(n, " ".join(rng.choice(words) for _ in range(size))) for n, size in enumerate((15, 30, 50, 59, 200, 6))]
+    index, seen = decontaminate.Index(items), 0
+    for n, text in items:
+        own = brute.plain_words(text)
+        for cut in range(1, 12):
+            for at in {0, len(own) - cut, len(own) // 2}:
+                short = own[:at] + own[at + cut:]
+                a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (own, short))
+                got = {r[0]: r for r in index.search(" ".join(short))}
+                if len(short) > 4 and len(a & b) / len(a | b) >= 0.8:
+                    assert got[n][1:3] == (0, len(short)) and got[n][4] >= 0.8
+                    seen += 1
+                else:
+                    assert n not in got
+    assert seen > 40
+    own = items[3][1].split()
+    docs = spark.createDataFrame([(1, " ".join(own[:-1])), (2, " ".join(own[:30]))], "doc_id int, text string")
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, benchmark).collect()] == [(1, 3)]
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, benchmark).collect()] == [2]
+
+
 def test_blocks_find_all_prints_in_the_radius():
     rng = random.Random(6)
     index = decontaminate.Index([(i, " ".join(f"a{rng.random()}" for _ in range(20))) for i in range(50)])
