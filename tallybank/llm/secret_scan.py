@@ -20,7 +20,10 @@ _NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 REDACTED = "[REDACTED]"
 
 #: Tokens shorter than this hold too little evidence for the tests.
-TOKEN_LEAST = 20
+TOKEN_LEAST = 12
+#: Shorter ones of one kind of character only aren't tested: all that speaks there is which letters are rare, and words of
+#: a language with other shares look random by that.
+ONE_KIND_LEAST = 20
 #: Tolerated share of false discoveries among the tokens taken from one text.
 FALSE_DISCOVERIES = 0.001
 #: A token whose combined test value is lower isn't taken for random.
@@ -53,6 +56,14 @@ for _k, _chars in enumerate((_LOWER, _UPPER, _DIGIT)):
     _KIND_OF[_codes] = _k
     _NATURAL[_codes] = 0.1 if _k == 2 else np.array(LETTER_SHARES) / sum(LETTER_SHARES)
 _NATURAL[list(b"+/-_")] = 0.25
+_LOG_NATURAL = np.log(np.where(_NATURAL > 0, _NATURAL, 1.0))
+_CLASSES = ("0189", "234567", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/", "-_")
+_CLASS_OF = np.zeros(256, dtype=np.uint8)
+for _k, _chars in enumerate(_CLASSES):
+    _CLASS_OF[list(_chars.encode())] = 1 << _k
+# Length of the first alphabet that holds all characters of a set of classes.
+_SIZE_OF = np.array([next(len(a) for _, a in ENCODINGS if all(set(c) <= set(a) for k, c in enumerate(_CLASSES) if held >> k & 1))
+                     for held in range(256)])
 
 
 def _runs(inside: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -125,6 +136,18 @@ def encoding_of(token: bytes) -> tuple[str, str] | None:
     return next(((n, a) for n, a in ENCODINGS if held <= set(a)), None)
 
 
+def chances(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each token, rising and without padding: a bound on the chance that a structured token looks as random as it."""
+    held = np.bitwise_or.reduceat(np.append(_CLASS_OF[codes], np.uint8(0)), np.column_stack((starts, ends)).ravel())[::2]
+    kinds = _KIND_OF[codes]
+    stay = np.concatenate(([0, 0], np.cumsum(kinds[1:] == kinds[:-1])))
+    logs = np.concatenate(([0.0], np.cumsum(_LOG_NATURAL[codes])))
+    lengths, stays = ends - starts, stay[ends] - stay[starts + 1]
+    natural = (math.log(STAY) * stays + math.log((1 - STAY) / 3) * (lengths - 1 - stays) - math.log(4)
+               + logs[ends] - logs[starts])
+    return np.exp(-np.clip(-lengths * np.log(_SIZE_OF[held]) - natural, 0.0, 700.0))
+
+
 def judge_token(token: bytes) -> tuple[float, float]:
     """(fit, chance): the combined value of the battery under a random token, and a bound on the chance that a
     structured token looks as random as this one. Longer tokens can reach smaller chances."""
@@ -139,23 +162,40 @@ def judge_token(token: bytes) -> tuple[float, float]:
     ranks = rank_of[codes]
     values = (uniformity(ranks, len(alphabet)), runs_test(ranks, len(alphabet)), serial_correlation(ranks))
     fisher = -2 * sum(math.log(max(v, 1e-300)) for v in values)
-    kinds = _KIND_OF[codes]
-    stays = int(np.count_nonzero(kinds[1:] == kinds[:-1]))
-    natural = (math.log(STAY) * stays + math.log((1 - STAY) / 3) * (len(codes) - 1 - stays) - math.log(4)
-               + float(np.log(_NATURAL[codes]).sum()))
-    ratio = -len(codes) * math.log(len(alphabet)) - natural
-    return _chi_tail(fisher, 6), math.exp(-min(max(ratio, 0.0), 700.0))
+    return _chi_tail(fisher, 6), float(chances(codes, np.array([0]), np.array([len(codes)]))[0])
+
+
+def _unpadded(raw: bytes, start: int, end: int) -> int:
+    return start + len(raw[start:end].rstrip(b"="))
+
+
+def _too_plain(raw: bytes, start: int, end: int) -> bool:
+    token = raw[start:_unpadded(raw, start, end)]
+    return len(token) < ONE_KIND_LEAST and (token.isdigit() or token.isalpha() and (token.islower() or token.isupper()))
 
 
 def random_tokens(raw: bytes, tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The tokens taken for random, under the step-up control of false discoveries over all tokens of the text."""
-    judged = [(chance, fit, span) for span in tokens for fit, chance in [judge_token(raw[span[0]:span[1]])]]
-    judged.sort()
-    last = 0
-    for k, (chance, _, _) in enumerate(judged, 1):
-        if chance <= FALSE_DISCOVERIES * k / len(judged):
-            last = k
-    return [span for _, fit, span in judged[:last] if fit >= FIT_LEAST]
+    """The tokens taken for random, under the step-up control of false discoveries over all tokens of the text. Only
+    those that the control leaves are put to the battery."""
+    tokens = [t for t in tokens if not _too_plain(raw, *t)]
+    if not tokens:
+        return []
+    starts = np.array([s for s, _ in tokens])
+    ends = np.array([_unpadded(raw, s, e) for s, e in tokens])
+    judged = chances(np.frombuffer(raw, dtype=np.uint8), starts, ends)
+    order = np.argsort(judged, kind="stable")
+    passed = np.flatnonzero(judged[order] <= FALSE_DISCOVERIES * np.arange(1, len(order) + 1) / len(order))
+    last = int(passed[-1]) + 1 if len(passed) else 0
+    return [tokens[i] for i in order[:last].tolist() if judge_token(raw[starts[i]:ends[i]])[0] >= FIT_LEAST]
+
+
+def _reaches_beyond(start: int, end: int, base: list[tuple[int, int]]) -> bool:
+    """Whether some place of the span is in none of the base spans, which are in order."""
+    for s, e in base:
+        if s > start:
+            break
+        start = max(start, e)
+    return start < end
 
 
 def secrets_of(text: str | None) -> list[tuple[int, int, int]]:
@@ -175,9 +215,9 @@ def secrets_of(text: str | None) -> list[tuple[int, int, int]]:
         place = None if len(raw) == len(text) else np.concatenate(([0], np.cumsum((codes & 0xC0) != 0x80)))
         point = (lambda i: i) if place is None else (lambda i: int(place[i]))
         spans += [(point(a), 2, point(b)) for a, b in in_hex]
-        base = [(s, e) for s, _, e in spans]
+        base = sorted((s, e) for s, _, e in spans)
         spans += [(point(a), 3, point(b)) for a, b in random_tokens(raw, tokens)
-                  if not any(s < point(b) and point(a) < e for s, e in base)]
+                  if _reaches_beyond(point(a), point(_unpadded(raw, a, b)), base)]
     return sorted(spans)
 
 
@@ -199,8 +239,8 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     """(id, counts by kind, base_spans, spans), one row for each row of `docs`; spans as kind:start:end, comma-joined.
 
     Base spans are the leftmost non-overlapping matches of each pattern, without those below its least length. A span
-    of kind `random` is a run of token characters, with '=' only as padding at its end, that overlaps no base span, passes the tests for its inferred
-    encoding and survives the control of false discoveries. Null and empty texts have no spans.
+    of kind `random` is a run of token characters, with '=' only as padding at its end, that reaches beyond the base
+    spans it overlaps, passes the tests for its inferred encoding and survives the control of false discoveries. Null and empty texts have no spans.
     """
     return map_texts(docs, [id_column], text_column, FOUND, lambda: lambda texts: map(_row, texts))
 

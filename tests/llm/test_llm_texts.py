@@ -92,6 +92,27 @@ def test_random_values_behind_equals_signs(frame):
     assert secret_scan.secrets_of(frame.format("internationalisierungsprozesse")) == []
 
 
+def test_short_random_tokens_and_tokens_around_hex():
+    rng = np.random.default_rng(6)
+    base62 = list(secret_scan.ENCODINGS[8][1])
+    for length in (14, 16, 19):
+        tokens = ["".join(rng.choice(base62, length)) for _ in range(50)]
+        assert sum((4, 3, 4 + length) in secret_scan.secrets_of(f"see {t} here") for t in tokens) >= 40
+    whole = 0
+    for _ in range(50):
+        parts = ["".join(rng.choice(base62, 40)) for _ in range(2)]
+        token = parts[0] + "Z" + "".join(rng.choice(list("0123456789abcdef"), 16)) + "Z" + parts[1]
+        spans = secret_scan.secrets_of(f"see {token} here")
+        assert (45, 2, 61) in spans
+        if (4, 3, 102) in spans:
+            assert secret_scan.redact(f"see {token} here") == "see [REDACTED] here"
+            whole += 1
+    assert whole >= 25
+    assert [k for _, k, _ in secret_scan.secrets_of("AUTH=0f23f5a7b9c4d6e81b==")] == [2]
+    for plain in ("Donaudampfschiff", "zuchlichzulich", "some-long-name", "README_FIRST", "getElementById", "2024-01-15T10:30", "0123456789012"):
+        assert secret_scan.secrets_of(f"see {plain} here") == []
+
+
 def test_more_tokens_need_stronger_evidence():
     token, plain = b"kq7Zx02LmWvB9dRt4YhU", b"thisisaplainlongname"
     raw = token + b" " + b" ".join([plain] * 2000)
