@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -20,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that executors and driver share: the one the session names, or one of its own in a session, as in
-    tests, that names none."""
+    """The folder that executors and driver share: the one the session names. A session on one machine, as in tests,
+    that names none gets one of its own; on a cluster that is refused."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = spark.conf.get(CHECKPOINT_DIR, None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
 
@@ -43,6 +47,16 @@ def lasting(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+#: Rows of a side table that are sent to every task at most; a larger one is joined by a shuffle.
+SENT_ROWS = 100_000
+
+
+def table_of_bounded_rows(frame: DataFrame) -> DataFrame:
+    """The frame, computed once, and marked to be sent to every task if it is counted to have few rows."""
+    frame = lasting(frame)
+    return F.broadcast(frame) if frame.count() <= SENT_ROWS else frame
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` as UTF-8; bytes.split() parts at exactly these six characters."""
     return text.encode().split() if text else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, quality, repetition, secret_scan, simhash, urls
+from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, merkle, quality, repetition, secret_scan, simhash, urls
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -86,3 +86,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.when(F.col("kind") == "page", F.col("id")).alias("page_id"),
                         F.when(F.col("kind") == "document", F.col("id")).alias("doc_id"),
                         "declared", "text_lang", "lang", "confidence")
+
+
+@query("op13_merkle_manifest", merkle.tamper_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a copy with some texts changed still verifies."""
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
