@@ -48,25 +48,21 @@ def _placed(frame: DataFrame, order: list[str]) -> DataFrame:
         "pos", F.col("at") + F.col("shift")).drop("at", "range", "shift")
 
 
-def _slots() -> list[Column]:
-    return [F.coalesce(F.col(f"c{i}"), F.lit("")) for i in range(FANOUT)]
-
-
 def _above(n: Column) -> Column:
     return F.ceil(n / F.lit(FANOUT))
 
 
 def _grow(leaves: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
-    """(nodes, runs) by level: nodes (grp, pos, n, digest, ...), and the pivoted children (grp, parent, n, c0, ...) of the
-    nodes one level up. A group ends at the level where it has one node."""
+    """(nodes, runs) by level: nodes (grp, pos, n, digest, ...), and (grp, parent, n, slots), the columns of children of the
+    nodes one level up, null where there is none. A group ends at the level where it has one node."""
     nodes, runs = [leaves], []
     most = leaves.agg(F.max("n")).first()[0] or 0
     while most > 1:
         parent = F.floor(F.col("pos") / FANOUT).alias("parent")
-        slot = F.col("pos") % FANOUT
-        runs.append(lasting(nodes[-1].where("n > 1").groupBy("grp", parent, _above(F.col("n")).alias("n")).agg(
-            *[F.max(F.when(slot == i, F.col("digest"))).alias(f"c{i}") for i in range(FANOUT)])))
-        nodes.append(runs[-1].select("grp", F.col("parent").alias("pos"), "n", digest(*_slots()).alias("digest")))
+        pivoted = nodes[-1].where("n > 1").groupBy("grp", parent, _above(F.col("n")).alias("n")).agg(
+            *[F.expr(f"max(CASE WHEN pos % {FANOUT} = {i} THEN digest END) AS c{i}") for i in range(FANOUT)])
+        runs.append(lasting(pivoted.select("grp", "parent", "n", F.array(*[f"c{i}" for i in range(FANOUT)]).alias("slots"))))
+        nodes.append(runs[-1].select("grp", F.col("parent").alias("pos"), "n", digest(F.array_join("slots", "")).alias("digest")))
         most = -(-most // FANOUT)
     return nodes, runs
 
@@ -80,12 +76,10 @@ def _paths(nodes: list[DataFrame], runs: list[DataFrame], tops: DataFrame) -> Da
     above = of_level(len(runs))
     for level in reversed(range(len(runs))):
         run = runs[level].drop("n").join(above.withColumnRenamed("up", "parent"), ["grp", "parent"])
-        slot = F.col("pos") % FANOUT
-        before = F.concat(*[F.when(slot > i, c).otherwise("") for i, c in enumerate(_slots())])
-        after = F.concat(*[F.when(slot < i, c).otherwise("") for i, c in enumerate(_slots())])
+        slot = (F.col("pos") % FANOUT).cast("int")
+        before, after = (F.array_join(F.slice("slots", at, length), "") for at, length in ((1, slot), (slot + 2, FANOUT - 1 - slot)))
         here = nodes[level].where("n > 1").withColumn("parent", F.floor(F.col("pos") / FANOUT)).join(run, ["grp", "parent"])
-        here = here.withColumn("path", F.concat(F.array(F.struct(before.alias("before"), after.alias("after"))), "path")).drop(
-            "parent", *[f"c{i}" for i in range(FANOUT)])
+        here = here.withColumn("path", F.concat(F.array(F.struct(before.alias("before"), after.alias("after"))), "path")).drop("parent", "slots")
         if level:
             above = here.select(F.col("pos").alias("up"), *tops.columns).unionByName(of_level(level))
         else:
@@ -129,7 +123,7 @@ def manifest(docs: DataFrame, id_column: str = "doc_id", group_column: str = "so
     nothing = F.array().cast("array<struct<before:string,after:string>>")
     whole = docs.sparkSession.range(1).select(F.lit("").alias("grp"), nothing.alias("path"))
     top_paths = _paths(top_nodes, top_runs, whole).select(F.col("name").alias("grp"), F.col("digest").alias("subroot"), "path")
-    return _paths(nodes, runs, top_paths).select(
+    return _paths(nodes, runs, lasting(top_paths)).select(
         F.col("id").alias(id_column), F.col("digest").alias("leaf"), "subroot",
         F.lit(root["digest"] if root else None).cast("string").alias("root"), "path", "changed_leaf")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, merkle, quality, repetition, secret_scan, simhash, urls
+from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, merkle, quality, repetition, secret_scan, simhash, urls, whitening
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -88,6 +88,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "declared", "text_lang", "lang", "confidence")
 
 
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding along the leading components of all of them."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_merkle_manifest", merkle.tamper_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether a copy with some texts changed still verifies."""
