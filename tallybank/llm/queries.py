@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybank.llm import bpe, chunks, decontaminate, langid, licenses, merkle, quality, repetition, secret_scan, simhash, urls, whitening
+from tallybank.llm import (bpe, chunks, decontaminate, langid, licenses, merkle, ngram_join, quality, repetition, secret_scan,
+                           simhash, urls, whitening)
 from tallybank.llm.common import table
 from tallybank.llm.registry import query
 
@@ -94,6 +95,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_ngram_jaccard_join")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of five-word shingles, and its component of similar documents."""
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op13_merkle_manifest", merkle.tamper_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether a copy with some texts changed still verifies."""
