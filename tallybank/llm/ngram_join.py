@@ -7,6 +7,7 @@ the members of pairs of groups that can reach the similarity are verified on the
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallybank.llm.common import arrow_schema, lasting, lower_words_of, table_of_bounded_rows
+from tallybank.llm.common import ASCII_LOWER, arrow_schema, lasting, table_of_bounded_rows
 from tallybank.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -27,9 +28,12 @@ PERCENT = 80
 BUCKET_GRAMS = BLOCK_GRAMS = 1 << 21
 LEAST_BUCKETS = 256
 _BLOCK_DOCS = 60_000
-_MULTIPLIER, _MIX_1, _MIX_2 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+_MULTIPLIER, _BYTE_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
+_MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _ROWS = 2048
-_WORDS_HELD = 1 << 20
+#: Bytes of text that are hashed at once, if a single text isn't longer.
+_BYTES = 1 << 20
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -38,25 +42,64 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingler(width: int = SHINGLE_WORDS):
-    """Function from a text to the 64-bit hashes of its distinct n-grams, ascending. A text of fewer words is one n-gram."""
-    known: dict[bytes, int] = {}
-
-    def shingles(text: str | None) -> np.ndarray:
-        words = lower_words_of(text)
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        if len(known) > _WORDS_HELD:
-            known.clear()
-        size = min(width, len(words))
-        if not size:
-            return h
-        made = np.full(len(h) - size + 1, size, dtype=np.uint64)
-        for i in range(size):
-            made = made * _MULTIPLIER + h[i:len(h) - size + 1 + i]
-        return np.unique(_mixed(made))
-    return shingles
+@functools.cache
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the byte multiplier, and of its inverse modulo 2^64."""
+    inverse = np.uint64(pow(int(_BYTE_MULTIPLIER), -1, 1 << 64))
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(length, k))]) for k in (_BYTE_MULTIPLIER, inverse))
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, 64-bit hashes) of the words of bytes that end in a space: polynomials in the bytes, from running sums."""
+    gap = _SPACES[data]
+    change = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    if not gap[0]:
+        change = np.concatenate([[0], change])
+    starts, ends = change[::2], change[1::2]
+    up, down = _powers(1 << max(20, (len(data) - 1).bit_length()))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)])])
+    return starts, _mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def _folded(words: np.ndarray, size: int) -> np.ndarray:
+    made = np.full(len(words) - size + 1, size, dtype=np.uint64)
+    for i in range(size):
+        made = made * _MULTIPLIER + words[i:len(words) - size + 1 + i]
+    return _mixed(made)
+
+
+def _sets_of(texts: list[bytes], width: int) -> list[np.ndarray]:
+    data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    starts, words = _word_hashes(data)
+    at = np.searchsorted(starts, begins)
+    last = np.repeat(at[1:], np.diff(at)) - width
+    made, sets = _folded(words, width) if len(words) >= width else np.empty(0, np.uint64), []
+    whole = np.flatnonzero(np.arange(len(made)) <= last[:len(made)])
+    made = made[whole]
+    edges = np.searchsorted(whole, at).tolist()
+    for low, high in zip(edges, edges[1:]):
+        made[low:high].sort()
+    fresh = np.ones(len(made), dtype=bool)
+    fresh[1:] = made[1:] != made[:-1]
+    fresh[[e for e in edges if e < len(made)]] = True
+    for place, (low, high) in enumerate(zip(edges, edges[1:])):
+        few = at[place + 1] - at[place]
+        sets.append(made[low:high][fresh[low:high]] if few >= width or not few else _folded(words[at[place]:at[place + 1]], few))
+    return sets
+
+
+def shingle_sets(texts: list[str | None], width: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+    """For each text the 64-bit hashes of its distinct n-grams, ascending. A text of fewer words is one n-gram."""
+    held, size = [], 0
+    for text in texts:
+        held.append((text or "").encode().translate(ASCII_LOWER))
+        size += len(held[-1]) + 1
+        if size >= _BYTES:
+            yield from _sets_of(held, width)
+            held, size = [], 0
+    if held:
+        yield from _sets_of(held, width)
 
 
 def prefix_length(n: int) -> int:
@@ -111,7 +154,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], kinds: pa.Schema, bits: int, widt
     An n-gram's first `bits` bits are its bucket and the next 32 its name there. Two n-grams under one name only look more
     frequent and bring a pair to verify. What several sets of a block hold goes to the bucket once, with their number.
     """
-    shingles, shift = shingler(width), np.uint64(32 - bits)
+    shift = np.uint64(32 - bits)
     number, first = 0, TaskContext.get().partitionId() << 32
     sets: dict[bytes, int] = {}
     held: list[np.ndarray] = []
@@ -147,12 +190,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], kinds: pa.Schema, bits: int, widt
     for whole in batches:
         for start in range(0, whole.num_rows, _ROWS):
             batch, rows = whole.slice(start, _ROWS), []
-            for text in batch.column(1).to_pylist():
+            for grams in shingle_sets(batch.column(1).to_pylist(), width):
                 if size >= BLOCK_GRAMS or len(held) >= _BLOCK_DOCS:
                     yield from deal()
                     number, size, held = number + 1, 0, []
                     sets.clear()
-                grams = shingles(text)
                 name = xxhash.xxh128_digest(grams.tobytes()) if len(grams) else None
                 if name is not None and name not in sets:
                     sets[name] = len(held)
@@ -257,10 +299,9 @@ def _whole_sets(docs: DataFrame, text_column: str, sets: DataFrame, width: int)
     kinds = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = shingler(width)
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
-                found = [shingles(t) for t in whole.column(0).slice(at, _ROWS).to_pylist()]
+                found = list(shingle_sets(whole.column(0).slice(at, _ROWS).to_pylist(), width))
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh128_digest(g.tobytes()) for g in found], kinds.field(0).type),
                                                   pa.array([g.view(np.int64) for g in found], kinds.field(1).type)], schema=kinds)
     return lasting(texts.mapInArrow(run, schema).groupBy("set").agg(F.first("grams").alias("grams")))
