@@ -155,11 +155,16 @@ def _blocks(batches: Iterator[pa.RecordBatch], kinds: pa.Schema, bits: int, widt
     frequent and bring a pair to verify. What several sets of a block hold goes to the bucket once, with their number.
     """
     shift = np.uint64(32 - bits)
-    number, first = 0, TaskContext.get().partitionId() << 32
+    number, part = 0, TaskContext.get().partitionId()
+    first = part << 32
     sets: dict[bytes, int] = {}
     held: list[np.ndarray] = []
     size = 0
 
+    def passing() -> int:
+        """Bucket whose task hands a block's other rows on."""
+        return (part * 7919 + number) % (1 << bits)
+
     def deal() -> Iterator[pa.RecordBatch]:
         names = np.concatenate(held) >> shift
         docs = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for h in held])
@@ -184,7 +189,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], kinds: pa.Schema, bits: int, widt
                      grams=cut(low, at, 4), docs=cut(docs, at, 2), many=cut(low_many, at_many, 4),
                      many_totals=cut(many_counts, at_many, 4))
         if len(twice[0]):
-            yield _batch(kinds, 1, key=pa.array([number % (1 << bits)]), block=pa.array([first + number]), kind=pa.array([_TWICE]),
+            yield _batch(kinds, 1, key=pa.array([passing()]), block=pa.array([first + number]), kind=pa.array([_TWICE]),
                          grams=pa.array([twice[0].tobytes()]), docs=pa.array([twice[1].tobytes()]))
 
     for whole in batches:
@@ -200,7 +205,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], kinds: pa.Schema, bits: int, widt
                     sets[name] = len(held)
                     held.append(grams)
                     size += len(grams)
-                rows.append((first + number, number % (1 << bits), len(grams), sets.get(name, -1), name))
+                rows.append((first + number, passing(), len(grams), sets.get(name, -1), name))
             block, key, n, doc, name = zip(*rows)
             yield _batch(kinds, len(rows), key=pa.array(key), block=pa.array(block), kind=pa.array([_DOC] * len(rows)), id=batch.column(0),
                          n=pa.array(n), doc=pa.array(doc), set=pa.array(name, pa.binary()), mark=batch.column(2))
