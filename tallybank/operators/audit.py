@@ -10,6 +10,7 @@ from tallybank.config import AuditConfig, catalog_rows
 from tallybank.functions.dates import parse_date
 from tallybank.functions.money import parse_money_br
 from tallybank.functions.text import normalize_text
+from tallybank.operators.names import mark_named
 from tallybank.operators.ranking import RepeatMark, mark_repeats, repeats_per_key
 from tallybank.operators.rules import (
     REPEATED, REVERSED, RULES, SAMPLED, TEXT_COLUMNS, TRIPLICATE, rule_mark)
@@ -23,6 +24,8 @@ TRIPLICATE_KEYS = ("HISTORICO", "MOVIMENTO", "DATA")
 # against a result account are packed into one whole number, so groups are ordered and reduced by fixed-width values.
 ORDER, ROW_HASH = "__order", "__row_hash"
 ORDER_HASH_BITS = 36
+# Tests that look for names, and whether accents are folded for them.
+NAME_TESTS = {"TESTE_1_8": lambda cfg: cfg.fold_names, "TESTE_7_9": lambda cfg: False}
 # Columns that are never exported.
 HELPER_COLUMNS = ("FLAG", "LINHA_SEQ", "LINHA_SEQ_TESTE4", "Semana_Resumida", "VALOR_REDONDO")
 
@@ -81,9 +84,15 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
     return marked.select(*frame.columns, REVERSED)
 
 
-def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Audit:
+def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False,
+              name_lists: dict[str, tuple[DataFrame, str]] | None = None) -> Audit:
     """Apply the active tests and set ``FLAG``. Columns exist only for tests that ran, and ranking,
-    sampling or joins are planned only for tests that need them."""
+    sampling or joins are planned only for tests that need them.
+
+    ``name_lists`` gives a test of names (1_8, 7_9) its names as a table and column instead of the list in ``cfg``; they
+    are looked up by an index, so the list may be of any length."""
+    if unknown := set(name_lists or {}) - set(NAME_TESTS):
+        raise ValueError(f"not tests of names: {sorted(unknown)}")
     source = frame if prepared else prepare_ledger(frame)
     tests, skipped = runnable_tests(source.columns, cfg)
     helpers = {RULES[t].helper for t in tests}
@@ -100,7 +109,11 @@ def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Aud
     if SAMPLED in helpers:
         cut = sample_cut(source, cfg.sample_size, cfg.sample_seed, source.columns)
         marked = mark_sample(marked, SAMPLED, cut, cfg.sample_seed, source.columns, [m.out for m in repeats])
-    marked = marked.select(*source.columns, *[rule_mark(t, cfg) for t in tests])
+    lists = {t: held for t, held in (name_lists or {}).items() if t in tests}
+    for test, (names, column) in lists.items():
+        marked = mark_named(marked, "HISTORICO", names, column, f"__named_{test}", NAME_TESTS[test](cfg))
+    marks = [F.when(F.col(f"__named_{t}"), F.lit("SIM")).alias(t) if t in lists else rule_mark(t, cfg) for t in tests]
+    marked = marked.select(*source.columns, *marks)
     if tests:
         no_hit = F.coalesce(*[F.col(t) for t in tests]).isNull()
         marked = marked.withColumn("FLAG", F.when(no_hit, F.lit(DROP)).otherwise(F.lit(KEEP)))

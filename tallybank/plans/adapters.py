@@ -130,6 +130,35 @@ FROM customer
 """
 
 
+def party_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text per order that tells its customer's name, in one of three spellings, and the order's priority."""
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    name, order = F.col("c_name"), F.col("o_orderkey")
+    told = F.when(order % 3 == 0, F.upper(name)).when(order % 3 == 1, F.replace(name, F.lit("o"), F.lit("ó"))).otherwise(name)
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.concat(F.lit("Pagto "), told, F.lit("/"), F.col("o_orderpriority")).alias("HISTORICO"))
+
+
+PARTY_SQL = """
+SELECT o_orderkey, concat('Pagto ', CASE o_orderkey % 3 WHEN 0 THEN upper(c_name) WHEN 1 THEN replace(c_name, 'o', 'ó') ELSE c_name END,
+  '/', o_orderpriority) AS HISTORICO
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+
+def watch_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A watch list from the customers: names of one segment with their accents, some cut to what other names hold too."""
+    key, name = F.col("c_custkey"), F.col("c_name")
+    return table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(
+        F.when(key % 20 == 0, F.substring(name, 1, 17)).when(key % 2 == 0, F.replace(name, F.lit("u"), F.lit("ú"))).otherwise(name).alias("name"))
+
+
+WATCH_SQL = """
+SELECT CASE WHEN c_custkey % 20 = 0 THEN substr(c_name, 1, 17) WHEN c_custkey % 2 = 0 THEN replace(c_name, 'u', 'ú') ELSE c_name END AS name
+FROM customer WHERE c_mktsegment = 'BUILDING'
+"""
+
+
 # --- question bank ---------------------------------------------------------------------------
 
 

@@ -15,9 +15,11 @@ from tallybank.functions.text import fold_ascii_upper, normalize_text, null_word
 from tallybank.operators import audit as A
 from tallybank.operators import silver as S
 from tallybank.operators.joins import first_seen
+from tallybank.operators.names import name_matches
 from tallybank.operators.sampling import audit_sample
 from tallybank.operators.schema import clean_names
-from tallybank.plans.adapters import BALANCE_SQL, LEDGER_SQL, balance, ledger, spread, table
+from tallybank.plans.adapters import (
+    BALANCE_SQL, LEDGER_SQL, PARTY_SQL, WATCH_SQL, balance, ledger, party_texts, spread, table, watch_list)
 from tallybank.plans.registry import query
 from tallybank.sources.ledger import (
     read_balance, read_calendar, read_ledger, read_silver, read_text_table, revalidate)
@@ -590,6 +592,37 @@ for _name, _test in SINGLE_TESTS.items():
     query(_name, f"{RANKED} {SQL_ROW_VIEW} ranked WHERE {SQL_RULES[_test]}")(_single(_test))
 
 
+@query("listed_names", f"""WITH texts AS (SELECT DISTINCT HISTORICO AS text FROM ({PARTY_SQL})), names AS (SELECT DISTINCT name FROM ({WATCH_SQL}))
+  SELECT text, name FROM texts JOIN names ON contains(lower(strip_accents(text)), lower(strip_accents(name)))""")
+def listed_names(spark, sf):
+    """Every name of a watch list made from the customers, in every text that tells a party."""
+    return name_matches(party_texts(spark, sf), "HISTORICO", watch_list(spark, sf))
+
+
+@query("listed_names_plain", f"""WITH texts AS (SELECT DISTINCT HISTORICO AS text FROM ({PARTY_SQL})), names AS (SELECT DISTINCT name FROM ({WATCH_SQL}))
+  SELECT text, name FROM texts JOIN names ON contains(lower(text), lower(name))""")
+def listed_names_plain(spark, sf):
+    """The same where accents count."""
+    return name_matches(party_texts(spark, sf), "HISTORICO", watch_list(spark, sf), fold=False)
+
+
+@query("audit_by_name_lists", f"""{PREPARED}, names AS (SELECT DISTINCT lower(split_part(p_name, ' ', 2)) AS name FROM part)
+  SELECT HISTORICO, count(*) AS n, CASE WHEN any_value(regexp_matches(HISTORICO, '(^|[^a-z])(' || short || ')([^a-z]|$)')
+      OR regexp_matches(HISTORICO, long)) THEN 'SIM' END AS listed,
+    CASE WHEN any_value(contains(HISTORICO, 'prado') OR contains(HISTORICO, 'odete brum')) THEN 'SIM' END AS exposed
+  FROM prepared, (SELECT string_agg(name, '|') FILTER (WHERE length(name) <= 5) AS short,
+    string_agg(name, '|') FILTER (WHERE length(name) > 5) AS long FROM names)
+  GROUP BY HISTORICO""")
+def audit_by_name_lists(spark, sf):
+    """Tests 1_8 and 7_9 with their names as tables: the second words of the parts, and the exposed names."""
+    words = table(spark, sf, "part").select(F.element_at(F.split("p_name", " "), 2).alias("word"))
+    exposed = table(spark, sf, "region").select(F.explode(F.array(*[F.lit(n) for n in EXPOSED_NAMES])).alias("name"))
+    cfg = FULL.replace(active=("TESTE_1_8", "TESTE_7_9"))
+    result = A.run_audit(prepared(spark, sf), cfg, prepared=True, name_lists={"TESTE_1_8": (words, "word"), "TESTE_7_9": (exposed, "name")})
+    return result.frame.groupBy("HISTORICO").agg(
+        F.count("*").alias("n"), F.max("TESTE_1_8").alias("listed"), F.max("TESTE_7_9").alias("exposed"))
+
+
 @query("listed_weekends", f"""{PREPARED} {SQL_ROW_VIEW} prepared
   WHERE (isodow(DATA) >= 6 AND year(DATA) = 1997)
     OR CAST(DATA AS VARCHAR) IN ('1996-12-25', '1997-05-01', '1998-09-07', '1997-01-15')""")
