@@ -11,7 +11,7 @@ from tallybank.functions.dates import parse_date
 from tallybank.functions.money import parse_money_br
 from tallybank.functions.text import normalize_text
 from tallybank.operators.names import mark_named
-from tallybank.operators.ranking import RepeatMark, mark_repeats, repeats_per_key
+from tallybank.operators.ranking import Recurring, RepeatMark, mark_repeats, repeats_per_key, split_recurring
 from tallybank.operators.rules import (
     REPEATED, REVERSED, RULES, SAMPLED, TEXT_COLUMNS, TRIPLICATE, rule_mark)
 from tallybank.operators.sampling import mark_sample, sample_cut
@@ -70,14 +70,22 @@ def against_result(cfg: AuditConfig) -> Column:
     return F.coalesce(F.col("CLASS_CTP").isin(*cfg.result_classes), F.lit(False))
 
 
-def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Mark rows of the following month whose account and amount were posted on the base day."""
-    base = F.lit(cfg.base_day).cast("date")
+def _posted(cfg: AuditConfig) -> Column:
+    """Rows of the base day with an account and an amount."""
+    return (F.col("DATA") == F.lit(cfg.base_day).cast("date")) & F.col("CONTA").isNotNull() & F.col("MOVIMENTO").isNotNull()
+
+
+def _follows(cfg: AuditConfig) -> Column:
     month_start = F.lit(cfg.follow_month + "-01").cast("date")
-    follows = F.coalesce((F.col("DATA") >= month_start) & (F.col("DATA") < F.add_months(month_start, 1)),
-                         F.lit(False))
+    return F.coalesce((F.col("DATA") >= month_start) & (F.col("DATA") < F.add_months(month_start, 1)), F.lit(False))
+
+
+def mark_reversals(frame: DataFrame, cfg: AuditConfig, ledger: DataFrame | None = None) -> DataFrame:
+    """Mark rows of the following month whose account and amount were posted on the base day. ``ledger`` holds the
+    postings of that day, if ``frame`` is only a part of it."""
+    follows = _follows(cfg)
     # Distinct keys need no other column, so lookups that the ledger went through drop out of this side.
-    posted = (frame.filter((F.col("DATA") == base) & F.col("CONTA").isNotNull() & F.col("MOVIMENTO").isNotNull())
+    posted = ((frame if ledger is None else ledger).filter(_posted(cfg))
               .select(F.col("CONTA").alias("__conta"), F.col("MOVIMENTO").alias("__movimento")).distinct())
     joined = frame.join(posted, (F.col("CONTA") == F.col("__conta")) & (F.col("MOVIMENTO") == F.col("__movimento")), "left")
     marked = joined.withColumn(REVERSED, follows & F.col("__conta").isNotNull())
@@ -85,27 +93,41 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False,
-              name_lists: dict[str, tuple[DataFrame, str]] | None = None) -> Audit:
+              name_lists: dict[str, tuple[DataFrame, str]] | None = None, narrow: bool = False) -> Audit:
     """Apply the active tests and set ``FLAG``. Columns exist only for tests that ran, and ranking,
     sampling or joins are planned only for tests that need them.
 
     ``name_lists`` gives a test of names (1_8, 7_9) its names as a table and column instead of the list in ``cfg``; they
-    are looked up by an index, so the list may be of any length."""
+    are looked up by an index, so the list may be of any length.
+
+    With ``narrow`` the tests of repeated and reversed rows move only rows that may be hit: a first pass finds the keys
+    that recur. It pays where the ledger is stored, as it is read once more for it, and repeats are few."""
     if unknown := set(name_lists or {}) - set(NAME_TESTS):
         raise ValueError(f"not tests of names: {sorted(unknown)}")
     source = frame if prepared else prepare_ledger(frame)
     tests, skipped = runnable_tests(source.columns, cfg)
     helpers = {RULES[t].helper for t in tests}
-    marked = source
-    if REVERSED in helpers:
-        marked = mark_reversals(marked, cfg)
-    repeats = []
+    marked, others = source, None
+    repeats, kinds = [], []
     if REPEATED in helpers:
         repeats.append(RepeatMark(REPEAT_KEYS, (ORDER, ROW_HASH), 2, REPEATED))
+        # Only rows against result accounts are marked, but the first of a group may be any row of it.
+        kinds.append(Recurring(REPEAT_KEYS, 2))
     if TRIPLICATE in helpers:
         repeats.append(RepeatMark(TRIPLICATE_KEYS, (ORDER, ROW_HASH), 3, TRIPLICATE))
+        kinds.append(Recurring(TRIPLICATE_KEYS, 3))
+    if REVERSED in helpers:
+        kinds.append(Recurring(REPEAT_KEYS, 1, among=_posted(cfg), where=_follows(cfg)))
+    if narrow and kinds:
+        marked, others = split_recurring(source, kinds)
+    if REVERSED in helpers:
+        marked = mark_reversals(marked, cfg, source)
     if repeats:
         marked = mark_repeats(with_row_order(marked, cfg, source.columns), repeats)
+        marked = marked.drop(ORDER, ROW_HASH)
+    if others is not None:
+        unmarked = [F.lit(False).alias(c) for c in marked.columns if c not in source.columns]
+        marked = marked.unionByName(others.select(*source.columns, *unmarked))
     if SAMPLED in helpers:
         cut = sample_cut(source, cfg.sample_size, cfg.sample_seed, source.columns)
         marked = mark_sample(marked, SAMPLED, cut, cfg.sample_seed, source.columns, [m.out for m in repeats])

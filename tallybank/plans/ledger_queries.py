@@ -151,7 +151,7 @@ def shipped_audit(spark, sf):
 
 def full_audit(spark, sf):
     # Sample, base day and ranking each pass over the silver table, so it is computed once.
-    return A.run_audit(staged(classified(spark, sf)), FULL, prepared=True)
+    return A.run_audit(staged(classified(spark, sf)), FULL, prepared=True, narrow=True)
 
 
 def _iso(column):

@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,19 @@ def test_full_audit_shuffles_the_ledger_three_times(silver):
     assert len(re.findall(r"\(\d+\) BroadcastExchange\n", plan)) == 1
 
 
+def test_narrow_audit_shuffles_candidate_rows_only(silver):
+    frame = A.run_audit(silver, L.FULL, prepared=True, narrow=True).frame
+    plan = plan_of(frame)
+    # Whole numbers of all rows are shuffled once; bitmaps and keys of the base day are small.
+    exchanged = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]", plan)
+    narrow = [e for e in exchanged if "HISTORICO" not in e]
+    wide = [e for e in exchanged if "HISTORICO" in e]
+    assert len(wide) == 3 and all(re.match(r"(kind|bucket|__conta|_groupingexpression)#", e) for e in narrow)
+    assert plan.split("\n\n")[0].count("Window") == 4
+    every = A.run_audit(silver, L.FULL, prepared=True).frame
+    assert Counter(map(tuple, frame.collect())) == Counter(map(tuple, every.collect()))
+
+
 def test_counting_hits_takes_one_pass_and_whole_numbers(silver):
     cfg = L.FULL.replace(active=[t for t in TEST_NAMES if t != "TESTE_7_3"])
     plan = plan_of(A.count_hits(silver, cfg, prepared=True))
