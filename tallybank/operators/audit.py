@@ -179,11 +179,12 @@ def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Da
 
     Each row is counted for itself, and once more for each group that the two tests of repeated rows look at. All are
     reduced to one row per group before the shuffle, by whole numbers, so groups of any size stay cheap: of n repeated
-    rows n-1 or n-2 are hits, less the first row where it would have been one. The sample has its size.
+    rows n-1 or n-2 are hits, less the first row where it would have been one. Rows of the base day and of the month after
+    it meet by account and amount, so reversals need no second look at the ledger. The sample has its size.
     """
     source = frame if prepared else prepare_ledger(frame)
     tests, _ = runnable_tests(source.columns, cfg)
-    grouped = [t for t in tests if RULES[t].helper in (REPEATED, TRIPLICATE, SAMPLED)]
+    grouped = [t for t in tests if RULES[t].helper in (REPEATED, TRIPLICATE, SAMPLED, REVERSED)]
     plain = [t for t in tests if t not in grouped]
     marked = run_audit(source, cfg.replace(active=tuple(plain)), prepared=True).frame
     helpers = {RULES[t].helper: t for t in grouped}
@@ -195,6 +196,10 @@ def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Da
 
     parts = [part(0)]
     result, order = F.lit(False), F.lit(0).cast("long")
+    posted, follows = F.lit(False), F.lit(False)
+    if REVERSED in helpers:
+        posted, follows = F.coalesce(_posted(cfg), F.lit(False)), _follows(cfg)
+        parts.append(F.when(posted | follows, part(3, F.col("CONTA"), F.col("MOVIMENTO"))))
     if REPEATED in helpers:
         parts.append(part(1, F.col("CONTA"), F.col("MOVIMENTO")))
         marked = with_row_order(marked, cfg, source.columns)
@@ -202,9 +207,10 @@ def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Da
     if TRIPLICATE in helpers:
         parts.append(part(2, F.col("HISTORICO"), F.col("MOVIMENTO"), F.col("DATA")))
     rows = marked.select(*[F.col(t).isNotNull().alias(t) for t in plain], result.alias("result"), order.alias("order"),
-                         F.inline(F.array(*parts)))
+                         posted.alias("posted"), follows.alias("follows"), F.inline(F.array_compact(F.array(*parts))))
     groups = rows.groupBy("kind", "text", "amount", "day").agg(
         F.count("*").alias("rows"), F.count_if("result").alias("results"), F.min("order").alias("first"),
+        F.max("posted").alias("posted"), F.count_if("follows").alias("follows"),
         *[F.count_if(F.col(t) & (F.col("kind") == 0)).alias(t) for t in plain])
     whole = F.col("kind") == 0
     sums = {t: F.sum(F.when(whole, F.col(t))) for t in plain}
@@ -212,6 +218,8 @@ def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Da
         sums[helpers[REPEATED]] = F.sum(F.when(F.col("kind") == 1, F.col("results") - F.pmod("first", F.lit(2))))
     if TRIPLICATE in helpers:
         sums[helpers[TRIPLICATE]] = F.sum(F.when(F.col("kind") == 2, F.greatest(F.col("rows") - 2, F.lit(0))))
+    if REVERSED in helpers:
+        sums[helpers[REVERSED]] = F.sum(F.when((F.col("kind") == 3) & F.col("posted"), F.col("follows")))
     if SAMPLED in helpers:
         sums[helpers[SAMPLED]] = F.sum(F.when(whole, F.least(F.col("rows"), F.lit(cfg.sample_size))))
     totals = groups.agg(F.coalesce(F.sum(F.when(whole, F.col("rows"))), F.lit(0)).alias("total"),
