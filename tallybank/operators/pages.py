@@ -40,7 +40,8 @@ _PROBLEM = _struct(("part", _TEXT), ("pos", T.IntegerType()), ("message", _TEXT)
 PAGE_TYPE = _struct(("questions", T.ArrayType(_QUESTION)),
                     ("answers", T.ArrayType(_struct(("idx", _TEXT), ("answer", _TEXT), ("last", T.BooleanType())))),
                     ("blocks", T.ArrayType(_BLOCK)), ("problems", T.ArrayType(_PROBLEM)))
-_LINK = _struct(("href", _TEXT), ("name", _TEXT), ("subtitle", _TEXT), ("first", T.BooleanType()))
+_LINK = _struct(("href", _TEXT), ("name", _TEXT), ("subtitle", _TEXT), ("first", T.BooleanType()), ("turn", T.BooleanType()),
+                ("off", T.BooleanType()))
 LINKS_TYPE = _struct(("links", T.ArrayType(_LINK)), ("problems", T.ArrayType(_PROBLEM)))
 
 
@@ -177,7 +178,9 @@ def _entry(entry):
 
 def _link(anchor):
     card = anchor.enclosing("div", CARD_CLASS)
+    css = anchor.attrs.get("class") or ""
     return {"href": anchor.attrs.get("href"), "name": anchor.text(),
+            "turn": anchor.attrs.get("rel") == "next" or "next" in css, "off": "disabled" in css,
             "subtitle": _text(card.find("div", "q-subtitle")) if card else None}
 
 

@@ -361,3 +361,28 @@ def notebook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('<div class="q-subtitle"> Caderno com '), key, F.lit(" questões</div></div>"),
         link(F.concat(F.lit("7"), key), F.lit("Solto &amp; livre"), ""), F.lit("</body></html>"))
     return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+
+
+CHAINS = 37
+
+
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per customer with one to three questions, in notebooks that lead from page to page. The last pages hold a
+    disabled link, a link to no page, one back to the first page, one into the next notebook, or none."""
+    key, chain = F.col("c_custkey"), F.col("c_custkey") % CHAINS
+
+    def address(number):
+        return F.concat(F.lit("/cadernos/"), F.lpad(number.cast("string"), 12, "0"))
+
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    following = customers.select((key - CHAINS).alias("c_custkey"), F.lit(True).alias("more"))
+    item = F.concat(F.lit('<div class="js-question-item"><div class="js-question" data-question-id="'), key.cast("string"),
+                    F.lit('"><span class="q-index">1</span></div></div>'))
+    turn = (F.when(F.col("more"), F.concat(F.lit("<a rel='next' href='"), address(key + CHAINS), F.lit("#top'>")))
+            .when(chain % 5 == 0, F.concat(F.lit('<a class="page-next" href="https://q.example'), address(chain), F.lit('">')))
+            .when(chain % 5 == 1, F.lit('<a rel=next href="?page=none">'))
+            .when(chain % 5 == 2, F.concat(F.lit('<a class="next" href="'), address(chain + 1 + CHAINS), F.lit('">')))
+            .when(chain % 5 == 3, F.lit('<a rel="next" class="next disabled" href="/cadernos/1">')).otherwise(F.lit("<a href=/outro>")))
+    html = F.concat(F.lit("<html><a href=/inicio>Início</a>"), F.repeat(item, (key % 3 + 1).cast("int")), turn, F.lit("Próxima</a></html>"))
+    return customers.join(following, "c_custkey", "left").select(
+        key.alias("page_id"), F.concat(F.lit("https://q.example"), address(key)).alias("url"), html.alias("html"))

@@ -9,8 +9,9 @@ from tallybank.operators import pages as P
 from tallybank.operators import questions as Q
 from tallybank.operators import scoring as R
 from tallybank.operators import study as S
+from tallybank.operators.page_order import next_links, number_questions, order_pages
 from tallybank.plans.adapters import (
-    ANALYSES_SQL, ATTEMPTS_SQL, LETTER_LIST, QUESTIONS_SQL, analyses, attempts, broken_pages, letter_at, link_pages,
+    ANALYSES_SQL, ATTEMPTS_SQL, CHAINS, LETTER_LIST, QUESTIONS_SQL, analyses, attempts, broken_pages, chained_pages, letter_at, link_pages,
     mock_pages, notebook_pages, question_pages, questions, table)
 from tallybank.plans.registry import query
 from tallybank.sources.cache import cache_hits, cache_misses
@@ -76,6 +77,24 @@ def notebook_links(spark, sf):
     return P.notebook_links(notebook_pages(spark, sf))
 
 
+PAGE_URL = "concat('https://q.example/cadernos/', lpad(CAST({} AS VARCHAR), 12, '0'))"
+
+
+@query("page_order", f"""SELECT {PAGE_URL.format('c_custkey % ' + str(CHAINS))} AS notebook, {PAGE_URL.format('c_custkey')} AS url,
+  c_custkey // {CHAINS} + 1 AS position, CAST(1 + c_custkey % 3 AS BIGINT) AS questions,
+  CAST(coalesce(sum(1 + c_custkey % 3) OVER (PARTITION BY c_custkey % {CHAINS} ORDER BY c_custkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS BIGINT) AS before,
+  CASE WHEN c_custkey + {CHAINS} IN (SELECT c_custkey FROM customer) THEN NULL ELSE CASE c_custkey % {CHAINS} % 5 WHEN 0 THEN 'cycle'
+    WHEN 1 THEN 'dangling' WHEN 2 THEN 'merged' ELSE 'last' END END AS ends
+  FROM customer""")
+def page_order_query(spark, sf):
+    """Place of every page in its notebook, by next links, and how many questions stand before it."""
+    pages = chained_pages(spark, sf)
+    read = P.read_pages(pages.withColumnRenamed("url", "link"))
+    counts = read.select(F.col("link").alias("url"), F.size("page.questions").alias("questions"))
+    return number_questions(order_pages(next_links(pages)), counts)
+
+
 @query("page_errors", """SELECT c_custkey AS page_id, 'page' AS part, TRUE AS told FROM customer WHERE c_custkey % 3 = 0""")
 def page_errors(spark, sf):
     """What could not be read of pages with broken places."""
