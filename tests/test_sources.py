@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybank.operators import schema as N
 from tallybank.operators.silver import clean_balance
@@ -124,6 +125,32 @@ def test_cache_grows_by_misses_only(spark, tmp_path):
     assert [r["key"] for r in cache.cache_misses(work, stored).collect()] == ["z"]
 
 
+def test_keyed_cache_keeps_the_first_of_each_key_and_is_not_shuffled(spark, tmp_path):
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("text", T.StringType())])
+    store = cache.KeyedCache(str(tmp_path / "keyed"), schema, buckets=4)
+    rows = lambda *given: spark.createDataFrame(list(given), "key string, text string")
+    work = spark.createDataFrame([("a",), ("z",), (None,), ("c",)], "key string")
+    assert store.rows(spark).count() == 0 and store.misses(work).count() == 4
+    store.append(rows(("b", "2"), ("a", "9"), ("a", "1"), (None, "0")), 5, ["text"])
+    store.append(rows(("a", "0"), ("c", "3"), ("c", "4"), ("c", "4")), 6, ["text"])
+    late = rows(("c", "late"), ("d", "late")).selectExpr("*", "4L AS stored_in")  # as of a run that looked before the others wrote
+    late.repartition(4, "key").write.mode("append").format("parquet").option("path", store.path).bucketBy(4, "key").saveAsTable(store.name)
+    want = [("a", "1"), ("b", "2"), ("c", "late"), ("d", "late")]
+    assert sorted(map(tuple, store.rows(spark).collect())) == want
+    assert sorted(map(tuple, store.hits(work).collect())) == [("a", "1"), ("c", "late")]
+    assert sorted((r["key"] for r in store.misses(work).collect()), key=str) == [None, "z"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for frame in (store.hits(work), store.misses(work)):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 4 out of 4" in plan or "Bucketed: true" in plan
+        assert "Exchange" not in store.rows(spark)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.sql(f"DROP TABLE {store.name}")  # another session learns of the table by its folder
+    assert sorted(map(tuple, store.rows(spark).collect())) == want
+
+
 def test_staging_uses_the_folder_of_the_session(spark):
     folder = staging_folder(spark)
     assert folder == staging_folder(spark)
