@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +22,12 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Pairs of parts. Three differing bits leave at most one of them in each part of some pair.
 SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 2))
-#: Rows under one key from which on its pairs aren't formed one by one.
-LARGE_KEY = 256
+#: Bits that name a key: the pair of parts and a codeword of each.
+KEY_BITS = 26
+#: Fingerprints under one key from which on it is cut into smaller ones by pieces of the third part.
+LARGE_KEY = 1024
+#: Three differing bits leave one of so many pieces the same.
+PIECES = MAX_BITS + 1
 _SLICE = 1 << 16
 
 
@@ -52,95 +55,149 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     return map_texts(docs, [id_column], text_column, T.StructType([T.StructField("fp", T.LongType())]), start)
 
 
-def _keys(fps: np.ndarray, left: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(fp, key) rows: for a pair of parts, the left rows hold the nearest codeword of the first part with every near
-    codeword of the second, the right rows the reverse."""
+def _keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of a fingerprint, key), each once: for a pair of parts, the nearest codeword of one part with every near
+    codeword of the other."""
     words = fps.view(np.uint64)
     near = [golay.near_indices(((words >> np.uint64(s)) & np.uint64((1 << w) - 1)).astype(np.int64)) for s, w in SEGMENTS]
-    kept, keys = [], []
+    found = []
     for number, (a, b) in enumerate(SEGMENT_PAIRS):
-        first, second = (near[a][:, :1], near[b]) if left else (near[a], near[b][:, :1])
-        key = (np.int64(number) << 24) | (first << 12) | second
-        valid = (first >= 0) & (second >= 0)
-        kept.append(np.broadcast_to(fps[:, None], valid.shape)[valid])
-        keys.append(np.broadcast_to(key, valid.shape)[valid])
-    return np.concatenate(kept), np.concatenate(keys)
-
-
-def _keyed(distinct: DataFrame) -> DataFrame:
-    """(fp, key, is_left): all left and right rows of distinct fingerprints."""
+        for first, second in ((near[a][:, :1], near[b]), (near[a], near[b][:, :1])):
+            key = (np.int64(number) << 24) | (first << 12) | second
+            rows = np.broadcast_to(np.arange(len(fps))[:, None], key.shape)
+            valid = (first >= 0) & (second >= 0)
+            found.append((rows[valid] << KEY_BITS) | key[valid])
+    both = np.unique(np.concatenate(found))
+    return both >> KEY_BITS, both & ((1 << KEY_BITS) - 1)
+
+
+def _pieces(fps: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For each fingerprint under a large key, `PIECES` numbers: a piece of the part that the key leaves out, with its place.
+    Fingerprints within MAX_BITS have at least one number in common."""
+    parts = np.array([[s, w] for pair in SEGMENT_PAIRS for s, w in (next(SEGMENTS[i] for i in range(3) if i not in pair),)])
+    shift, width = parts[keys >> 24].T
+    part = (fps.view(np.uint64) >> shift.astype(np.uint64)).astype(np.int64) & ((1 << width) - 1)
+    cuts = [(i * width // PIECES, (i + 1) * width // PIECES) for i in range(PIECES)]
+    return np.stack([(((part >> low) & ((1 << (high - low)) - 1)) << 2) | i for i, (low, high) in enumerate(cuts)], axis=1)
+
+
+def _keyed(distinct: DataFrame, large: np.ndarray | None) -> DataFrame:
+    """(fp, key) of distinct fingerprints; large keys (bits of `large`) with a piece of the third part in their upper bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 fps = np.asarray(batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False), dtype=np.int64)
-                for left in (True, False):
-                    kept, keys = _keys(fps, left)
-                    yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(keys), pa.array(np.full(len(kept), left))],
-                                                     names=["fp", "key", "is_left"])
-
-    return distinct.select("fp").mapInArrow(run, "fp long, key long, is_left boolean")
-
-
-def _near(a: str, b: str, max_bits: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
-
-
-def _met(rows: DataFrame, max_bits: int) -> DataFrame:
-    """(lo, hi): left and right rows (fp, key, is_left, root) of a key within the distance, under different roots.
-
-    Only these come out of the join. Each link could be found from both of its ends, so half of the pairs are enough.
-    """
-    left = rows.where("is_left").select(F.col("fp").alias("lo"), F.col("key").alias("l_key"), F.col("root").alias("l_root"))
-    right = rows.where("NOT is_left").select(F.col("fp").alias("hi"), F.col("key").alias("r_key"), F.col("root").alias("r_root"))
-    return left.join(right, (F.col("l_key") == F.col("r_key")) & (F.col("lo") < F.col("hi"))
-                     & (F.col("l_root") != F.col("r_root")) & _near("lo", "hi", max_bits)).select("lo", "hi")
-
-
-def _met_apart(rows: DataFrame, max_bits: int) -> DataFrame:
-    """(lo, hi): the same for rows that have the root of their key's pivot too. A pair under different roots has a row
-    under another root than the pivot's, so only those meet the other rows of their key."""
-    apart = rows.where(F.col("root") != F.col("pivot_root")).select(
-        F.col("fp").alias("a_fp"), F.col("key").alias("a_key"), F.col("is_left").alias("a_left"), F.col("root").alias("a_root"))
-    across = apart.join(rows, (F.col("a_key") == F.col("key")) & (F.col("a_left") != F.col("is_left"))
-                        & (F.col("a_root") != F.col("root")) & _near("a_fp", "fp", max_bits))
-    return across.select(F.least("a_fp", "fp").alias("lo"), F.greatest("a_fp", "fp").alias("hi"))
+                rows, keys = _keys(fps)
+                kept = fps[rows]
+                if large is not None:
+                    cut = (large[keys >> 3] >> (keys & 7).astype(np.uint8)) & 1 == 1
+                    pieces = _pieces(kept[cut], keys[cut]) + 1
+                    kept = np.concatenate([kept[~cut], np.repeat(kept[cut], PIECES)])
+                    keys = np.concatenate([keys[~cut], (np.repeat(keys[cut], PIECES) | (pieces.ravel() << KEY_BITS))])
+                yield pa.RecordBatch.from_arrays([pa.array(kept), pa.array(keys)], names=["fp", "key"])
+
+    return distinct.select("fp").mapInArrow(run, "fp long, key long")
+
+
+def large_keys(distinct: DataFrame) -> np.ndarray | None:
+    """Bitmap of the keys with LARGE_KEY fingerprints or more, None if there are none. It has 2 ** KEY_BITS bits, so 8 MB
+    whatever the input."""
+    counts = _keyed(distinct, None).groupBy("key").count().where(F.col("count") >= LARGE_KEY)
+    bits = counts.groupBy((F.col("key") / (1 << 15)).cast("int").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("key") % (1 << 15)).alias("bits")).toArrow()
+    if not bits.num_rows:
+        return None
+    whole = np.zeros((1 << KEY_BITS) // 8, dtype=np.uint8)
+    for bucket, part in zip(bits.column("bucket").to_pylist(), bits.column("bits").to_pylist(), strict=True):
+        whole[bucket << 12:(bucket + 1) << 12] = np.frombuffer(part, dtype=np.uint8)
+    return whole
+
+
+class _Forest:
+    """Roots of fingerprints that links connect: the least of each tree."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        above, path = self.above, []
+        while (up := above.get(node, node)) != node:
+            path.append(node)
+            node = up
+        for p in path:
+            above[p] = node
+        return node
+
+    def link(self, a: int, b: int) -> None:
+        a, b = sorted((self.root(a), self.root(b)))
+        self.above[b] = a
+
+
+def _connect(fps: np.ndarray, max_bits: int, forest: _Forest) -> int:
+    """Connect the fingerprints of one key; the number of comparisons. Each is compared with those that nothing has reached yet, so a group that hangs
+    together shrinks as it is walked through; only what stays apart is compared pair by pair."""
+    rest, compared = fps, 0
+    while len(rest) > 1:
+        reached, rest = [rest[0]], rest[1:]
+        while reached and len(rest):
+            node = reached.pop()
+            compared += len(rest)
+            near = np.bitwise_count((rest ^ node).view(np.uint64)) <= max_bits
+            if near.any():
+                found = rest[near]
+                for other in found.tolist():
+                    forest.link(int(node), other)
+                reached.extend(found)
+                rest = rest[~near]
+    return compared
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(lo, hi): verified links of distinct fingerprints (column fp) that connect all that `max_bits` or fewer differing
-    bits connect, 3 at most.
+    """(lo, hi): links of distinct fingerprints (column fp) that connect all that `max_bits` or fewer differing bits
+    connect, 3 at most.
 
     At most 3 differing bits leave a pair of parts with at most one in each (pigeonhole). There the nearest codeword of
-    x in the first part is near y, and the nearest one of y in the second is near x, so a left row of x meets a right
-    row of y under a key of 24 bits.
-
-    Keys with LARGE_KEY rows or more belong to large groups of near copies, of which not all pairs are formed: first
-    each of their rows is compared with four fingerprints of its key, and what this connects gets one root. After
-    that only pairs under different roots can come out, of large keys and of all others. None is lost.
+    either in one part is near the other, so both have a key of 24 bits in common, and are compared under it. A large key,
+    as large groups of near copies have, is cut by pieces of the third part, one of which they have in common too. Each task
+    keeps a forest of what it has connected, and hands on one link for each fingerprint of a tree.
     """
     if max_bits > MAX_BITS:
         raise ValueError("the parts guarantee three bits at most")
-    rows = _keyed(distinct)
-    spread = F.xxhash64("fp")
-    large = lasting(rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("fp").alias("pivot"), F.max("fp").alias("pivot_1"),
-        F.min_by("fp", spread).alias("pivot_2"), F.max_by("fp", spread).alias("pivot_3")).where(F.col("n") >= LARGE_KEY).drop("n"))
-    if large.isEmpty():
-        return _met(rows.withColumn("root", F.col("fp")), max_bits).distinct()
-    grouped = lasting(rows.join(large, "key"))
-    stars = reduce(DataFrame.unionByName, [
-        grouped.where((F.col("fp") != F.col(p)) & _near("fp", p, max_bits)).select(
-            F.least("fp", p).alias("lo"), F.greatest("fp", p).alias("hi")).distinct()
-        for p in ("pivot", "pivot_1", "pivot_2", "pivot_3")])
-    known = lasting(components(stars))
-    own = known.select(F.col("node").alias("fp"), F.col("root").alias("own"))
-    of_pivot = known.select(F.col("node").alias("pivot"), F.col("root").alias("of_pivot"))
-    root = F.coalesce("own", "fp").alias("root")
-    grouped = lasting(grouped.join(own, "fp", "left").join(of_pivot, "pivot", "left").select(
-        "fp", "key", "is_left", root, F.coalesce("of_pivot", "pivot").alias("pivot_root")))
-    others = rows.join(large.select("key"), "key", "left_anti").join(own, "fp", "left").select("fp", "key", "is_left", root)
-    joined = known.where(F.col("node") != F.col("root")).select(F.col("root").alias("lo"), F.col("node").alias("hi"))
-    return _met(others, max_bits).unionByName(_met_apart(grouped, max_bits)).unionByName(joined).distinct()
+    large = large_keys(distinct)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest, held, held_key = _Forest(), [], None
+        for batch in batches:
+            keys, fps = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+            if not len(keys):
+                continue
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for low, high in zip(edges, edges[1:]):
+                if held and keys[low] != held_key:
+                    _connect(np.concatenate(held), max_bits, forest)
+                    held = []
+                if high < len(keys) and not held:
+                    if high - low > 1:
+                        _connect(fps[low:high], max_bits, forest)
+                    continue
+                held_key = keys[low]
+                held.append(fps[low:high])
+        if held:
+            _connect(np.concatenate(held), max_bits, forest)
+        nodes = list(forest.above)
+        roots = np.array([forest.root(n) for n in nodes], dtype=np.int64)
+        nodes = np.array(nodes, dtype=np.int64)
+        moved = nodes != roots
+        yield pa.RecordBatch.from_arrays([pa.array(roots[moved]), pa.array(nodes[moved])], names=["lo", "hi"])
+
+    dealt = _keyed(distinct, large).repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "lo long, hi long").distinct()
+
+
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root, and the other columns) of distinct fingerprints."""
+    rooted = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "root")
+    return distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -154,30 +211,37 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     marked = lasting(fingerprints(docs, id_column, text_column, shingle))
     distinct = lasting(marked.groupBy("fp").agg(F.min(id_column).alias("least")))
-    rooted = components(links(distinct, max_bits)).select(F.col("node").alias("fp"), "root")
-    members = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    members = _rooted(distinct, max_bits)
     least = members.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = members.select("fp", "root").join(least, "root").select(F.col("fp").alias("c_fp"), "component_id")
     return marked.join(by_fp, F.col("fp") == F.col("c_fp")).select(
         id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` without all but one of each group of near duplicates: the row with the smallest id stays.
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+             shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of `docs` without all but one of each group of near duplicates: the row with the smallest id stays, of
+    several with that id the one with the least hash of all its columns, and of equal rows one.
 
-    Rows without an id can't be told apart by it and stay. Of rows repeated under one id one stays, the first by the
-    hash of all its columns. Texts move only for the join with the ids to drop.
+    Rows are told apart by id and hash, so an id with two texts may lose one of them and every group keeps a row. Rows
+    without an id can't be told apart and stay. Texts move only for the join with the rows to drop.
     """
-    marked = lasting(near_duplicates(docs, id_column, text_column).select(F.col(id_column).alias("m_id"), "component_id"))
-    drop = marked.where(F.col("m_id") != F.col("component_id")).select("m_id").distinct()
-    repeated = lasting(marked.where(F.col("m_id") == F.col("component_id")).groupBy("m_id").count()
-                       .where("count > 1").select(F.col("m_id").alias("r_id")))
-    kept = docs.join(drop, docs[id_column] == drop["m_id"], "left_anti")
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(F.col(f"`{id_column}`").alias("m_id"), row.alias("m_row"), F.col(f"`{text_column}`").alias("m_text"))
+    made = T.StructType([T.StructField("fp", T.LongType())])
+    marked = lasting(map_texts(keyed, ["m_id", "m_row"], "m_text", made,
+                               lambda: lambda texts: [(fingerprint(lower_words_of(t), shingle),) for t in texts]))
+    first = F.min(F.when(F.col("m_id").isNotNull(), F.struct("m_id", "m_row"))).alias("first")
+    members = _rooted(lasting(marked.groupBy("fp").agg(first)), max_bits)
+    stays = members.groupBy("root").agg(F.min("first").alias("first")).where("first IS NOT NULL").select("first.*")
+    rows = lasting(marked.where("m_id IS NOT NULL").groupBy("m_id", "m_row").agg(F.count("*").alias("copies")))
+    drop = lasting(rows.join(stays, ["m_id", "m_row"], "left_anti").select("m_id", "m_row"))
+    own = free_name(docs.columns, "row")
+    hashed = docs.withColumn(own, row)
+    kept = hashed.join(drop, (hashed[id_column] == drop["m_id"]) & (hashed[own] == drop["m_row"]), "left_anti")
+    repeated = lasting(rows.join(stays, ["m_id", "m_row"], "left_semi").where("copies > 1").select("m_id", "m_row"))
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept[id_column] == repeated["r_id"], "left_anti")
-    rank = free_name(docs.columns, "rank")
-    order = Window.partitionBy(id_column).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    again = kept.join(repeated, kept[id_column] == repeated["r_id"], "left_semi").withColumn(
-        rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
-    return once.unionByName(again)
+        return kept.drop(own)
+    same = (kept[id_column] == repeated["m_id"]) & (kept[own] == repeated["m_row"])
+    once = kept.join(repeated, same, "left_anti")
+    return once.unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([id_column, own])).drop(own)

@@ -1,3 +1,4 @@
+import collections
 import itertools
 import random
 
@@ -79,6 +80,61 @@ def test_a_dense_group_makes_few_links(spark, monkeypatch):
     assert set(roots(spark, prints).values()) == {min(prints)} and found < pairs / 2, (found, pairs)
 
 
+def loose_group(size):
+    """Fingerprints of near copies of one text: 120 words, of which 1 to 3 are changed."""
+    rng = random.Random(size)
+    base, prints = [f"w{rng.randrange(5000)}".encode() for _ in range(120)], set()
+    while len(prints) < size:
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10 ** 6)}".encode()
+        prints.add(simhash.fingerprint(words))
+    return np.array(sorted(prints))
+
+
+@pytest.mark.parametrize("size", [1500, 3000])
+def test_comparisons_in_a_loose_group(size):
+    fps = loose_group(size)
+    rows, keys = simhash._keys(fps)
+    large = np.bincount(keys)[keys] >= simhash.LARGE_KEY
+    pieces = simhash._pieces(fps[rows[large]], keys[large])
+    cut = collections.defaultdict(list)
+    for row, key, own in [*zip(rows[~large].tolist(), keys[~large].tolist(), itertools.repeat(-1)),
+                          *((r, k, p) for r, k, ps in zip(rows[large].tolist(), keys[large].tolist(), pieces.tolist()) for p in ps)]:
+        cut[key, own].append(fps[row])
+    forest = simhash._Forest()
+    compared = sum(simhash._connect(np.array(held), 3, forest) for held in cut.values())
+    want = simhash._Forest()
+    simhash._connect(fps, 3, want)
+    assert [forest.root(f) for f in fps.tolist()] == [want.root(f) for f in fps.tolist()]
+    print(size, compared, size * (size - 1) // 2)
+    assert compared < 3 * size * (size - 1) // 2
+
+
+def test_pieces_have_one_in_common():
+    rng = random.Random(8)
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), 3):
+            b ^= 1 << bit
+        fps = np.array([a, b], dtype=np.uint64).view(np.int64)
+        rows, keys = simhash._keys(fps)
+        pieces = simhash._pieces(fps[rows], keys)
+        sides = [{(k, p) for k, ps in zip(keys[rows == i].tolist(), pieces[rows == i].tolist()) for p in ps} for i in (0, 1)]
+        assert sides[0] & sides[1]
+
+
+def test_an_id_with_two_texts_loses_no_group(spark):
+    other = "quite another text that shares no word with the first one at all"
+    rows = [(3, "one text of some words"), (5, "one text of some words"), (5, other), (9, other), (9, other), (None, other)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in kept), key=str) == [(3, "one text of some words"), (5, other), (None, other)]
+    twice = [(1, other)] * 5 + [(2, other)]
+    kept = simhash.keep_one(spark.createDataFrame(twice, "doc_id long, text string").repartition(3)).collect()
+    assert [tuple(r) for r in kept] == [(1, other)]
+
+
 def test_components_of_paths_stars_and_rings(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 202), (200, 202)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(pairs, "lo long, hi long")).collect()}
