@@ -340,10 +340,10 @@ def raw_ledger(spark, sf):
 FROM raw LEFT JOIN accounts a ON concat('1', lpad(CAST(o_custkey % 50 AS VARCHAR), 5, '0')) = a.k
   LEFT JOIN accounts c ON concat('1', lpad(CAST(l_suppkey % 60 AS VARCHAR), 5, '0')) = c.k""")
 def silver_build(spark, sf):
-    """Raw ledger and balance, written as text, read by the readers and built to the silver table."""
+    """Raw ledger and balance, written as text (the balance in files that follow its order), read and built to the silver table."""
     raw, accounts = out_path(spark, "raw"), out_path(spark, "balance")
     raw_ledger(spark, sf).write.option("header", True).option("sep", ";").csv(raw)
-    (balance(spark, sf).repartition(1).sortWithinPartitions("ORD").drop("ORD").withColumnRenamed("GRUPO", "Grupo")
+    (balance(spark, sf).repartitionByRange("ORD").sortWithinPartitions("ORD").drop("ORD").withColumnRenamed("GRUPO", "Grupo")
      .write.option("header", True).option("sep", ";").csv(accounts))
     frame = S.build_silver(read_ledger(spark, raw), read_balance(spark, accounts))
     return frame.select(_iso(F.col("DATA")).alias("data"), F.regexp_replace("CONTA", r"\.", "").alias("conta"),
