@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import public_tokenizers
@@ -19,6 +20,8 @@ from tallybank.llm.common import BATCH_ROWS, arrow_schema, map_texts
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 #: Distinct pieces that a task remembers, and the longest of them; beyond the number the memory starts anew.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+#: Code points of the texts that are taken apart before their new pieces go to the tokenizer.
+TOGETHER_CHARS = 1 << 19
 
 
 @functools.cache
@@ -47,21 +50,26 @@ class Codec:
         self.token_sizes = np.array([len(b) for b in self.token_bytes], dtype=np.int64)
         self._known: dict[str, bytes] = {}
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers; null and empty texts have none."""
-        pieces = self.pattern.findall(text or "")
+    def encode_together(self, texts: Sequence[str | None]) -> list[bytes]:
+        """For each text its ids as little-endian unsigned 32-bit integers; null and empty texts have none. Pieces that
+        aren't known yet go to the tokenizer in one call."""
+        parted = [self.pattern.findall(text or "") for text in texts]
         if len(self._known) > REMEMBERED:
             self._known.clear()
         known = self._known
-        if new := list({p for p in pieces if p not in known}):
+        new = list(set().union(*parted).difference(known))
+        if new:
             for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
                 known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        out = b"".join([known[p] for p in pieces])
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in parted]
         for piece in new:
             if len(piece) > REMEMBERED_CHARS:
                 del known[piece]
         return out
 
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_together([text])[0]
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes of the tokens in a row; characters split over tokens come together again."""
         tokens = self.token_bytes
@@ -76,6 +84,23 @@ class Codec:
         return character[starts], character[ends - 1] + 1
 
 
+def offsets_digest(starts: np.ndarray, ends: np.ndarray) -> str:
+    """Lower-case hex SHA-256 of start and end of each token in turn, as little-endian unsigned 32-bit integers."""
+    return hashlib.sha256(np.column_stack((starts, ends)).astype("<u4").tobytes()).hexdigest()
+
+
+def _groups(texts: Sequence[str | None]) -> Iterator[Sequence[str | None]]:
+    """Neighbours of TOGETHER_CHARS code points at most, or one longer text."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        size = len(text or "")
+        if held and held + size > TOGETHER_CHARS:
+            yield texts[first:i]
+            first, held = i, 0
+        held += size
+    yield texts[first:]
+
+
 @functools.cache
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -84,25 +109,30 @@ def codec(path: str) -> Codec:
 ENCODED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 OFFSETS = T.StructType([T.StructField("starts", T.ArrayType(T.IntegerType())),
                         T.StructField("ends", T.ArrayType(T.IntegerType()))])
+OFFSETS_DIGEST = T.StructType([T.StructField("offsets_sha256", T.StringType())])
 DECODED = T.StructType([T.StructField("decoded", T.BinaryType())])
 
 
 def encode(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path: str = VOCABULARY,
-           offsets: bool = True, decoded: bool = False) -> DataFrame:
+           offsets: bool = True, decoded: bool = False, digest_offsets: bool = False) -> DataFrame:
     """(id, n_tokens, ids, starts, ends), one row for each row of `docs`.
 
-    `ids` holds little-endian unsigned 32-bit integers. `offsets=False` leaves out the offsets; `decoded=True` adds the
-    bytes that the ids decode to, made in the same pass. Null texts count as empty and have no tokens.
+    `ids` holds little-endian unsigned 32-bit integers; starts and ends count code points. `offsets=False` leaves out the
+    offsets; `digest_offsets=True` adds their digest and `decoded=True` the bytes that the ids decode to, made in the
+    same pass. Null texts count as empty and have no tokens.
     """
-    made = list(ENCODED) + list(OFFSETS) * offsets + list(DECODED) * decoded
+    made = list(ENCODED) + list(OFFSETS) * offsets + list(OFFSETS_DIGEST) * digest_offsets + list(DECODED) * decoded
 
     def start():
         own = codec(path)
 
-        def row(text: str | None) -> tuple:
-            ids = own.encode(text)
-            return (len(ids) // 4, ids, *(own.offsets(text, ids) if offsets else ()), *([own.decode(ids)] * decoded))
-        return lambda texts: map(row, texts)
+        def row(text: str | None, ids: bytes) -> tuple:
+            places = own.offsets(text, ids) if offsets or digest_offsets else ()
+            return (len(ids) // 4, ids, *(places if offsets else ()),
+                    *([offsets_digest(*places)] if digest_offsets else ()), *([own.decode(ids)] if decoded else ()))
+
+        return lambda texts: (row(t, ids) for group in _groups(texts)
+                              for t, ids in zip(group, own.encode_together(group), strict=True))
 
     return map_texts(docs, [id_column], text_column, T.StructType(made), start)
 

@@ -58,9 +58,9 @@ def op6_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and what they decode to, as digests."""
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), offsets=False, decoded=True)
-    return encoded.select("doc_id", "n_tokens", bpe.digest("ids").alias("ids_sha256"),
+    """Token ids of every document, their offsets, and what they decode to, as digests."""
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), offsets=False, decoded=True, digest_offsets=True)
+    return encoded.select("doc_id", "n_tokens", bpe.digest("ids").alias("ids_sha256"), "offsets_sha256",
                           bpe.digest("decoded").alias("decoded_sha256"))
 
 
