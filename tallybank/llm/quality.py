@@ -144,32 +144,38 @@ def held_out(id_column: Column) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality",
            text_column: str = "text") -> DataFrame:
-    """(label, text) of at most SAMPLE_ROWS labelled rows that aren't held out, in no order.
+    """(id, label, text) of at most SAMPLE_ROWS labelled documents that aren't held out, in no order.
 
-    Ids with several labels take the lowest. The chosen ids are broadcast: there are SAMPLE_ROWS of them at most.
+    Labels without a document take no place. Ids with several labels take the lowest, ids with several texts the one of
+    the least hash, so an id has one row. The chosen ids are broadcast: there are SAMPLE_ROWS of them at most.
     """
     known = (labels.where(labels[label_column].isNotNull() & labels[id_column].isNotNull())
-             .groupBy(labels[id_column].alias("l_id")).agg(F.min(label_column).cast("int").alias("label")))
-    chosen = known.where(~held_out(F.col("l_id"))).orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE_ROWS)
+             .groupBy(labels[id_column].alias("l_id")).agg(F.min(label_column).cast("int").alias("label"))
+             .where(~held_out(F.col("l_id"))))
     rows = docs.select(docs[id_column].alias("id"), docs[text_column].cast("string").alias("text"))
-    return rows.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "label", "text")
+    there = known.join(rows.select(F.col("id").alias("l_id")).distinct(), "l_id", "left_semi")
+    chosen = there.orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE_ROWS)
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"))).alias("least")
+    return (rows.join(F.broadcast(chosen), F.col("id") == F.col("l_id")).groupBy("id", "label").agg(one)
+            .select("id", "label", F.col("least.text").alias("text")))
 
 
 def _featured(rows: DataFrame) -> DataFrame:
-    made = T.StructType([T.StructField("at", T.ArrayType(T.IntegerType()))])
-    return map_texts(rows, ["id", "label"], "text", made, lambda: lambda texts: ((places(t).tolist(),) for t in texts))
+    """(id, label, at): places as little-endian unsigned 16-bit integers."""
+    made = T.StructType([T.StructField("at", T.BinaryType())])
+    return map_texts(rows, ["id", "label"], "text", made,
+                     lambda: lambda texts: ((places(t).astype("<u2").tobytes(),) for t in texts))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", label_column: str = "quality",
         text_column: str = "text") -> Model:
     """The model from a bounded sample of labelled rows; a label is positive if it is over 0.
 
-    A row of the sample is at most 2 ** PLACE_BITS numbers of 16 bits on the driver. The fit has three steps: log-count ratios, the dual descent on three quarters of the sample, and the logistic curve
-    on the margins of the rest. Without both classes the score is the smoothed share of the positive one.
+    A row of the sample is at most 2 ** PLACE_BITS numbers of 16 bits on the driver. The fit has three steps: log-count
+    ratios, the dual descent on three quarters of the sample, and the logistic curve on the margins of the rest. Without both classes the score is the smoothed share of the positive one.
     """
     found = _featured(sample(docs, labels, id_column, label_column, text_column)).toArrow()
-    lists = [part.column("at") for part in found.to_batches()]
-    rows = [part[i].values.to_numpy().astype(np.uint16) for part in lists for i in range(len(part))]
+    rows = [np.frombuffer(at.as_buffer(), dtype="<u2") for at in found.column("at")]
     given = list(zip(map(str, found.column("id").to_pylist()), map(len, rows), found.column("label").to_pylist(), strict=True))
     order = sorted(range(len(rows)), key=given.__getitem__)
     rows, positive = [rows[i] for i in order], np.array([given[i][2] > 0 for i in order], dtype=bool)
