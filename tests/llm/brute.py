@@ -91,6 +91,26 @@ def ids_digest(ids):
     return hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
 
 
+def offsets_digest(text, tokens):
+    """Start and end of each token in code points, where a part of a character stands for the whole of it."""
+    owner = [i for i, c in enumerate(text) for _ in c.encode()]
+    out, at = [], 0
+    for token in tokens:
+        out += [owner[at], owner[at + len(token) - 1] + 1]
+        at += len(token)
+    return ids_digest(out)
+
+
+def pair_counts(texts):
+    """(letter before or '', letter) -> count, in the plain words of all texts."""
+    out = collections.Counter()
+    for text in texts:
+        for word in re.findall(r"[A-Za-z0-9+/_-]{2,}", text or ""):
+            if re.fullmatch("[A-Za-z][a-z]+", word):
+                out.update(zip(("", *word.lower()), word.lower()))
+    return out
+
+
 def plain_words(text):
     return re.findall(WORD, re.sub(r"[!-/:-@\[-`{-~]", " ", (text or "").lower()))
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import zlib
 from urllib.parse import urlsplit
 
 import duckdb
@@ -78,7 +79,6 @@ def test_licenses_with_titles_and_whole_texts(spark):
 
 def test_quality_of_held_out_rows(spark, small):
     got = {r["doc_id"]: r for r in QUERIES["op3_quality_classifier"](spark, small).collect()}
-    import zlib
     assert all(r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r["score"] <= 1
                and r["predicted"] == int(r["score"] >= 0.7) for d, r in got.items())
     labels = [(r["quality"], got[r["doc_id"]]) for r in spark.read.parquet(f"{small}/labels.parquet").collect()]
@@ -115,6 +115,40 @@ def test_quality_without_labels(spark, odd_docs, no_docs):
     assert model.score(None) == model.score("")
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    """An id on many rows has one in the sample, and labels without a document take no place."""
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 10)
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, f"t {i}") for i in range(2, 40)] + [(2, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    got = quality.sample(docs, labels).collect()
+    assert len(got) == len({r["id"] for r in got}) == 10 and all(0 < r["id"] < 40 for r in got)
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 1000)
+    got = quality.sample(docs, labels).collect()
+    assert {r["id"] for r in got} == {i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 4 != 2}
+
+
+def test_descent_equals_a_second_solver():
+    """The dual optimum by projected gradient on all rows at once."""
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(30, 6, replace=False)) for _ in range(80)]
+    labels = np.array([1 if (3 in r) ^ (rng.random() < 0.1) else -1 for r in rows])
+    ratios, scales = rng.normal(size=30), np.full(80, 0.4)
+    x = np.zeros((80, 31))
+    for i, r in enumerate(rows):
+        x[i, r], x[i, 30] = ratios[r] * 0.4, 1.0
+    gram = (x * labels[:, None]) @ (x * labels[:, None]).T
+    cost = np.array([80 / (2 * (labels == y).sum()) for y in labels]) * quality.COST
+    alpha = np.zeros(80)
+    for _ in range(40_000):
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, cost)
+
+    def loss(w):
+        return 0.5 * w @ w + (cost * np.maximum(0, 1 - labels * (x @ w))).sum()
+    weights, bias = quality.descend(rows, ratios, scales, labels)
+    assert loss(np.append(weights, bias)) <= loss(x.T @ (alpha * labels)) * 1.01
+
+
 # --- decontamination ---------------------------------------------------------------------------
 
 def test_decontamination_as_by_brute_force(spark, small, texts):
@@ -431,10 +465,11 @@ def test_pipeline_as_by_brute_force(spark, small, texts):
     kept = {d: kept[d] for d, _, c in brute.groups([(d, brute.fingerprint(t)) for d, t in kept.items()]) if d == c}
     kept = {d: t for d, t in kept.items() if not brute.window_matches(t, items)}
     other = brute.tokenizer()
+    structured = secret_scan.Structured(sum(map(secret_scan.pair_counts, kept.values())))
     want = {}
     for d, t in kept.items():
         spans = sorted((int(a), int(b)) for _, a, b in (s.split(":") for s in filter(None, brute.base_secrets(t).split(","))))
-        spans += [(a, b) for a, k, b in secret_scan.secrets_of(t) if k == 3]
+        spans += [(a, b) for a, k, b in secret_scan.secrets_of(t, structured) if k == 3]
         out, at = "", 0
         for a, b in sorted(spans):
             if a >= at:

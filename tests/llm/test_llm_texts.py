@@ -121,6 +121,44 @@ def test_more_tokens_need_stronger_evidence():
     assert secret_scan.judge_token(token)[1] < secret_scan.judge_token(token[:-1] + b"a" * 9)[1] < 1
 
 
+def test_letter_pairs_as_by_brute_force(odd_docs, no_docs, documents, texts):
+    for docs in (documents, odd_docs, no_docs):
+        want = brute.pair_counts([r["text"] for r in docs.select("text").collect()])
+        got = secret_scan.letter_pairs(docs)
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        assert {("" if i == 26 else letters[i], letters[j]): int(got[i, j]) for i, j in zip(*got.nonzero())} == dict(want)
+
+
+def test_planted_tokens_by_encoding_and_length(texts):
+    """Shares of random tokens found in real texts. Those of one kind of letter hold less evidence (decimal ones none
+    under 16, where the hex pattern takes over); in return no word of the texts is taken for random."""
+    structured = secret_scan.Structured(sum(map(secret_scan.pair_counts, texts.values())))
+    assert not [t for t in texts.values() for _, k, _ in secret_scan.secrets_of(t, structured) if k == 3]
+    rng, lines = np.random.default_rng(4), [t.replace("\n", " ")[:300] for t in texts.values() if len(t) > 300]
+    for name, alphabet in secret_scan.ENCODINGS:
+        for length, least in ((12, 0.8), (16, 0.88), (24, 0.9), (64, 0.98)):
+            if name in ("lower", "upper"):
+                least = {12: 0.5, 16: 0.7}.get(length, 0.9)
+            elif name == "decimal" and length < 16:
+                continue
+            found = 0
+            for i in range(100):
+                token = "".join(rng.choice(list(alphabet), length))
+                text = f"{lines[i % len(lines)]} {token} and more"
+                at = len(lines[i % len(lines)]) + 1
+                found += any(a <= at and b >= at + length for a, k, b in secret_scan.secrets_of(text, structured)
+                             ) or f"{at}:{at + length}" in brute.base_secrets(text)
+            assert found >= 100 * least, (name, length, found)
+
+
+def test_the_battery_decides_with_the_likelihood():
+    """Two tokens of the same characters, so of the same chance under even letters: the ordered one has less evidence."""
+    rng = np.random.default_rng(1)
+    mixed = "".join(rng.permutation(list("0123456789abcdefghijkmnopqrs" * 2)))
+    tidy = "0123456789abcdefghijkmnopqrs" * 2
+    assert secret_scan.judge_token(mixed.encode())[0] > 100 * secret_scan.judge_token(tidy.encode())[0]
+
+
 def test_redaction(odd_docs, no_docs):
     out = secret_scan.redact_secrets(odd_docs)
     assert out.columns == odd_docs.columns
@@ -140,6 +178,7 @@ def test_tokens_as_by_another_library(spark, small, odd_docs, texts):
         ids = other.encode_ordinary(text)
         assert (got[doc]["n_tokens"], got[doc]["ids_sha256"]) == (len(ids), brute.ids_digest(ids))
         assert got[doc]["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+        assert got[doc]["offsets_sha256"] == brute.offsets_digest(text, other.decode_tokens_bytes(ids))
     for row in bpe.encode(odd_docs.withColumn("doc_id", odd_docs["text"]), decoded=True).collect():
         text = row["doc_id"] or ""
         assert np.frombuffer(row["ids"], "<u4").tolist() == other.encode_ordinary(text) and row["decoded"].decode() == text
