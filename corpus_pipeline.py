@@ -37,9 +37,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of them and of what they decode to."""
-    encoded = bpe.encode(docs, offsets=False, decoded=True)
-    return encoded.select("doc_id", "n_tokens", "ids", bpe.digest("ids").alias("ids_sha256"),
+    """Token ids of every document, with digests of them, of their offsets and of what they decode to."""
+    encoded = bpe.encode(docs, offsets=False, decoded=True, digest_offsets=True)
+    return encoded.select("doc_id", "n_tokens", "ids", bpe.digest("ids").alias("ids_sha256"), "offsets_sha256",
                           bpe.digest("decoded").alias("decoded_sha256"))
 
 
