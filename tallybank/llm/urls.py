@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import string
 from collections.abc import Iterator, Sequence
 
@@ -15,15 +16,23 @@ from tallybank.llm.common import BATCH_ROWS, lasting
 # The rules of the production list (host, path, verdict).
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
          ("org", "/fr/", "allow"))
-# Words that mark unwanted hosts. They name the first examples of the class to block.
+# Words that mark unwanted hosts, a small prior of the class to block.
 SEED_WORDS = ("ads adult bet bets betting casino cheap gamble jackpot loan lottery pill pills poker porn prize sex slots "
               "spam tracker viagra xxx").split()
 #: Words longer than this are not looked for in names.
 LONGEST_WORD = 20
 #: A seed word counts as often as this among the unigrams, so that names are split at it.
 SEED_COUNT = 100
-#: Each class is smoothed by this many words in the proportions of both, so words usual in both weigh nothing.
-SMOOTHING = 10.0
+#: A seed word counts as so many hosts to block.
+SEED_HOSTS = 2
+#: Each word is smoothed by so many hosts in the proportions of both classes, so an unknown word weighs nothing.
+SMOOTHING = 1.0
+#: A word of a host is one example, shared over the classes in parts of this size.
+PARTS = 1_000_000
+#: Keys with a share of all rows of at least one in so many are frequent; there are no more than that.
+FREQUENT = 10_000
+#: Words of so many letters are 26 + 26^2 + 26^3 at most.
+SHORT_WORD = 3
 
 
 def host_of(url: Column) -> Column:
@@ -86,7 +95,10 @@ def segmented(pieces: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     spots = spots.select("piece", "start", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("piece") - F.col("start") + 1))).alias("size"))
     spots = spots.withColumn("word", F.substring(F.col("piece"), F.col("start"), F.col("size")))
-    met = spots.join(counts, "word").groupBy("piece").agg(
+    short = F.length("word") <= SHORT_WORD         # every piece has them, and they are few: sent to the tasks
+    found = spots.where(short).join(F.broadcast(counts.where(short)), "word").unionByName(
+        spots.where(~short).join(counts.where(~short), "word"))
+    met = found.groupBy("piece").agg(
         F.collect_list(F.struct((F.col("start") - 1).alias("s"), (F.col("start") - 1 + F.col("size")).alias("e"), "n"))
         .alias("known"))
     rows = pieces.join(met, "piece", "left")
@@ -103,48 +115,75 @@ def segmented(pieces: DataFrame, counts: DataFrame, total: int) -> DataFrame:
     return rows.select("piece", "known").mapInArrow(run, "piece string, words array<string>")
 
 
+def meet(rows: DataFrame, facts: DataFrame, on: Sequence[str], times: str) -> DataFrame:
+    """Inner join of rows with facts, one for each key; `times` counts the rows of a key. Facts of frequent keys, at most
+    FREQUENT, are sent to the tasks, so no key gathers its rows in one task; the other keys meet by a shuffle."""
+    total = facts.agg(F.sum(times).alias("n")).first()["n"] or 0
+    frequent = F.col(times) * FREQUENT >= total
+    often, seldom = F.broadcast(facts.where(frequent).drop(times)), facts.where(~frequent).drop(times)
+    rest = rows.join(F.broadcast(facts.where(frequent).select(*on)), list(on), "left_anti")
+    return rows.join(often, list(on)).unionByName(rest.join(seldom, list(on)))
+
+
+def rule_words(rules: Sequence[tuple[str, str, str]]) -> list[str]:
+    return sorted({w for host, path, _ in rules for w in re.split("[^a-z]+", (host + path).lower()) if w})
+
+
+def _sum(frame: DataFrame, *columns: str) -> list[int]:
+    return [int(v or 0) for v in frame.agg(*[F.sum(c) for c in columns]).first()]
+
+
 def judged(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
            rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = SEED_WORDS) -> DataFrame:
     """(id, host, path, rule, verdict, block_odds), one row for each row of `pages`.
 
     Where no rule fits, naive Bayes decides: letters of host and path are split into words by the unigrams of all page
-    texts; hosts with a seed word are the examples to block, all other hosts those to allow; each distinct (host, path)
-    counts once. block_odds is the log odds of blocking. A null url or one without :// has an empty host and path, and
-    is judged by the prior alone. Repeated rows and null ids come back as they are.
+    texts and the seeds. Examples to block are the urls that a rule blocks, examples to allow all others. A word of a host
+    is one example, shared over the classes as the distinct urls of the host that hold it are, so a host of many pages
+    has no more say than others. A host never judges itself: its own examples are taken out of the counts of its words.
+    Words that the rules name don't count, as they would only repeat the rules. block_odds is the log odds of blocking,
+    for all urls, with or without a rule. A null url or one without :// has an empty host and path, and is judged by the
+    prior alone. Repeated rows and null ids come back as they are.
     """
+    rule, says = rule_of(F.col("host"), F.col("path"), rules)
     urls = pages.select(pages[id_column].alias("__id"), host_of(pages[url_column]).alias("host"),
                         path_of(pages[url_column]).alias("path"))
-    distinct = lasting(urls.select("host", "path").distinct())
-    tokens = distinct.select("host", "path", F.explode(
-        F.concat(_pieces(F.col("host")), _pieces(F.col("path")))).alias("piece"))
+    bad = F.when(says == "block", 1).otherwise(0)
+    distinct = lasting(urls.groupBy("host", "path").agg(F.count("*").alias("times"))
+                       .select("host", "path", "times", bad.alias("bad")))
+    own = F.filter(F.concat(_pieces(F.col("host")), _pieces(F.col("path"))), lambda w: ~w.isin(rule_words(rules)))
+    tokens = distinct.select("host", "path", "bad", F.explode(own).alias("piece"))
     seeded = pages.sparkSession.createDataFrame([(w, SEED_COUNT) for w in seeds], "word string, n long")
     counts = lasting(unigrams(pages, html_column).unionByName(seeded).groupBy("word").agg(F.sum("n").alias("n")))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(1)).alias("n")).first()["n"] or 1
-    words = lasting(segmented(tokens.select("piece").distinct(), counts, int(total)))
-    # A host is an example to block if one of its words is a seed.
-    by_host = distinct.select("host").distinct().select("host", F.explode(_pieces(F.col("host"))).alias("piece"))
-    marked = by_host.join(words, "piece").where(F.arrays_overlap("words", F.array(*[F.lit(w) for w in seeds]))).select(
-        "host").distinct().withColumn("bad", F.lit(1))
-    classed = distinct.join(marked, "host", "left").select("host", "path", F.coalesce("bad", F.lit(0)).alias("bad"))
-    by_piece = tokens.join(classed, ["host", "path"]).groupBy("piece").agg(
-        F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good"))
-    seen = by_piece.join(words, "piece").select(F.explode("words").alias("word"), "bad", "good")
-    seen = seen.unionByName(seeded.select("word", F.lit(1).cast("long").alias("bad"), F.lit(0).cast("long").alias("good")))
-    model = lasting(seen.groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
-    sums = model.agg(F.sum("bad"), F.sum("good")).first()
-    urls_of = classed.agg(F.sum("bad"), F.sum(1 - F.col("bad"))).first()
-    bad, good = float(sums[0] or 0), float(sums[1] or 0)
-    prior = math.log(((urls_of[0] or 0) + 1) / ((urls_of[1] or 0) + 1))
-    usual = SMOOTHING * (F.col("bad") + F.col("good")) / max(1.0, bad + good)
-    odds = model.select("word", (F.log((F.col("bad") + usual) / (bad + SMOOTHING))
-                                 - F.log((F.col("good") + usual) / (good + SMOOTHING))).alias("odds"))
-    piece_odds = (words.select("piece", F.explode("words").alias("word")).join(odds, "word")
-                  .groupBy("piece").agg(F.sum("odds").alias("odds")))
-    scored = (tokens.join(piece_odds, "piece").groupBy(F.col("host").alias("s_host"), F.col("path").alias("s_path"))
-              .agg(F.sum("odds").alias("odds")))
-    rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    total_odds = F.coalesce("odds", F.lit(0.0)) + prior
-    return (urls.join(scored, (F.col("host") == F.col("s_host")) & (F.col("path") == F.col("s_path")), "left")
-            .select(F.col("__id").alias(id_column), "host", "path", rule.alias("rule"),
-                    F.coalesce(says, F.when(total_odds > 0, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-                    total_odds.alias("block_odds")))
+    pieces = lasting(tokens.groupBy("piece").agg(F.count("*").alias("times")))
+    words = lasting(segmented(pieces, counts, max(1, *_sum(counts, "n"))).join(pieces, "piece"))
+    spoken = meet(tokens, words, ["piece"], "times").select("host", "path", "bad", F.explode("words").alias("word"))
+
+    examples = lasting(spoken.groupBy("host", "word").agg(F.count("*").alias("times"), F.sum("bad").alias("bad"))
+                       .withColumn("own_bad", F.expr(f"{PARTS} * bad div times")))
+    shared = examples.select("word", F.lit(1).alias("hosts"), F.col("own_bad").alias("bad"),
+                             (PARTS - F.col("own_bad")).alias("good"))
+    prior_examples = seeded.select("word", F.lit(0).alias("hosts"), F.lit(SEED_HOSTS * PARTS).cast("long").alias("bad"),
+                                   F.lit(0).cast("long").alias("good"))
+    model = lasting(shared.unionByName(prior_examples).groupBy("word").agg(
+        F.sum("hosts").alias("hosts"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good")))
+    n_bad, n_good = (n / PARTS + 1 for n in _sum(model, "all_bad", "all_good"))
+    share = n_bad / (n_bad + n_good)
+    others_bad = (F.col("all_bad") - F.col("own_bad")) / PARTS
+    others_good = (F.col("all_good") - (PARTS - F.col("own_bad"))) / PARTS
+    odds = (F.log(others_bad + SMOOTHING * share) - F.log(others_good + SMOOTHING * (1 - share))
+            - math.log(n_bad / n_good)).alias("odds")
+    by_host = lasting(meet(examples.select("host", "word", "times", "own_bad"), model, ["word"], "hosts")
+                      .select("host", "word", "times", odds))
+    scored = meet(spoken.select("host", "path", "word"), by_host, ["host", "word"], "times").groupBy("host", "path").agg(
+        F.sum("odds").alias("odds"))
+
+    hosts = distinct.groupBy("host").agg(F.expr(f"{PARTS} * sum(bad) div count(*)").alias("bad"))
+    bad_hosts, = _sum(hosts, "bad")
+    prior = math.log((bad_hosts / PARTS + 1) / (hosts.count() - bad_hosts / PARTS + 1))
+    known = lasting(distinct.select("host", "path", "times").join(scored, ["host", "path"], "left").select(
+        "host", "path", "times", (F.coalesce("odds", F.lit(0.0)) + prior).alias("block_odds")))
+    by_model = F.when(F.col("block_odds") > 0, F.lit("block")).otherwise(F.lit("allow"))
+    return meet(urls, known, ["host", "path"], "times").select(
+        F.col("__id").alias(id_column), "host", "path", rule.alias("rule"), F.coalesce(says, by_model).alias("verdict"),
+        "block_odds")

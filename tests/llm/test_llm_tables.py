@@ -349,19 +349,73 @@ def test_passages_of_both_scopes_as_by_brute_force(spark, small, texts):
 
 # --- urls --------------------------------------------------------------------------------------
 
+def judged_plainly(pages):
+    """(host, path, rule, verdict, odds) of each page, by dictionaries."""
+    def rule(host, path):
+        fits = [(len(h + p), h + p, v) for h, p, v in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1:] if fits else (None, None)
+
+    unigrams = collections.Counter({w: urls.SEED_COUNT for w in urls.SEED_WORDS})
+    for _, html in pages:
+        plain = re.sub(r"(?s)<script\b.*?</script>|<style\b.*?</style>|<[^>]*>", " ", html or "")
+        unigrams.update(w for w in re.split("[^a-z]+", plain.lower()) if w and len(w) <= urls.LONGEST_WORD)
+    total = sum(unigrams.values())
+
+    def words(host, path):
+        for piece in re.split("[^a-z]+", host + " " + path.lower()):
+            if piece and piece not in {"net", "example", "en", "com", "de", "org", "fr"}:
+                known = [(i, j, unigrams[piece[i:j]]) for i in range(len(piece)) for j in range(i + 1, len(piece) + 1)
+                         if piece[i:j] in unigrams]
+                yield from urls.viterbi(piece, known, total)
+    places = [(urlsplit(u).netloc.lower(), urlsplit(u).path) for u, _ in pages]
+    held, at_host = {p: list(words(*p)) for p in places}, collections.defaultdict(list)
+    for place, own in held.items():
+        at_host[place[0]].append(rule(*place)[1] == "block")
+        for w in own:
+            at_host[place[0], w].append(rule(*place)[1] == "block")
+    examples = {k: 1_000_000 * sum(v) // len(v) / 1_000_000 for k, v in at_host.items()}
+    bad = collections.Counter({w: float(urls.SEED_HOSTS) for w in urls.SEED_WORDS})
+    good = collections.Counter()
+    for key, part in examples.items():
+        if isinstance(key, tuple):
+            bad[key[1]] += part
+            good[key[1]] += 1 - part
+    n_bad, n_good = sum(bad.values()) + 1, sum(good.values()) + 1
+    share = n_bad / (n_bad + n_good)
+    hosts = [v for k, v in examples.items() if isinstance(k, str)]
+    prior = math.log((sum(hosts) + 1) / (len(hosts) - sum(hosts) + 1))
+    out = []
+    for host, path in places:
+        odds = prior
+        for w in held[host, path]:
+            own = examples[host, w]
+            odds += (math.log(bad[w] - own + share) - math.log(good[w] - (1 - own) + 1 - share) - math.log(n_bad / n_good))
+        name, says = rule(host, path)
+        out.append((host, path, name, says or ("block" if odds > 0 else "allow"), odds))
+    return out
+
+
 def test_urls_as_by_brute_force(spark, small):
-    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    pages = {r["page_id"]: (r["url"], r["html"]) for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     got = {r["page_id"]: r for r in QUERIES["op9_url_filter"](spark, small).collect()}
     assert got.keys() == pages.keys()
-    for page, url in pages.items():
-        host, path = urlsplit(url).netloc.lower(), urlsplit(url).path
-        assert (got[page]["host"], got[page]["path"]) == (host, path)
-        fits = [(len(h + p), h + p, v) for h, p, v in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-        if fits:
-            assert (got[page]["rule"], got[page]["verdict"]) == max(fits)[1:]
-        else:
-            assert got[page]["rule"] is None
-            assert got[page]["verdict"] == ("block" if set(re.split("[.-]", host)) & set(urls.SEED_WORDS) else "allow")
+    for page, want in zip(pages, judged_plainly(list(pages.values())), strict=True):
+        row = got[page]
+        assert (row["host"], row["path"], row["rule"]) == want[:3] and row["block_odds"] == pytest.approx(want[4], abs=1e-6)
+        assert row["verdict"] == want[3]
+
+
+def test_url_words_are_learned_from_rules(spark, monkeypatch):
+    """`fizz` is no seed; other hosts of that name are blocked by a rule, so a host that has it run together with another
+    word is blocked too. A host's own pages don't judge it, and a word of many allowed hosts outweighs one seed."""
+    monkeypatch.setattr(urls, "FREQUENT", 5)         # so that most keys meet by a shuffle here
+    rows = [(i, f"s://fizz-n{c}.net/p") for i, c in enumerate("abcdefgh")]
+    rows += [(20 + i, f"s://garden{c}.com/p") for i, c in enumerate("abcdefgh")] + [(30, "s://buzzfizz.com/"), (31, "s://onlyhere.com/x")]
+    rows += [(32, "s://onlyhere.com/de/y"), (33, "s://cheapgarden.com/")] + [(34, "s://buzzfizz.com/")] * 50
+    pages = spark.createDataFrame(rows, "page_id int, url string").selectExpr("*", "'fizz buzz garden only here' AS html")
+    got = urls.judged(pages).collect()
+    by = {r["page_id"]: r["verdict"] for r in got}
+    assert len(got) == len(rows) and by[30] == by[34] == "block" and by[31] == by[32] == by[20] == by[33] == "allow"
 
 
 def test_viterbi_is_the_best_of_all_splits():
