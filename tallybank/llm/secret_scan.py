@@ -66,6 +66,8 @@ for _chars in (_LOWER, _UPPER):
 _LOG_KIND = np.where(_KIND_OF[:, None] == _KIND_OF[None, :], math.log(STAY), math.log((1 - STAY) / 3))
 #: Added to each count of one letter behind another.
 PAIR_SMOOTHING = 0.5
+#: Texts are joined up to so many code points before their letters are counted; the blank between them parts words.
+COUNTED_CHARS = 1 << 18
 _CLASSES = ("0189", "234567", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/", "-_")
 _CLASS_OF = np.zeros(256, dtype=np.uint8)
 for _k, _chars in enumerate(_CLASSES):
@@ -179,7 +181,9 @@ def pair_counts(text: str | None) -> np.ndarray:
     characters that are lower-case letters, the first of either case. Random tokens of several kinds are none."""
     out = np.zeros((27, 26), dtype=np.int64)
     codes = np.frombuffer((text or "").encode(), dtype=np.uint8)
-    runs = np.array(_runs(_IN_TOKEN[codes], 2), dtype=np.int64).reshape(-1, 2)
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], _IN_TOKEN[codes].view(np.int8), [0]))))
+    runs = edges.reshape(-1, 2)
+    runs = runs[runs[:, 1] - runs[:, 0] >= 2]
     other = np.concatenate(([0], np.cumsum(~((codes >= ord("a")) & (codes <= ord("z"))))))
     runs = runs[(other[runs[:, 1]] == other[runs[:, 0] + 1]) & (_LETTER_OF[codes[runs[:, 0]]] >= 0)]
     if len(runs):
@@ -197,8 +201,14 @@ def letter_pairs(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((27, 26), dtype=np.int64)
         for batch in batches:
+            held, size = [], 0
             for text in batch.column(0):
-                total += pair_counts(text.as_py())
+                held.append(text.as_py() or "")
+                size += len(held[-1])
+                if size >= COUNTED_CHARS:
+                    total += pair_counts(" ".join(held))
+                    held, size = [], 0
+            total += pair_counts(" ".join(held))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(702)), pa.array(total.ravel())], names=["pair", "n"])
 
     parts = docs.select(docs[text_column].cast("string").alias("text")).mapInArrow(run, "pair long, n long")
