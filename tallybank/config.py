@@ -86,6 +86,8 @@ class AuditConfig:
     holidays: tuple[str, ...] = HOLIDAYS_2025
     # None flags weekends of every year; (2025,) keeps to the years a hand-typed list covers.
     weekend_years: tuple[int, ...] | None = None
+    # True adds the national holidays of every year, movable ones too, to the listed days.
+    national_feasts: bool = False
     base_day: str = "2025-12-31"
     follow_month: str = "2026-01"
     sample_size: int = 25

@@ -10,6 +10,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallybank.functions.feasts import is_feast
 from tallybank.functions.text import accent_pattern, fold_plain
 
 SHORT_NAME = 5
@@ -57,12 +58,15 @@ def matches_names(text: Column, names, fold: bool = True) -> Column:
             .otherwise(text.rlike(latin1)))
 
 
-def nonworking_day(date: Column, holidays, weekend_years=None) -> Column:
-    """Weekend or listed holiday (dd/MM/yyyy). ``weekend_years`` limits weekends to those years."""
+def nonworking_day(date: Column, holidays, weekend_years=None, national_feasts: bool = False) -> Column:
+    """Weekend or listed holiday (dd/MM/yyyy). ``weekend_years`` limits weekends to those years; ``national_feasts``
+    adds the national holidays of every year."""
     days = [datetime.strptime(h, "%d/%m/%Y").date() for h in holidays]
     weekend = F.weekday(date) >= 5
     if weekend_years is not None:
         weekend = weekend & F.year(date).isin(*weekend_years)
+    if national_feasts:
+        weekend = weekend | is_feast(date)
     return (weekend | date.isin(*days)) if days else weekend
 
 

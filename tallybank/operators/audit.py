@@ -26,6 +26,8 @@ ORDER, ROW_HASH = "__order", "__row_hash"
 ORDER_HASH_BITS = 36
 # Tests that look for names, and whether accents are folded for them.
 NAME_TESTS = {"TESTE_1_8": lambda cfg: cfg.fold_names, "TESTE_7_9": lambda cfg: False}
+# The test of non-working days, and the mark of those that a calendar table lists.
+NONWORKING, LISTED_DAY = "TESTE_1_2", "__listed_day"
 # Columns that are never exported.
 HELPER_COLUMNS = ("FLAG", "LINHA_SEQ", "LINHA_SEQ_TESTE4", "Semana_Resumida", "VALOR_REDONDO")
 
@@ -92,14 +94,27 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig, ledger: DataFrame | None
     return marked.select(*frame.columns, REVERSED)
 
 
+def mark_listed_days(frame: DataFrame, calendar: DataFrame, out: str) -> DataFrame:
+    """Mark rows whose day is in a calendar: a frame with a column ``DATA`` of dates or text. Days it repeats count once,
+    and those that can't be read are left out."""
+    days = (calendar.select(as_date(calendar, "DATA", parse_date).alias("__day"))
+            .where(F.year("__day").between(1, 9999)).distinct())
+    # Whatever is in the calendar, years 1 to 9999 have 3,652,059 days, so this side has a bound.
+    joined = frame.join(F.broadcast(days), F.col("DATA") == F.col("__day"), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in frame.columns], F.col("__day").isNotNull().alias(out))
+
+
 def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False,
-              name_lists: dict[str, tuple[DataFrame, str]] | None = None, narrow: bool = False) -> Audit:
+              name_lists: dict[str, tuple[DataFrame, str]] | None = None, narrow: bool = False,
+              calendar: DataFrame | None = None) -> Audit:
     """Apply the active tests and set ``FLAG``. Columns exist only for tests that ran, and ranking,
     sampling or joins are planned only for tests that need them.
 
     ``name_lists`` gives a test of names (1_8, 7_9) its names as a table and column instead of the list in ``cfg``; they
     are looked up by an index, so the list may be of any length.
 
+    ``calendar`` holds non-working days (column ``DATA``) that test 1_2 looks up besides weekends and listed holidays.
+
     With ``narrow`` the tests of repeated and reversed rows move only rows that may be hit: a first pass finds the keys
     that recur. It pays where the ledger is stored, as it is read once more for it, and repeats are few."""
     if unknown := set(name_lists or {}) - set(NAME_TESTS):
@@ -134,7 +149,13 @@ def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False,
     lists = {t: held for t, held in (name_lists or {}).items() if t in tests}
     for test, (names, column) in lists.items():
         marked = mark_named(marked, "HISTORICO", names, column, f"__named_{test}", NAME_TESTS[test](cfg))
-    marks = [F.when(F.col(f"__named_{t}"), F.lit("SIM")).alias(t) if t in lists else rule_mark(t, cfg) for t in tests]
+    if calendar is not None and NONWORKING in tests:
+        marked = mark_listed_days(marked, calendar, LISTED_DAY)
+    else:
+        calendar = None
+    marks = [F.when(F.col(f"__named_{t}"), F.lit("SIM")).alias(t) if t in lists
+             else F.when(RULES[t].build(cfg) | F.col(LISTED_DAY), F.lit("SIM")).alias(t) if t == NONWORKING and calendar is not None
+             else rule_mark(t, cfg) for t in tests]
     marked = marked.select(*source.columns, *marks)
     if tests:
         no_hit = F.coalesce(*[F.col(t) for t in tests]).isNull()
@@ -174,7 +195,7 @@ def rule_hits(audit: Audit) -> DataFrame:
     return _hit_lines(totals, audit.tests)
 
 
-def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> DataFrame:
+def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False, calendar: DataFrame | None = None) -> DataFrame:
     """The same figures when only they are wanted: one pass over the ledger, in which nothing is ranked.
 
     Each row is counted for itself, and once more for each group that the two tests of repeated rows look at. All are
@@ -186,7 +207,7 @@ def count_hits(frame: DataFrame, cfg: AuditConfig, prepared: bool = False) -> Da
     tests, _ = runnable_tests(source.columns, cfg)
     grouped = [t for t in tests if RULES[t].helper in (REPEATED, TRIPLICATE, SAMPLED, REVERSED)]
     plain = [t for t in tests if t not in grouped]
-    marked = run_audit(source, cfg.replace(active=tuple(plain)), prepared=True).frame
+    marked = run_audit(source, cfg.replace(active=tuple(plain)), prepared=True, calendar=calendar).frame
     helpers = {RULES[t].helper: t for t in grouped}
     nothing = [F.lit(None).cast("string"), F.lit(None).cast("decimal(18,2)"), F.lit(None).cast("date")]
 

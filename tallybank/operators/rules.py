@@ -55,7 +55,8 @@ def _negative_cash(cfg: AuditConfig) -> Column:
 
 RULES: dict[str, Rule] = {r.name: r for r in (
     Rule("TESTE_1_1", ("DATA",), lambda cfg: F.col("DATA").isNull()),
-    Rule("TESTE_1_2", ("DATA",), lambda cfg: nonworking_day(F.col("DATA"), cfg.holidays, cfg.weekend_years)),
+    Rule("TESTE_1_2", ("DATA",), lambda cfg: nonworking_day(
+        F.col("DATA"), cfg.holidays, cfg.weekend_years, cfg.national_feasts)),
     Rule("TESTE_1_3", ("HISTORICO",), lambda cfg: F.col("HISTORICO").isNull()),
     Rule("TESTE_1_4", ("HISTORICO",), _text("instruction_words")),
     Rule("TESTE_1_5", ("HISTORICO",), _text("adjustment_words")),

@@ -10,6 +10,7 @@ from tallybank.config import TEST_NAMES, AuditConfig, catalog_rows
 from tallybank.functions.accounts import (
     clean_account, clean_counterparty, counterparty_account, counterparty_label, int_string)
 from tallybank.functions.dates import date_text, excel_serial_date, is_br_date, parse_date
+from tallybank.functions.feasts import feast_days
 from tallybank.functions.money import parse_money_br, parse_number_auto
 from tallybank.functions.text import fold_ascii_upper, normalize_text, null_words
 from tallybank.operators import audit as A
@@ -632,6 +633,62 @@ def listed_weekends(spark, sf):
     return row_view(A.run_audit(prepared(spark, sf), cfg, prepared=True).frame.filter(F.col("FLAG") == A.KEEP))
 
 
+# The rule of Gauss for 1900 to 2099, another way to Easter than the library's.
+SQL_FEASTS = """years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE o_orderdate IS NOT NULL),
+parts AS (SELECT y, y % 19 AS a, (19 * (y % 19) + 24) % 30 AS d FROM years),
+weeks AS (SELECT y, a, d, (2 * (y % 4) + 4 * (y % 7) + 6 * d + 5) % 7 AS e FROM parts),
+easters AS (SELECT y, make_date(y, 3, 22) + CAST(d + e - CASE WHEN e = 6 AND (d = 29 OR (d = 28 AND a > 10)) THEN 7 ELSE 0 END
+  AS INTEGER) AS easter FROM weeks),
+feasts AS (
+  SELECT y, make_date(y, m, d) AS day, FALSE AS movable FROM years,
+    (VALUES (1, 1, 1), (4, 21, 1), (5, 1, 1), (9, 7, 1), (10, 12, 1980), (11, 2, 1), (11, 15, 1), (11, 20, 2024),
+            (12, 25, 1)) t(m, d, since) WHERE y >= since
+  UNION ALL SELECT y, easter + after, TRUE FROM easters, (VALUES (-48), (-47), (-2), (60)) t(after))"""
+
+
+@query("feast_days", f"""WITH {SQL_FEASTS}
+  SELECT y AS year, CAST(day AS VARCHAR) AS data, movable FROM feasts""")
+def feast_days_query(spark, sf):
+    """National holidays of the years in which orders were placed."""
+    years = table(spark, sf, "orders").select(F.year("o_orderdate").alias("y"))
+    return feast_days(years, "y").select("year", _iso(F.col("day")).alias("data"), "movable")
+
+
+@query("nonworking_feasts", f"""{PREPARED}, {SQL_FEASTS} {SQL_ROW_VIEW} prepared
+  WHERE isodow(DATA) >= 6 OR DATA IN (SELECT day FROM feasts)""")
+def nonworking_feasts(spark, sf):
+    """Test 1_2 by weekends and the national holidays of every year, with no list of days."""
+    cfg = FULL.replace(active=("TESTE_1_2",), holidays=(), national_feasts=True)
+    return row_view(A.run_audit(prepared(spark, sf), cfg, prepared=True).frame.filter(F.col("FLAG") == A.KEEP))
+
+
+def closing_days(spark, sf):
+    """A calendar made from the orders: each 13th on which one was placed, day-first text, days repeated."""
+    day = F.col("o_orderdate").cast("date")
+    return table(spark, sf, "orders").filter(F.day(day) == 13).select(date_text(day).alias("DATA"))
+
+
+@query("nonworking_calendar", f"""{PREPARED} {SQL_ROW_VIEW} prepared
+  WHERE (isodow(DATA) >= 6 AND year(DATA) = 1997) OR (day(DATA) = 13 AND DATA IN (SELECT CAST(o_orderdate AS DATE) FROM orders))""")
+def nonworking_calendar(spark, sf):
+    """Test 1_2 with a calendar file besides the weekends of one year."""
+    path = out_path(spark, "closing")
+    closing_days(spark, sf).write.option("header", True).csv(path)
+    cfg = FULL.replace(active=("TESTE_1_2",), holidays=(), weekend_years=(1997,))
+    result = A.run_audit(prepared(spark, sf), cfg, prepared=True, calendar=read_calendar(spark, path))
+    return row_view(result.frame.filter(F.col("FLAG") == A.KEEP))
+
+
+@query("calendar_hits", f"""{PREPARED}, {SQL_FEASTS} SELECT 'TESTE_1_2' AS TESTE, count(*) FILTER (WHERE hit) AS hits,
+  round(count(*) FILTER (WHERE hit) * 100.0 / count(*), 2) AS pct FROM (SELECT isodow(DATA) >= 6
+    OR DATA IN (SELECT day FROM feasts)
+    OR (day(DATA) = 13 AND DATA IN (SELECT CAST(o_orderdate AS DATE) FROM orders)) AS hit FROM prepared)""")
+def calendar_hits(spark, sf):
+    """Hits of test 1_2 by weekends, national holidays and a calendar, from one pass."""
+    cfg = FULL.replace(active=("TESTE_1_2",), holidays=(), national_feasts=True)
+    return A.count_hits(prepared(spark, sf), cfg, prepared=True, calendar=closing_days(spark, sf))
+
+
 @query("triplicate_entry", f"""{RANKED} SELECT CAST(DATA AS VARCHAR) AS data, count(*) AS marks FROM ranked
   WHERE seq4 >= 3 GROUP BY 1""")
 def triplicate_entry(spark, sf):
