@@ -24,6 +24,7 @@ from tallybank.plans.adapters import (
 from tallybank.plans.registry import query
 from tallybank.sources.ledger import (
     read_balance, read_calendar, read_ledger, read_silver, read_text_table, revalidate)
+from tallybank.sources.run_log import read_run_log, write_gold_logged
 from tallybank.sources.sinks import (
     export_sheets, folder_inventory, write_gold_csv, write_silver_csv, write_silver_parquet)
 from tallybank.sources.staging import staged, staging_folder
@@ -727,6 +728,18 @@ def rule_hits(spark, sf):
     return A.count_hits(classified(spark, sf), FULL, prepared=True)
 
 
+@query("run_log", f"""{SQL_FULL} SELECT figure, CAST(value AS BIGINT) AS value FROM (
+  UNPIVOT (SELECT count(*) AS linhas, count(*) FILTER (WHERE FLAG = 'MANTER') AS mantidas,
+    count(*) FILTER (WHERE FLAG = 'RETIRAR') AS retiradas, count(DATA) AS datas_validas,
+    count(*) FILTER (WHERE DATA IS NULL) AS datas_vazias, {', '.join(f'count({t}) AS {t}' for t in TEST_NAMES)} FROM flagged)
+  ON COLUMNS(*) INTO NAME figure VALUE value)""")
+def run_log(spark, sf):
+    """Figures of a run with all tests, taken while its result is written."""
+    result, log = full_audit(spark, sf), out_path(spark, "run-log")
+    write_gold_logged(result, BASE + CLASSES, out_path(spark, "gold"), log, "all-tests")
+    return read_run_log(spark, log).where("run_id = 'all-tests'").select("figure", "value")
+
+
 @query("audit_flag", f"""{SQL_FULL} SELECT CONTA, count(*) FILTER (WHERE FLAG = 'MANTER') AS kept,
   count(*) FILTER (WHERE FLAG = 'RETIRAR') AS dropped FROM flagged GROUP BY CONTA""")
 def audit_flag(spark, sf):
