@@ -30,18 +30,6 @@ def easter(year: Column) -> Column:
     return F.next_day(full, "SUN")
 
 
-def is_feast(date: Column) -> Column:
-    """True on a national holiday, whatever its year; null without a date."""
-    place = F.month(date) * 100 + F.day(date)
-    fixed = F.lit(False)
-    for since in sorted({since for _, since in FIXED_FEASTS}):
-        days = place.isin(*[day for day, first in FIXED_FEASTS if first == since])
-        fixed = fixed | (days if since <= 1 else days & (F.year(date) >= since))
-    # Easter lies between 22 March and 25 April, so feasts that move with it lie between February and June.
-    movable = F.when(F.month(date).between(2, 6), F.datediff(date, easter(F.year(date))).isin(*MOVABLE_FEASTS)).otherwise(F.lit(False))
-    return F.when(date.isNotNull(), fixed | movable)
-
-
 def feast_days(years: DataFrame, year: str) -> DataFrame:
     """(year, day, movable) for each distinct year of a column; rows without a year make none."""
     number = F.col("year")

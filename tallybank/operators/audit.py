@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybank.config import AuditConfig, catalog_rows
 from tallybank.functions.dates import parse_date
+from tallybank.functions.feasts import feast_days
 from tallybank.functions.money import parse_money_br
 from tallybank.functions.text import normalize_text
 from tallybank.operators.names import mark_named
@@ -94,12 +97,21 @@ def mark_reversals(frame: DataFrame, cfg: AuditConfig, ledger: DataFrame | None
     return marked.select(*frame.columns, REVERSED)
 
 
-def mark_listed_days(frame: DataFrame, calendar: DataFrame, out: str) -> DataFrame:
-    """Mark rows whose day is in a calendar: a frame with a column ``DATA`` of dates or text. Days it repeats count once,
-    and those that can't be read are left out."""
-    days = (calendar.select(as_date(calendar, "DATA", parse_date).alias("__day"))
-            .where(F.year("__day").between(1, 9999)).distinct())
-    # Whatever is in the calendar, years 1 to 9999 have 3,652,059 days, so this side has a bound.
+def listed_days(frame: DataFrame, cfg: AuditConfig, calendar: DataFrame | None) -> DataFrame | None:
+    """Days of a calendar, a frame with a column ``DATA`` of dates or text, and the national holidays of all years if the
+    configuration asks for them. Days that come twice count once, and those that can't be read are left out."""
+    parts = []
+    if calendar is not None:
+        parts.append(calendar.select(as_date(calendar, "DATA", parse_date).alias("__day")))
+    if cfg.national_feasts:
+        parts.append(feast_days(frame.sparkSession.range(1, 10000), "id").select(F.col("day").alias("__day")))
+    return reduce(DataFrame.unionByName, parts).where(F.year("__day").between(1, 9999)).distinct() if parts else None
+
+
+def mark_listed_days(frame: DataFrame, days: DataFrame, out: str) -> DataFrame:
+    """Mark rows whose day is listed. A lookup reads each row's date once, where a condition that works out Easter would
+    repeat the parsing of the date in every term."""
+    # Whatever is listed, years 1 to 9999 have 3,652,059 days, so this side has a bound.
     joined = frame.join(F.broadcast(days), F.col("DATA") == F.col("__day"), "left")
     return joined.select(*[F.col(f"`{c}`") for c in frame.columns], F.col("__day").isNotNull().alias(out))
 
@@ -149,12 +161,11 @@ def run_audit(frame: DataFrame, cfg: AuditConfig, prepared: bool = False,
     lists = {t: held for t, held in (name_lists or {}).items() if t in tests}
     for test, (names, column) in lists.items():
         marked = mark_named(marked, "HISTORICO", names, column, f"__named_{test}", NAME_TESTS[test](cfg))
-    if calendar is not None and NONWORKING in tests:
-        marked = mark_listed_days(marked, calendar, LISTED_DAY)
-    else:
-        calendar = None
+    days = listed_days(source, cfg, calendar) if NONWORKING in tests else None
+    if days is not None:
+        marked = mark_listed_days(marked, days, LISTED_DAY)
     marks = [F.when(F.col(f"__named_{t}"), F.lit("SIM")).alias(t) if t in lists
-             else F.when(RULES[t].build(cfg) | F.col(LISTED_DAY), F.lit("SIM")).alias(t) if t == NONWORKING and calendar is not None
+             else F.when(RULES[t].build(cfg) | F.col(LISTED_DAY), F.lit("SIM")).alias(t) if t == NONWORKING and days is not None
              else rule_mark(t, cfg) for t in tests]
     marked = marked.select(*source.columns, *marks)
     if tests:
