@@ -41,20 +41,32 @@ def next_links(pages: DataFrame) -> DataFrame:
 
 
 def _placed(before: DataFrame, rounds: int) -> DataFrame:
-    """(url, jump, far, steps, least) of pages (url, before): `far` is the furthest page known before a page and `steps` the
-    distance; `jump` stays set only in cycles, where `least` is the least address."""
-    state = staged(before.select("url", F.col("before").alias("jump"), F.coalesce("before", "url").alias("far"),
-                                 F.col("before").isNotNull().cast("long").alias("steps"), F.least("url", "before").alias("least")))
-    for _ in range(rounds):
-        still = state.where("jump IS NOT NULL")
-        if still.isEmpty():
+    """(id, jump, far, steps, least) of pages (id, before): `far` is the furthest page known before a page and `steps` the
+    distance; `jump` stays set only in cycles, where `least` is the least page.
+
+    At most one page looks at a page, so a round is one aggregate that brings both together. Staged rows keep the size that
+    the planner worked out for them: it takes the product of both sides of a join, and numbers that square in every round
+    outgrow the driver, where those of an aggregate only double.
+    """
+    state = staged(before.select("id", F.col("before").alias("jump"), F.coalesce("before", "id").alias("far"),
+                                 F.col("before").isNotNull().cast("long").alias("steps"), F.least("id", "before").alias("least")))
+    fields, left = ("jump", "far", "steps", "least"), None
+    for done in range(rounds):
+        still = state.where("jump IS NOT NULL").count()
+        # While a chain is unfinished each round finishes some page, so what is left are cycles; they end when seen whole.
+        if not still or (still == left and 1 << done >= still):
             break
-        seen = state.select(F.col("url").alias("jump"), F.col("jump").alias("their_jump"), F.col("far").alias("their_far"),
-                            F.col("steps").alias("their_steps"), F.col("least").alias("their_least"))
-        moved = still.join(seen, "jump").select(
-            "url", F.col("their_jump").alias("jump"), F.col("their_far").alias("far"),
-            (F.col("steps") + F.col("their_steps")).alias("steps"), F.least("least", "their_least").alias("least"))
-        state = staged(state.where("jump IS NULL").unionByName(moved))
+        left = still
+        own = state.select("id", F.struct(*fields).alias("own"), F.lit(None).cast("struct<id:bigint,steps:bigint,least:bigint>").alias("asks"))
+        asking = state.where("jump IS NOT NULL").select(
+            F.col("jump").alias("id"), F.lit(None).cast(own.schema["own"].dataType).alias("own"), F.struct("id", "steps", "least").alias("asks"))
+        met = own.unionByName(asking).groupBy("id").agg(
+            *[F.max(f"own.{c}").alias(c) for c in fields], *[F.max(f"asks.{c}").alias(f"their_{c}") for c in ("id", "steps", "least")])
+        finished = F.when(F.col("jump").isNull(), F.struct("id", *fields))
+        moved = F.when(F.col("their_id").isNotNull(), F.struct(
+            F.col("their_id").alias("id"), "jump", "far", (F.col("their_steps") + F.col("steps")).alias("steps"),
+            F.least("their_least", "least").alias("least")))
+        state = staged(met.select(F.inline(F.array_compact(F.array(finished, moved)))))
     return state
 
 
@@ -66,22 +78,27 @@ def order_pages(links: DataFrame) -> DataFrame:
     `cycle`, or it is `merged`: its next page follows another page too, the one with the least address, and stands in that
     one's notebook. A cycle is cut before its least address.
     """
-    links = staged(links.groupBy("url").agg(F.min("next").alias("next")))
-    rounds = max(links.count() - 1, 1).bit_length() + 1
-    there = links.join(links.select(F.col("url").alias("next")), "next", "left_semi")
-    before = there.groupBy(F.col("next").alias("url")).agg(F.min("url").alias("before"))
-    chain = staged(links.select("url").join(before, "url", "left"))
+    # Pages are numbered in the order of their addresses, so that the rounds move whole numbers only.
+    pages = staged(links.where("url IS NOT NULL").groupBy("url").agg(F.min("next").alias("next")).orderBy("url").withColumn("id", F.monotonically_increasing_id()))
+    rounds = max(pages.count() - 1, 1).bit_length() + 1
+    led = staged(pages.join(pages.select(F.col("url").alias("next"), F.col("id").alias("next_id")), "next", "left").select(
+        "id", "next_id", F.col("next").isNotNull().alias("leads")))
+    before = led.where("next_id IS NOT NULL").groupBy(F.col("next_id").alias("id")).agg(F.min("id").alias("before"))
+    chain = staged(led.select("id").join(before, "id", "left"))
     placed = _placed(chain, rounds)
-    cycles = placed.where("jump IS NOT NULL").select("url", "least")
-    cut = chain.join(cycles, "url").select("url", F.when(F.col("url") != F.col("least"), F.col("before")).alias("before"))
+    cycles = placed.where("jump IS NOT NULL").select("id", "least")
+    cut = chain.join(cycles, "id").select("id", F.when(F.col("id") != F.col("least"), F.col("before")).alias("before"))
     inside = _placed(cut, rounds)
     places = placed.where("jump IS NULL").withColumn("round", F.lit(False)).unionByName(inside.withColumn("round", F.lit(True)))
-    known = chain.select(F.col("url").alias("next"), F.col("before").alias("follows"))
-    return places.join(links, "url").join(known.withColumn("there", F.lit(True)), "next", "left").select(
-        F.col("far").alias("notebook"), "url", (F.col("steps") + 1).alias("position"),
-        F.when(F.col("next").isNull(), LAST).when(F.col("there").isNull(), DANGLING)
-        .when(F.col("follows") != F.col("url"), MERGED)
-        .when(F.col("round") & (F.col("next") == F.col("far")), CYCLE).alias("ends"))
+    follows = chain.where("before IS NOT NULL").select(F.col("id").alias("next_id"), F.col("before").alias("follows"))
+    ends = led.join(follows, "next_id", "left").select("id", "next_id", "leads", "follows")
+    found = places.join(ends, "id").select(
+        "id", F.col("far").alias("first"), (F.col("steps") + 1).alias("position"),
+        F.when(~F.col("leads"), LAST).when(F.col("next_id").isNull(), DANGLING)
+        .when(F.col("follows") != F.col("id"), MERGED)
+        .when(F.col("round") & (F.col("next_id") == F.col("far")), CYCLE).alias("ends"))
+    names = pages.select(F.col("id").alias("first"), F.col("url").alias("notebook"))
+    return found.join(pages.select("id", "url"), "id").join(names, "first").select("notebook", "url", "position", "ends")
 
 
 def number_questions(order: DataFrame, counts: DataFrame) -> DataFrame:

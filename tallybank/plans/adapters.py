@@ -25,6 +25,17 @@ def spread(frame: DataFrame, columns) -> DataFrame:
     return frame.repartition(int(parts)) if parts else frame
 
 
+#: Parts that a table is dealt into, at least, when every row of it becomes a page.
+PAGE_PARTS = 64
+
+
+def dealt(frame: DataFrame) -> DataFrame:
+    """The rows of a narrow table in many parts. A page is hundreds of times the row it is made from, so the few tasks that
+    the size of the file asks for would read all pages."""
+    spark = frame.sparkSession
+    return frame if spark.conf.get(INPUT_PARTITIONS, None) else frame.repartition(max(PAGE_PARTS, 4 * spark.sparkContext.defaultParallelism))
+
+
 def _amount_text(amount: Column) -> Column:
     return F.replace(amount.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
@@ -384,5 +395,5 @@ def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(chain % 5 == 2, F.concat(F.lit('<a class="next" href="'), address(chain + 1 + CHAINS), F.lit('">')))
             .when(chain % 5 == 3, F.lit('<a rel="next" class="next disabled" href="/cadernos/1">')).otherwise(F.lit("<a href=/outro>")))
     html = F.concat(F.lit("<html><a href=/inicio>Início</a>"), F.repeat(item, (key % 3 + 1).cast("int")), turn, F.lit("Próxima</a></html>"))
-    return customers.join(following, "c_custkey", "left").select(
+    return dealt(customers.join(following, "c_custkey", "left")).select(
         key.alias("page_id"), F.concat(F.lit("https://q.example"), address(key)).alias("url"), html.alias("html"))

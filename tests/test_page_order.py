@@ -1,12 +1,22 @@
 """Pages in the order of their next links."""
 
+import contextlib
+import io
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from tallybank.operators.page_order import absolute_url, next_links, number_questions, order_pages
 
 
+def plan_text(frame, mode):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain(mode)
+    return out.getvalue()
+
+
 def walked(links):
     """The same by turning one page after the other."""
     before = {}
@@ -41,6 +51,21 @@ def test_order_of_chains_cycles_and_odd_links(spark):
     assert order_pages(frame.where("false")).count() == 0
 
 
+def test_rounds_keep_planned_sizes_small(spark):
+    # The planner's size of staged rows once squared in every round: 25 rounds of it make numbers of tens of MB.
+    links = spark.range(100).selectExpr("format_string('p%04d', id) AS url", "IF(id % 50 = 49, format_string('p%04d', id - 49), format_string('p%04d', id + 1)) AS next")
+    order = order_pages(links.unionByName(spark.range(100).selectExpr("format_string('q%04d', id) AS url", "format_string('q%04d', id + 1) AS next")))
+    size = re.search(r"sizeInBytes=(\S+) (\S+?)[,)]", plan_text(order, "cost"))
+    assert size and (size[2] in ("B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB") or float(size[1].replace("E+", "e")) < 1e80)
+    rows = order.groupBy("notebook").agg(F.max("position").alias("n"), F.max("ends").alias("ends")).collect()
+    assert sorted(map(tuple, rows)) == [("p0000", 50, "cycle"), ("p0050", 50, "cycle"), ("q0000", 100, "dangling")]
+
+
+def test_pages_without_address_have_no_place(spark):
+    frame = spark.createDataFrame([(None, "a"), ("a", "b"), ("b", None)], "url string, next string")
+    assert sorted((r["notebook"], r["url"], r["position"]) for r in order_pages(frame).collect()) == [("a", "a", 1), ("a", "b", 2)]
+
+
 def test_next_links_of_pages(spark):
     pages = [(1, "http://h/a/b?x=1", '<a href="q">no</a><a rel="next" href="?page=2">n</a><a rel=next href=z>'), (2, "u", "no links"),
              (3, "http://h/c", '<a class="btn next disabled" href="/d">'), (4, "http://h/a/b?x=1", "<a rel=next href=/later>"), (5, None, "<a rel=next href=x>"),
