@@ -342,7 +342,7 @@ def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(f'-{number}"><span class="q-index">{number}</span></div></div>'))
 
     html = F.concat(item(1), F.lit("&#"), F.repeat(F.lit("9"), F.lit(5000)), F.lit(";"), bad, item(2))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey")).select(F.col("c_custkey").alias("page_id"), html.alias("html"))
 
 
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
