@@ -371,7 +371,8 @@ def notebook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         link(F.concat(F.lit("1"), key), F.col("c_name"), '"'), link(F.concat(F.lit("90"), nation), F.col("c_mktsegment"), "'"),
         F.lit('<div class="q-subtitle"> Caderno com '), key, F.lit(" questões</div></div>"),
         link(F.concat(F.lit("7"), key), F.lit("Solto &amp; livre"), ""), F.lit("</body></html>"))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return dealt(customers).select(F.col("c_custkey").alias("page_id"), html.alias("html"))
 
 
 CHAINS = 37
