@@ -354,7 +354,7 @@ def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('><i> </i></A><p><a data-href="/provas/0" href="/practice-tests/?a='), key,
         F.lit('&amp;b=2"> <b>'), F.col("c_mktsegment"), F.lit("</b>\n</a><a href=\"/simulados/"), key,
         F.lit('">again</a><a href="/outro">no</a><a name="simulado">none</a><a href="/meu-simulado">S</a></html>'))
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page_id"), html.alias("html"))
+    return dealt(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")).select(F.col("c_custkey").alias("page_id"), html.alias("html"))
 
 
 def notebook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
