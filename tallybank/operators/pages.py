@@ -21,6 +21,8 @@ ITEM_CLASS = "js-question-item"
 BLOCK_CLASS = "q-answer-sheet-question"
 CARD_CLASS = "q-content"
 
+PARTS = ("questions", "answers", "blocks")
+
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_TAGS = ("script", "style")
 
@@ -90,6 +92,9 @@ class _Tree(HTMLParser):
         self.root = _Node("", [])
         self.open = [self.root]
 
+    def updatepos(self, i, j):
+        return j                                 # lines are not counted, as nobody asks for them
+
     def handle_starttag(self, tag, attrs):
         node = _Node(tag, attrs, self.open[-1])
         self.open[-1].parts.append(node)
@@ -206,17 +211,21 @@ def _each(part: str, nodes, read, problems: list) -> list:
     return found
 
 
-def read_page(html: str) -> dict:
-    """Raw texts of one page, and what could not be read of it."""
+def read_page(html: str, parts=PARTS) -> dict:
+    """Raw texts of one page, and what could not be read of it; only those of some ``parts``, if no others are wanted."""
     problems: list = []
     root = _tree(html, problems)
-    answers = _each("answer", _entries(root), _entry, problems)
+
+    def nodes(part, css):
+        return root.find_all("div", css) if part in parts else ()
+
+    answers = _each("answer", _entries(root) if "answers" in parts else (), _entry, problems)
     last = {entry["idx"]: place for place, entry in enumerate(answers)}
     for place, entry in enumerate(answers):
         entry["last"] = last[entry["idx"]] == place
-    return {"questions": _each("question", root.find_all("div", ITEM_CLASS), _question, problems),
+    return {"questions": _each("question", nodes("questions", ITEM_CLASS), _question, problems),
             "answers": answers,
-            "blocks": _each("block", root.find_all("div", BLOCK_CLASS), _block, problems), "problems": problems}
+            "blocks": _each("block", nodes("blocks", BLOCK_CLASS), _block, problems), "problems": problems}
 
 
 def read_links(html: str) -> dict:
@@ -231,9 +240,11 @@ def read_links(html: str) -> dict:
     return {"links": links, "problems": problems}
 
 
-@F.arrow_udf(PAGE_TYPE)
-def _read_pages(html: pa.Array) -> pa.Array:
-    return pa.array([read_page(h) for h in html.to_pylist()], type=to_arrow_type(PAGE_TYPE))
+def _read_parts(parts):
+    @F.arrow_udf(PAGE_TYPE)
+    def read(html: pa.Array) -> pa.Array:
+        return pa.array([read_page(h, parts) for h in html.to_pylist()], type=to_arrow_type(PAGE_TYPE))
+    return read.asNondeterministic()
 
 
 @F.arrow_udf(LINKS_TYPE)
@@ -241,14 +252,15 @@ def _read_links(html: pa.Array) -> pa.Array:
     return pa.array([read_links(h) for h in html.to_pylist()], type=to_arrow_type(LINKS_TYPE))
 
 
-# Said to be non-deterministic so that the planner calls them once per page, not once per field used.
-_read_pages, _read_links = _read_pages.asNondeterministic(), _read_links.asNondeterministic()
+# These are said to be non-deterministic so that the planner calls them once per page, not once per field used.
+_read_links = _read_links.asNondeterministic()
 
 
-def read_pages(pages: DataFrame) -> DataFrame:
-    """Pages with a ``page`` struct of raw texts. Pages without any question are dropped before Python."""
+def read_pages(pages: DataFrame, parts=PARTS) -> DataFrame:
+    """Pages with a ``page`` struct of raw texts, of some ``parts`` only if no others are wanted. Pages without any question
+    are dropped before Python."""
     holds = F.contains("html", F.lit(ITEM_CLASS)) | F.contains("html", F.lit(BLOCK_CLASS))
-    return pages.filter(holds).withColumn("page", _read_pages("html")).drop("html")
+    return pages.filter(holds).withColumn("page", _read_parts(tuple(parts))("html")).drop("html")
 
 
 def page_errors(read: DataFrame) -> DataFrame:

@@ -131,7 +131,7 @@ def question_extract(spark, sf):
 @query("answer_key_extract", f"""SELECT doc_id AS page_id, '1' AS idx,
   CASE WHEN doc_id % 3 = 0 THEN {_sql_letter('doc_id')} ELSE 'N/A' END AS answer FROM documents""")
 def answer_key_extract(spark, sf):
-    return P.extract_answer_key(P.read_pages(question_pages(spark, sf)))
+    return P.extract_answer_key(P.read_pages(question_pages(spark, sf), parts=("answers",)))
 
 
 SQL_SILENT, SQL_PAIR = "(conv_id + turn) % 5 = 4", "(conv_id + turn) % 7 = 6"
