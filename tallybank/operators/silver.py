@@ -12,6 +12,7 @@ from tallybank.functions.money import MONEY, parse_number_auto
 from tallybank.functions.text import fold_ascii_upper
 from tallybank.operators.joins import first_seen
 from tallybank.operators.schema import BALANCE_RENAMES, LEDGER_RENAMES
+from tallybank.sources.staging import stored
 
 AMOUNTS = ("MOVIMENTO", "DEBITO", "CREDITO")
 
@@ -70,8 +71,9 @@ def classify(ledger: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def build_silver(ledger: DataFrame, balance: DataFrame, order: str = "ORD") -> DataFrame:
     """Cleaned and classified ledger. Of a balance account listed twice the first by ``order`` counts; ``read_balance``
-    supplies the order of the rows in their files."""
-    return classify(clean_ledger(ledger), clean_balance(balance, order))
+    supplies the order of the rows in their files. The accounts are stored first, so that their size is known when the lookups
+    are planned."""
+    return classify(clean_ledger(ledger), stored(clean_balance(balance, order)))
 
 
 # --- quality ---------------------------------------------------------------------------------

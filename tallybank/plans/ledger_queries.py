@@ -27,7 +27,7 @@ from tallybank.sources.ledger import (
 from tallybank.sources.run_log import read_run_log, write_gold_logged
 from tallybank.sources.sinks import (
     export_sheets, folder_inventory, write_gold_csv, write_silver_csv, write_silver_parquet)
-from tallybank.sources.staging import staged, staging_folder
+from tallybank.sources.staging import staging_folder, stored
 
 # Invented names and dates inside the period of the given tables.
 WATCH_NAMES = ("Lima", "Zélia Prado")
@@ -142,7 +142,8 @@ def prepared(spark, sf):
 
 
 def classified(spark, sf):
-    accounts = S.clean_balance(balance(spark, sf))
+    # Of a stored dimension the planner knows the size, so a small one is broadcast before the ledger is shuffled for it.
+    accounts = stored(S.clean_balance(balance(spark, sf)))
     frame = A.prepare_ledger(S.classify(ledger(spark, sf), accounts))
     return frame.select(*BASE, *CLASSES)
 
@@ -153,11 +154,11 @@ def shipped_audit(spark, sf):
 
 def full_audit(spark, sf):
     # Sample, base day and ranking each pass over the silver table, so it is computed once.
-    return A.run_audit(staged(classified(spark, sf)), FULL, prepared=True, narrow=True)
+    return A.run_audit(stored(classified(spark, sf)), FULL, prepared=True, narrow=True)
 
 
 def _iso(column):
-    return F.coalesce(F.date_format(column, "yyyy-MM-dd"), F.lit(None).cast("string"))
+    return column.cast("string")
 
 
 def row_view(frame):
@@ -539,7 +540,7 @@ def schema_profile(spark, sf):
   FROM classified""")
 def load_quality(spark, sf):
     raw = ledger(spark, sf).withColumn("RAW", F.col("DATA"))
-    frame = A.prepare_ledger(S.classify(raw, S.clean_balance(balance(spark, sf))))
+    frame = A.prepare_ledger(S.classify(raw, stored(S.clean_balance(balance(spark, sf)))))
     return frame.agg(*S.load_quality(F.col("RAW"), F.col("DATA")))
 
 
